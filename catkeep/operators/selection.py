@@ -137,29 +137,38 @@ def _read_children(schema: str, kinds, chosen: Selection) -> None:
         )
 
 
-def _split(inventory: DataFrame, chosen: Selection):
-    """Selected rows by rule, selected rows by schema, and a filter for the rows left over."""
+def _flagged(inventory: DataFrame, spec: dict, extra: Column) -> DataFrame:
+    """Rows that the specification selects or that satisfy ``extra``, with ``_chosen``.
+
+    Children of whole catalogs are found through the schemas of those catalogs, one row per
+    schema; rows that can be neither are filtered in the scan.
+    """
+    chosen = read_spec(spec)
     by_rule = chosen.condition()
-    direct = inventory.filter(by_rule)
-    rest = inventory.filter(~by_rule)
     if not chosen.whole_catalogs:
-        return direct, None, rest, None
+        return inventory.filter(by_rule | extra).withColumn("_chosen", by_rule)
     schemas = (
         inventory.filter(
             (F.col("object_type") == model.SCHEMA)
             & F.col("object_parent_name").isin(chosen.whole_catalogs)
         )
-        .select(F.col("object_name").alias("object_parent_name"))
+        .select(F.col("object_name").alias("object_parent_name"), F.lit(True).alias("_below"))
         .distinct()
     )
-    children = rest.filter(F.col("object_parent_type") == model.SCHEMA)
-    return direct, children.join(schemas, "object_parent_name", "left_semi"), rest, schemas
+    in_schema = F.coalesce(F.col("object_parent_type") == model.SCHEMA, F.lit(False))
+    below = F.coalesce(F.col("_below"), F.lit(False)) & in_schema
+    return (
+        inventory.filter(by_rule | in_schema | extra)
+        .join(schemas, "object_parent_name", "left")
+        .withColumn("_chosen", by_rule | below)
+        .filter(F.col("_chosen") | extra)
+        .select(*inventory.columns, "_chosen")
+    )
 
 
 def select_by_spec(inventory: DataFrame, spec: dict) -> DataFrame:
-    """Inventory rows a specification names. The parts are disjoint, so none repeats."""
-    direct, by_schema, _rest, _schemas = _split(inventory, read_spec(spec))
-    return direct if by_schema is None else direct.unionByName(by_schema.select(direct.columns))
+    """Inventory rows a specification names, each as often as the inventory holds it."""
+    return _flagged(inventory, spec, F.lit(False)).drop("_chosen")
 
 
 def with_dependents(
@@ -167,29 +176,25 @@ def with_dependents(
 ) -> DataFrame:
     """Selected rows and the owner, tag, grant and share-content rows of the core objects.
 
-    Dependents are matched by name, or by name and kind with ``match_parent_type``. Only rows
-    the specification did not already select are looked up, so the union needs no distinct
-    over statement text.
+    Dependents are matched by name, or by name and kind with ``match_parent_type``. Whether a
+    row is selected or hangs off a selected object is decided per row, so nothing is united
+    and no distinct over statement text is needed.
     """
-    direct, by_schema, rest, schemas = _split(inventory, read_spec(spec))
-    selected = direct
-    others = rest.filter(F.col("object_type").isin(model.DEPENDENT_TYPES))
-    if by_schema is not None:
-        selected = direct.unionByName(by_schema.select(direct.columns))
-        below_schema = F.col("object_parent_type") == model.SCHEMA
-        others = others.filter(~F.coalesce(below_schema, F.lit(False))).unionByName(
-            others.filter(below_schema)
-            .join(schemas, "object_parent_name", "left_anti")
-            .select(direct.columns)
-        )
-    core = selected.filter(F.col("object_type").isin(model.CORE_TYPES))
+    hanging = F.col("object_type").isin(model.DEPENDENT_TYPES)
+    flagged = _flagged(inventory, spec, hanging)
+    core = flagged.filter(F.col("_chosen") & F.col("object_type").isin(model.CORE_TYPES))
     keys = ["object_name"]
     owners = core.select("object_name")
     if match_parent_type:
         keys.append("object_parent_type")
         owners = core.select("object_name", F.col("object_type").alias("object_parent_type"))
-    dependents = others.join(owners.distinct(), keys, "left_semi")
-    return selected.unionByName(dependents.select(selected.columns))
+    marked = owners.distinct().withColumn("_owned", F.lit(True))
+    owned = F.coalesce(F.col("_owned"), F.lit(False)) & hanging
+    return (
+        flagged.join(marked, keys, "left")
+        .filter(F.col("_chosen") | owned)
+        .select(*inventory.columns)
+    )
 
 
 def remaining_work(selected: DataFrame, checkpoints: DataFrame, job_id: int) -> DataFrame:

@@ -6,8 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # Quotes inside values are doubled, as spreadsheet tools expect, so that line breaks, commas
-# and quotes in error messages survive the round trip.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+# and quotes in error messages survive the round trip; times keep their microseconds.
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "multiLine": "true",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:

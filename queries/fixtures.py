@@ -23,7 +23,11 @@ TABLE_TYPE = (
     "WHEN 'FURNITURE' THEN 'FOREIGN' ELSE 'MANAGED' END"
 )
 CATALOG_NAME = "lower(replace(r_name, ' ', '_'))"
-INVENTORY_FIELDS = ", ".join(model.INVENTORY_COLUMNS)
+
+
+def inventory_columns(*values: str) -> list[str]:
+    pairs = zip(model.INVENTORY_COLUMNS, values, strict=True)
+    return [f"{value} AS {name}" for name, value in pairs]
 
 
 def inventory_struct(*values: str) -> str:
@@ -310,11 +314,11 @@ class Fixtures:
     def fx_ip_ranges(self) -> DataFrame:
         return self.table("supplier").selectExpr(
             "s_name AS recipient_name",
-            "explode(filter(array("
-            "named_struct('r', CASE WHEN s_suppkey % 5 <> 0 THEN concat('10.', s_nationkey, '.', "
+            "inline(filter(array("
+            "named_struct('allowed_ip_range', CASE WHEN s_suppkey % 5 <> 0 THEN concat('10.', s_nationkey, '.', "
             "s_suppkey % 256, '.0/24') END), "
-            "IF(s_suppkey % 2 = 0, named_struct('r', concat('192.168.', s_suppkey % 256, "
-            "'.0/24')), NULL)), x -> x IS NOT NULL)).r AS allowed_ip_range",
+            "IF(s_suppkey % 2 = 0, named_struct('allowed_ip_range', concat('192.168.', "
+            "s_suppkey % 256, '.0/24')), NULL)), x -> x IS NOT NULL))",
         )
 
     @cached_property
@@ -565,24 +569,20 @@ class Fixtures:
             "x -> x IS NOT NULL))"
         )
         catalogs = self.fx_catalogs.filter("catalog_name <> 'system'").selectExpr(
-            "inline(array("
-            + inventory_struct(
+            *inventory_columns(
                 "catalog_name", "'CATALOG'", "'ms'", "'METASTORE'", "catalog_name",
                 "CAST(-1000 - length(catalog_name) * 10 - ascii(catalog_name) % 10 AS BIGINT)",
                 "concat('CREATE CATALOG `', catalog_name, '`', CASE catalog_type "
                 "WHEN 'DELTA SHARING' THEN ' USING SHARE `p`.`s`' ELSE '' END)",
                 nothing, "last_altered",
             )
-            + "))"
         )
         schemas = self.nations.selectExpr(
-            "inline(array("
-            + inventory_struct(
+            *inventory_columns(
                 f"concat({CATALOG_NAME}, '.', lower(n_name))", "'SCHEMA'", CATALOG_NAME,
                 "'CATALOG'", "lower(n_name)", "CAST(-100 - n_nationkey AS BIGINT)",
                 "concat('CREATE SCHEMA `', lower(n_name), '`')", nothing, CREATED,
             )
-            + "))"
         )
         brand_number = "CAST(substr(p_brand, 7) AS BIGINT)"
         share_row = inventory_struct(
@@ -600,23 +600,23 @@ class Fixtures:
             .distinct()
             .selectExpr(f"inline(array({share_row}, {content_row}))")
         )
-        location_row = inventory_struct(
+        location_row = inventory_columns(
             "external_location_name", "'EXTERNAL LOCATION'", "storage_credential_name",
             "'STORAGE CREDENTIAL'", "external_location_name",
             "-100000 - CAST(substr(external_location_name, 5) AS BIGINT)",
             "concat('CREATE EXTERNAL LOCATION `', external_location_name, '`')",
             "CASE WHEN read_only THEN '{\"read_only\":true}' END", CREATED,
         )
-        credential_row = inventory_struct(
+        credential_row = inventory_columns(
             "storage_credential_name", "'STORAGE CREDENTIAL'", "'ms'", "'METASTORE'",
             "storage_credential_name", "-500 - CAST(substr(storage_credential_name, 6) AS BIGINT)",
             nothing, "'{\"name\":\"x\"}'", CREATED,
         )
-        locations = self.fx_external_locations.selectExpr(f"inline(array({location_row}))")
+        locations = self.fx_external_locations.selectExpr(*location_row)
         credentials = (
             self.fx_external_locations.select("storage_credential_name")
             .distinct()
-            .selectExpr(f"inline(array({credential_row}))")
+            .selectExpr(*credential_row)
         )
         return reduce(
             DataFrame.unionByName, [catalogs, schemas, tables, shares, locations, credentials]
