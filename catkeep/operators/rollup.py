@@ -42,22 +42,16 @@ def sorted_list(item: str | Column) -> Column:
     return F.array_sort(F.collect_set(item))
 
 
-def grant_statements(
-    df: DataFrame, keyword: str, statement=render.grant, name: str = "object_name"
-) -> DataFrame:
-    """One GRANT per object and grantee from rows (name, grantee, privilege_type).
+def grants_per_grantee(df: DataFrame) -> DataFrame:
+    """(object_name, grantee, privileges) from rows with one privilege_type each.
 
     Distinct privileges are what is collected, so a group is bounded by the catalog's
     vocabulary of privileges and repeats fold before the shuffle.
     """
     return (
         df.filter(F.col("privilege_type").isNotNull())
-        .groupBy(name, "grantee")
+        .groupBy("object_name", "grantee")
         .agg(F.array_join(sorted_list("privilege_type"), ", ").alias("privileges"))
-        .withColumn(
-            "restore_ddl",
-            statement(F.col("privileges"), F.lit(keyword), F.col(name), F.col("grantee")),
-        )
     )
 
 
@@ -75,11 +69,11 @@ def share_grant_statements(df: DataFrame) -> DataFrame:
     )
 
 
-def tag_statements(df: DataFrame, keyword: str, limit: int = GROUP_LIMIT) -> DataFrame:
-    """SET TAGS per object from rows (object_name, tag_name, tag_value).
+def tags_per_object(df: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
+    """(object_name, part, tags) from rows (object_name, tag_name, tag_value).
 
     Pairs without a value are dropped. SET TAGS adds to what is set, so an object with more
-    than ``limit`` pairs gets several statements.
+    than ``limit`` pairs gets several texts.
     """
     pairs = df.select(
         "object_name",
@@ -89,9 +83,6 @@ def tag_statements(df: DataFrame, keyword: str, limit: int = GROUP_LIMIT) -> Dat
         split_hot_groups(pairs, ["object_name"], "pair", limit)
         .groupBy("object_name", "part")
         .agg(F.array_join(sorted_list("pair"), ", ").alias("tags"))
-        .withColumn(
-            "restore_ddl", render.set_tags(F.lit(keyword), F.col("object_name"), F.col("tags"))
-        )
     )
 
 

@@ -93,19 +93,29 @@ def with_owner_rows(df: DataFrame, owner_rows: str | None) -> DataFrame:
     return df.select(F.inline(F.array(own, ownership)))
 
 
-def grant_rows(spec: GrantSpec, sources: Sources) -> DataFrame:
-    """Grants are rolled up first; only the rolled-up rows meet the list of existing objects."""
-    keyword = spec.keyword or spec.parent_type
-    rolled = rollup.grant_statements(kept_rows(spec, sources), keyword)
+def of_existing(rolled: DataFrame, spec: GrantSpec | TagSpec, sources: Sources) -> DataFrame:
+    """Keep roll-ups of existing objects and add their kind.
+
+    This comes after the roll-up: the join sees one row per object and grantee, and an object
+    with very many of them is split by the skew join because nothing groups by it afterwards.
+    """
     if spec.existing is not None:
-        rolled = rolled.join(spec.existing(sources), "object_name", "left_semi")
+        return rolled.join(spec.existing(sources), "object_name")
+    return rolled.withColumn("object_parent_type", F.lit(spec.parent_type))
+
+
+def grant_rows(spec: GrantSpec, sources: Sources) -> DataFrame:
+    rolled = of_existing(rollup.grants_per_grantee(kept_rows(spec, sources)), spec, sources)
+    keyword = F.lit(spec.keyword) if spec.keyword else F.col("object_parent_type")
     return rolled.select(
         "object_name",
         F.lit(model.PRIVILEGE).alias("object_type"),
         F.col("object_name").alias("object_parent_name"),
-        F.lit(spec.parent_type).alias("object_parent_type"),
+        "object_parent_type",
         F.col("grantee").alias("object_cross_relationship"),
-        "restore_ddl",
+        render.grant(
+            F.col("privileges"), keyword, F.col("object_name"), F.col("grantee")
+        ).alias("restore_ddl"),
         text.none().alias("api_payload"),
     )
 
@@ -123,16 +133,16 @@ def share_grant_rows(sources: Sources) -> DataFrame:
 
 
 def tag_rows(spec: TagSpec, sources: Sources) -> DataFrame:
-    rolled = rollup.tag_statements(kept_rows(spec, sources), spec.parent_type)
-    if spec.existing is not None:
-        rolled = rolled.join(spec.existing(sources), "object_name", "left_semi")
+    rolled = of_existing(rollup.tags_per_object(kept_rows(spec, sources)), spec, sources)
     return rolled.select(
         "object_name",
         F.lit(model.TAG).alias("object_type"),
         F.col("object_name").alias("object_parent_name"),
-        F.lit(spec.parent_type).alias("object_parent_type"),
+        "object_parent_type",
         F.col("tags").alias("object_cross_relationship"),
-        "restore_ddl",
+        render.set_tags(F.col("object_parent_type"), F.col("object_name"), F.col("tags")).alias(
+            "restore_ddl"
+        ),
         text.none().alias("api_payload"),
     )
 

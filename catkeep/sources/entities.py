@@ -2,12 +2,12 @@
 
 A declaration names its source table, the rows it keeps and how its inventory columns are
 made. ``catkeep.plans.backup`` turns all of them into inventory rows the same way. Sources
-are a plain dict of DataFrames by name; sources marked optional may be missing.
+are a mapping of DataFrames by name; sources marked optional may be missing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +17,7 @@ from catkeep import model
 from catkeep.functions import render, text
 from catkeep.operators import rollup, sections
 
-Sources = dict[str, DataFrame]
+Sources = Mapping[str, DataFrame]
 
 
 @dataclass(frozen=True)
@@ -63,12 +63,16 @@ class ObjectSpec:
 
 @dataclass(frozen=True)
 class GrantSpec:
-    """Direct grants on one kind of object, rolled up per grantee."""
+    """Direct grants, rolled up per grantee.
+
+    ``existing`` lists the objects whose grants are kept as (object_name, object_parent_type);
+    where it is given the kind comes from there, so one pass serves several kinds.
+    """
 
     key: str
     source: str
     name: tuple[str, ...]
-    parent_type: str
+    parent_type: str | None
     keyword: str | None = None
     reserved: Reserved | None = None
     inherited: bool = True
@@ -77,12 +81,12 @@ class GrantSpec:
 
 @dataclass(frozen=True)
 class TagSpec:
-    """Tags of one kind of object."""
+    """Tags of objects; ``existing`` as for grants."""
 
     key: str
     source: str
     name: tuple[str, ...]
-    parent_type: str
+    parent_type: str | None
     reserved: Reserved | None = None
     existing: Callable[[Sources], DataFrame] | None = None
 
@@ -90,16 +94,28 @@ class TagSpec:
 TABLE_NAME = ("table_catalog", "table_schema", "table_name")
 
 
-def _names_of(df: DataFrame) -> DataFrame:
-    return df.select(text.qualified(*TABLE_NAME).alias("object_name")).distinct()
+def _named(df: DataFrame, kind: str) -> DataFrame:
+    return df.select(
+        text.qualified(*TABLE_NAME).alias("object_name"), F.lit(kind).alias("object_parent_type")
+    )
 
 
-def stored_tables(sources: Sources) -> DataFrame:
-    return _names_of(sources["tables"].filter(F.col("table_type").isin(model.STORED_TABLE_KINDS)))
+def tables_and_views(sources: Sources) -> DataFrame:
+    """Stored tables and views that are not materialised, with their kind."""
+    stored = sources["tables"].filter(F.col("table_type").isin(model.STORED_TABLE_KINDS))
+    plain = sources["views"].filter(~F.col("is_materialized"))
+    return _named(stored, model.TABLE).unionByName(_named(plain, model.VIEW)).distinct()
 
 
-def plain_views(sources: Sources) -> DataFrame:
-    return _names_of(sources["views"].filter(~F.col("is_materialized")))
+def listed_connections(sources: Sources) -> DataFrame:
+    return (
+        sources["connections"]
+        .select(
+            F.col("connection_name").alias("object_name"),
+            F.lit(model.CONNECTION).alias("object_parent_type"),
+        )
+        .distinct()
+    )
 
 
 def _ensure(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -349,12 +365,8 @@ GRANTS = [
         "schema_privileges", "schema_privileges", ("catalog_name", "schema_name"), model.SCHEMA
     ),
     GrantSpec(
-        "table_privileges", "table_privileges", TABLE_NAME, model.TABLE,
-        reserved=Reserved("table_catalog", "table_schema"), existing=stored_tables,
-    ),
-    GrantSpec(
-        "view_privileges", "table_privileges", TABLE_NAME, model.VIEW,
-        reserved=Reserved("table_catalog", "table_schema"), existing=plain_views,
+        "table_view_privileges", "table_privileges", TABLE_NAME, None,
+        reserved=Reserved("table_catalog", "table_schema"), existing=tables_and_views,
     ),
     GrantSpec(
         "volume_privileges", "volume_privileges",
@@ -370,11 +382,8 @@ GRANTS = [
         ("external_location_name",), model.EXTERNAL_LOCATION,
     ),
     GrantSpec(
-        "connection_privileges", "connection_grants", ("connection_name",), model.CONNECTION,
-        inherited=False,
-        existing=lambda sources: sources["connections"].select(
-            F.col("connection_name").alias("object_name")
-        ).distinct(),
+        "connection_privileges", "connection_grants", ("connection_name",), None,
+        inherited=False, existing=listed_connections,
     ),
     GrantSpec(
         "model_privileges", "model_grants", ("registered_model_name",), model.REGISTERED_MODEL,
@@ -390,12 +399,8 @@ TAGS = [
     TagSpec("catalog_tags", "catalog_tags", ("catalog_name",), model.CATALOG),
     TagSpec("schema_tags", "schema_tags", ("catalog_name", "schema_name"), model.SCHEMA),
     TagSpec(
-        "table_tags", "table_tags", ("catalog_name", "schema_name", "table_name"), model.TABLE,
-        reserved=Reserved("catalog_name", "schema_name"), existing=stored_tables,
-    ),
-    TagSpec(
-        "view_tags", "table_tags", ("catalog_name", "schema_name", "table_name"), model.VIEW,
-        reserved=Reserved("catalog_name", "schema_name"), existing=plain_views,
+        "table_view_tags", "table_tags", ("catalog_name", "schema_name", "table_name"), None,
+        reserved=Reserved("catalog_name", "schema_name"), existing=tables_and_views,
     ),
     TagSpec(
         "volume_tags", "volume_tags", ("catalog_name", "schema_name", "volume_name"), model.VOLUME,
