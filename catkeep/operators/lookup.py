@@ -1,0 +1,27 @@
+"""Joins against lists of keys when one key may hold a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Most rows of a key list that is sent to every executor.
+BROADCAST_ROWS = 1_000_000
+# Ways the rows of one key are spread when the list is too long for that.
+SALTS = 32
+
+
+def join_lookup(
+    rows: DataFrame, lookup: DataFrame, keys: list[str], how: str, limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Join wide ``rows`` to a narrow ``lookup`` with one row per key.
+
+    The lookup is counted. Up to ``limit`` rows it is broadcast and ``rows`` stay where they
+    are. Beyond that both sides are shuffled with a salt taken from the row, the lookup once
+    per salt, so that a key with most of the rows is spread over that many tasks.
+    """
+    if lookup.count() <= limit:
+        return rows.join(F.broadcast(lookup), keys, how)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    return salted.join(lookup.withColumn("_salt", every_salt), [*keys, "_salt"], how).drop("_salt")

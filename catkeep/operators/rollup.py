@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catkeep.functions import render
 from catkeep.functions.text import info_key, literal, storage_host, ticked
+from catkeep.operators.lookup import join_lookup
 
 # Most items one text or array of a splittable roll-up holds.
 GROUP_LIMIT = 10_000
@@ -19,8 +20,9 @@ def split_hot_groups(
 ) -> DataFrame:
     """Add ``part``: 0 for groups of at most ``limit`` rows, else one of enough hash parts.
 
-    Only the oversized groups are joined back, at most one per ``limit`` source rows, and the
-    rows are spread by key and part, so a group that holds most of the rows is no hot task.
+    Groups are counted first, with the counts combined before the shuffle. Without oversized
+    groups nothing is joined; otherwise only those, at most one per ``limit`` source rows, are
+    looked up, so a group that holds most of the rows never meets in one task.
     """
     oversized = (
         df.groupBy(*keys)
@@ -28,13 +30,11 @@ def split_hot_groups(
         .filter(F.col("_n") > limit)
         .select(*keys, F.ceil(F.col("_n") / limit).alias("_parts"))
     )
-    part = F.pmod(F.xxhash64(item), F.col("_parts"))
-    return (
-        df.join(oversized, keys, "left")
-        .withColumn("part", F.coalesce(part, F.lit(0)).cast("int"))
-        .drop("_parts")
-        .repartition(*keys, "part")
-    )
+    if oversized.isEmpty():
+        return df.withColumn("part", F.lit(0))
+    part = F.coalesce(F.pmod(F.xxhash64(item), F.col("_parts")), F.lit(0))
+    found = join_lookup(df, oversized, keys, "left")
+    return found.withColumn("part", part.cast("int")).drop("_parts")
 
 
 def sorted_list(item: str | Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catkeep import model
+from catkeep.operators.lookup import join_lookup
 
 # --- fixed values: keys a specification may use ---------------------------------------
 METASTORE_KINDS = ["storage credential", "share", "recipient", "connection", "external location"]
@@ -141,7 +142,7 @@ def _flagged(inventory: DataFrame, spec: dict, extra: Column) -> DataFrame:
     """Rows that the specification selects or that satisfy ``extra``, with ``_chosen``.
 
     Children of whole catalogs are found through the schemas of those catalogs, one row per
-    schema; rows that can be neither are filtered in the scan.
+    schema; rows that can be neither are filtered in the scan. One schema may hold most rows.
     """
     chosen = read_spec(spec)
     by_rule = chosen.condition()
@@ -157,9 +158,9 @@ def _flagged(inventory: DataFrame, spec: dict, extra: Column) -> DataFrame:
     )
     in_schema = F.coalesce(F.col("object_parent_type") == model.SCHEMA, F.lit(False))
     below = F.coalesce(F.col("_below"), F.lit(False)) & in_schema
+    candidates = inventory.filter(by_rule | in_schema | extra)
     return (
-        inventory.filter(by_rule | in_schema | extra)
-        .join(schemas, "object_parent_name", "left")
+        join_lookup(candidates, schemas, ["object_parent_name"], "left")
         .withColumn("_chosen", by_rule | below)
         .filter(F.col("_chosen") | extra)
         .select(*inventory.columns, "_chosen")
@@ -191,7 +192,7 @@ def with_dependents(
     marked = owners.distinct().withColumn("_owned", F.lit(True))
     owned = F.coalesce(F.col("_owned"), F.lit(False)) & hanging
     return (
-        flagged.join(marked, keys, "left")
+        join_lookup(flagged, marked, keys, "left")
         .filter(F.col("_chosen") | owned)
         .select(*inventory.columns)
     )
@@ -200,16 +201,18 @@ def with_dependents(
 def remaining_work(selected: DataFrame, checkpoints: DataFrame, job_id: int) -> DataFrame:
     """Selected rows without a success in this job's log, each object once.
 
-    Repeats are found by id and name; rows that agree on those agree on their statement.
+    Repeats are found by id, or by content for rows without one. Neither is the object's name,
+    so an object with very many rows is spread.
     """
     done = (
         checkpoints.filter((F.col("jobid") == job_id) & (F.col("status") == model.SUCCEEDED))
         .select(F.col("rowid").alias("object_uid"))
         .distinct()
     )
-    identity = ["object_uid", "object_type", "object_name", "object_cross_relationship"]
+    content = F.xxhash64(*[F.coalesce(name, F.lit("\u0000")) for name in model.IDENTITY_COLUMNS])
     return (
         selected.join(done, "object_uid", "left_anti")
-        .dropDuplicates(identity)
+        .withColumn("_content", F.when(F.col("object_uid").isNull(), content))
+        .dropDuplicates(["object_uid", "_content"])
         .select(selected.columns)
     )

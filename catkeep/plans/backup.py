@@ -222,7 +222,7 @@ def carried_forward(sources: Sources, past: DataFrame) -> DataFrame:
     unchanged = classified_tables(sources, past).filter("unchanged").select("object_name")
     return (
         past.filter(of_tables & restorable())
-        .join(unchanged.distinct(), "object_name", "left_semi")
+        .join(unchanged, "object_name", "left_semi")
         .select(*model.INVENTORY_COLUMNS)
     )
 

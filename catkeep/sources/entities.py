@@ -104,17 +104,13 @@ def tables_and_views(sources: Sources) -> DataFrame:
     """Stored tables and views that are not materialised, with their kind."""
     stored = sources["tables"].filter(F.col("table_type").isin(model.STORED_TABLE_KINDS))
     plain = sources["views"].filter(~F.col("is_materialized"))
-    return _named(stored, model.TABLE).unionByName(_named(plain, model.VIEW)).distinct()
+    return _named(stored, model.TABLE).unionByName(_named(plain, model.VIEW))
 
 
 def listed_connections(sources: Sources) -> DataFrame:
-    return (
-        sources["connections"]
-        .select(
-            F.col("connection_name").alias("object_name"),
-            F.lit(model.CONNECTION).alias("object_parent_type"),
-        )
-        .distinct()
+    return sources["connections"].select(
+        F.col("connection_name").alias("object_name"),
+        F.lit(model.CONNECTION).alias("object_parent_type"),
     )
 
 

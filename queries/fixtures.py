@@ -295,7 +295,7 @@ class Fixtures:
 
     @cached_property
     def fx_share_grants(self) -> DataFrame:
-        lines = self.table("lineitem").select("l_partkey", "l_suppkey", "l_linestatus").distinct()
+        lines = self.table("lineitem").select("l_partkey", "l_suppkey", "l_linestatus")
         parts = self.table("part").select("p_partkey", F.col("p_brand").alias("share_name"))
         suppliers = self.table("supplier").select("s_suppkey", "s_name")
         by_brand = (
