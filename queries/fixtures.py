@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from catkeep import model
 from catkeep.operators.ordering import position_in_group
+from catkeep.session import scratch_path
 
 CREATED = "TIMESTAMP_NTZ '2000-01-01 00:00:00'"
 PAST_UNTIL = "TIMESTAMP_NTZ '2000-06-30 00:00:00'"
@@ -35,17 +36,37 @@ def inventory_struct(*values: str) -> str:
     return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in pairs) + ")"
 
 
+def failures_of(inventory: DataFrame) -> DataFrame:
+    return inventory.filter("object_uid % 10 = 7").selectExpr(
+        "object_uid",
+        "concat('Failed to create ', object_type, ': ', object_name) AS error_message",
+    )
+
+
 class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
         self._tables: dict[str, DataFrame] = {}
+        self._stored: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._tables[name]
 
+    def stored(self, name: str) -> DataFrame:
+        """An input written to the shared folder and read back.
+
+        An inventory is a stored table wherever it is restored or reported from. Queries that
+        read it several times read it as that, instead of deriving it each time.
+        """
+        if name not in self._stored:
+            path = scratch_path(self.spark, name)
+            getattr(self, name).write.parquet(path)
+            self._stored[name] = self.spark.read.parquet(path)
+        return self._stored[name]
+
     # --- catalogs, schemas, tables -------------------------------------------------
 
     @cached_property
@@ -686,10 +707,7 @@ class Fixtures:
 
     @cached_property
     def fx_failures(self) -> DataFrame:
-        return self.fx_inventory.filter("object_uid % 10 = 7").selectExpr(
-            "object_uid",
-            "concat('Failed to create ', object_type, ': ', object_name) AS error_message",
-        )
+        return failures_of(self.fx_inventory)
 
     @cached_property
     def fx_jobs(self) -> DataFrame:
