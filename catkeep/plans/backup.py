@@ -177,8 +177,12 @@ def entity(key: str, sources: Sources, run_at: Column, metastore: str) -> DataFr
 
 
 def available(sources: Sources) -> list[str]:
-    """Keys of the declarations whose source table is supplied."""
-    keys = [spec.key for spec in [*OBJECTS, *GRANTS, *TAGS] if spec.source in sources]
+    """Keys of the declarations all of whose sources are supplied."""
+    keys = [
+        spec.key
+        for spec in [*OBJECTS, *GRANTS, *TAGS]
+        if all(name in sources for name in (spec.source, *spec.needs))
+    ]
     return keys + ([SHARE_GRANTS] if SHARE_GRANTS in sources else [])
 
 
@@ -244,5 +248,6 @@ def incremental_backup(sources: Sources, past: DataFrame, run_at: Column, metast
     """Like ``full_backup``, but tables are only rendered again when they have to be."""
     others = [entity_rows(key, sources, metastore) for key in available(sources) if key != "tables"]
     tables = incremental_tables(sources, past, run_at, metastore)
-    whole = tables if not others else identified(reduce(DataFrame.unionByName, others), run_at).unionByName(tables)
-    return whole.filter(restorable())
+    if others:
+        tables = identified(reduce(DataFrame.unionByName, others), run_at).unionByName(tables)
+    return tables.filter(restorable())

@@ -2,7 +2,7 @@
 
 A declaration names its source table, the rows it keeps and how its inventory columns are
 made. ``catkeep.plans.backup`` turns all of them into inventory rows the same way. Sources
-are a mapping of DataFrames by name; sources marked optional may be missing.
+are a mapping of DataFrames by name; ``needs`` names the further sources a kind cannot do without.
 """
 
 from __future__ import annotations
@@ -58,7 +58,7 @@ class ObjectSpec:
     kinds: tuple[str, list[str]] | None = None
     shape: Callable[[DataFrame, Sources], DataFrame] = lambda df, _sources: df
     owner_rows: str | None = "statement"
-    incremental: bool = False
+    needs: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -77,6 +77,7 @@ class GrantSpec:
     reserved: Reserved | None = None
     inherited: bool = True
     existing: Callable[[Sources], DataFrame] | None = None
+    needs: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -89,6 +90,7 @@ class TagSpec:
     parent_type: str | None
     reserved: Reserved | None = None
     existing: Callable[[Sources], DataFrame] | None = None
+    needs: tuple[str, ...] = ()
 
 
 TABLE_NAME = ("table_catalog", "table_schema", "table_name")
@@ -272,7 +274,7 @@ OBJECTS = [
         "catalogs", model.CATALOG, "catalogs", ("catalog_name",), "catalog_owner",
         None, model.METASTORE,
         statement=_catalog_statement, payload=lambda: F.col("api_payload"),
-        reserved=Reserved("catalog_name", table_like=False), shape=_shape_catalogs,
+        reserved=Reserved("catalog_name", table_like=False), shape=_shape_catalogs, needs=("catalog_descriptions",),
     ),
     ObjectSpec(
         "schemas", model.SCHEMA, "schemata", ("catalog_name", "schema_name"), "schema_owner",
@@ -284,14 +286,14 @@ OBJECTS = [
         "tables", model.TABLE, "tables", TABLE_NAME, "table_owner",
         TABLE_NAME[:2], model.SCHEMA,
         statement=_table_statement, reserved=Reserved("table_catalog", "table_schema"),
-        kinds=("table_type", model.STORED_TABLE_KINDS), shape=_shape_tables, incremental=True,
+        kinds=("table_type", model.STORED_TABLE_KINDS), shape=_shape_tables,
     ),
     ObjectSpec(
         "views", model.VIEW, "tables", TABLE_NAME, "table_owner",
         TABLE_NAME[:2], model.SCHEMA,
         statement=lambda: text.view_statement(F.col("create_text"), F.col("object_name")),
         reserved=Reserved("table_catalog", "table_schema"),
-        kinds=("table_type", [model.VIEW_KIND]), shape=_shape_views,
+        kinds=("table_type", [model.VIEW_KIND]), shape=_shape_views, needs=("views",),
     ),
     ObjectSpec(
         "volumes", model.VOLUME, "volumes", ("volume_catalog", "volume_schema", "volume_name"),
@@ -307,6 +309,7 @@ OBJECTS = [
         ("specific_catalog", "specific_schema"), model.SCHEMA,
         statement=lambda: F.col("restore_ddl"),
         reserved=Reserved("specific_catalog", "specific_schema"), shape=_shape_functions,
+        needs=("function_descriptions",),
     ),
     ObjectSpec(
         "external_locations", model.EXTERNAL_LOCATION, "external_locations",
@@ -322,7 +325,7 @@ OBJECTS = [
         "recipients", model.RECIPIENT, "recipients", ("recipient_name",), "recipient_owner",
         None, model.METASTORE,
         statement=_recipient_statement, payload=lambda: F.col("api_payload"),
-        shape=_shape_recipients,
+        shape=_shape_recipients, needs=("recipient_allowed_ip_ranges",),
     ),
     ObjectSpec(
         "shares", model.SHARE, "shares", ("share_name",), "share_owner", None, model.METASTORE,
@@ -333,7 +336,7 @@ OBJECTS = [
         ("share_name",), model.SHARE,
         statement=_share_object_statement,
         relationship=lambda: text.shared_object_name(F.col("restore_ddl")),
-        shape=_shape_share_objects, owner_rows=None,
+        shape=_shape_share_objects, owner_rows=None, needs=("share_contents",),
     ),
     ObjectSpec(
         "connections", model.CONNECTION, "connections", ("connection_name",), "connection_owner",
@@ -347,6 +350,7 @@ OBJECTS = [
         "registered_models", model.REGISTERED_MODEL, "models", ("full_name",), "owner",
         ("catalog_name", "schema_name"), model.SCHEMA,
         payload=_model_payload, shape=_shape_models, owner_rows="payload",
+        needs=("model_versions",),
     ),
     ObjectSpec(
         "storage_credentials", model.STORAGE_CREDENTIAL, "storage_credentials",
@@ -363,6 +367,7 @@ GRANTS = [
     GrantSpec(
         "table_view_privileges", "table_privileges", TABLE_NAME, None,
         reserved=Reserved("table_catalog", "table_schema"), existing=tables_and_views,
+        needs=("tables", "views"),
     ),
     GrantSpec(
         "volume_privileges", "volume_privileges",
@@ -379,7 +384,7 @@ GRANTS = [
     ),
     GrantSpec(
         "connection_privileges", "connection_grants", ("connection_name",), None,
-        inherited=False, existing=listed_connections,
+        inherited=False, existing=listed_connections, needs=("connections",),
     ),
     GrantSpec(
         "model_privileges", "model_grants", ("registered_model_name",), model.REGISTERED_MODEL,
@@ -397,6 +402,7 @@ TAGS = [
     TagSpec(
         "table_view_tags", "table_tags", ("catalog_name", "schema_name", "table_name"), None,
         reserved=Reserved("catalog_name", "schema_name"), existing=tables_and_views,
+        needs=("tables", "views"),
     ),
     TagSpec(
         "volume_tags", "volume_tags", ("catalog_name", "schema_name", "volume_name"), model.VOLUME,
