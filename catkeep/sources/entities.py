@@ -116,6 +116,17 @@ def listed_connections(sources: Sources) -> DataFrame:
     )
 
 
+# --- fixed values: columns of a shown-grants listing and what they are called here ---
+SHOWN_GRANT_COLUMNS = {"Principal": "grantee", "ActionType": "privilege_type"}
+
+
+def shown_grants(listing: DataFrame, object_type: str, name: str) -> DataFrame:
+    """(name, grantee, privilege_type) from the rows of grant listings on one kind of object."""
+    renamed = {"ObjectKey": name, **SHOWN_GRANT_COLUMNS}
+    kept = listing.filter(F.col("ObjectType") == object_type)
+    return kept.withColumnsRenamed(renamed).select(*renamed.values())
+
+
 def _ensure(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Add the columns a source does not have as nulls."""
     missing = {name: text.none(kind) for name, kind in columns.items() if name not in df.columns}

@@ -1,4 +1,4 @@
-"""CSV reports."""
+"""Reports as CSV, and their inputs as SQL views."""
 
 from __future__ import annotations
 
@@ -17,6 +17,19 @@ CSV_OPTIONS = {
 }
 
 
+# --- fixed values: names the report inputs are known by in SQL ---
+INVENTORY_VIEW = "backup_table"
+JOBS_VIEW = "batch_job_table"
+CHECKPOINTS_VIEW = "batch_job_control_table"
+
+
+def register_views(inventory: DataFrame, jobs: DataFrame, checkpoints: DataFrame) -> None:
+    """Make the report inputs known to SQL under their fixed names."""
+    inventory.createOrReplaceTempView(INVENTORY_VIEW)
+    jobs.createOrReplaceTempView(JOBS_VIEW)
+    checkpoints.createOrReplaceTempView(CHECKPOINTS_VIEW)
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """``single_file`` is meant for aggregated reports of a few rows."""
     out = df.coalesce(1) if single_file else df

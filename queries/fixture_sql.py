@@ -383,6 +383,12 @@ SELECT storage_credential_name, concat('owner_', CAST(count(*) AS STRING)) AS st
 FROM fx_external_locations GROUP BY storage_credential_name
 """
 
+SQL["fx_credential_privileges"] = """
+SELECT storage_credential_name, external_location_owner AS grantee,
+       CASE WHEN read_only THEN 'READ FILES' ELSE 'WRITE FILES' END AS privilege_type, 'NONE' AS inherited_from
+FROM fx_external_locations GROUP BY storage_credential_name, external_location_owner, read_only
+"""
+
 SQL["fx_catalog_descriptions"] = """
 SELECT c.catalog_name, info_name,
        CASE info_name WHEN 'Catalog Type' THEN catalog_type WHEN 'Comment' THEN comment WHEN 'Options' THEN options

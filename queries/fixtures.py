@@ -67,6 +67,12 @@ class Fixtures:
             self._stored[name] = self.spark.read.parquet(path)
         return self._stored[name]
 
+    def keep(self, *names: str) -> Fixtures:
+        """Store inputs, so that everything derived from them reads the stored rows."""
+        for name in names:
+            self.__dict__[name] = self.stored(name)
+        return self
+
     # --- catalogs, schemas, tables -------------------------------------------------
 
     @cached_property
@@ -314,6 +320,15 @@ class Fixtures:
             )
         )
 
+    @cached_property
+    def fx_credential_privileges(self) -> DataFrame:
+        return self.fx_external_locations.selectExpr(
+            "storage_credential_name",
+            "external_location_owner AS grantee",
+            "CASE WHEN read_only THEN 'READ FILES' ELSE 'WRITE FILES' END AS privilege_type",
+            "'NONE' AS inherited_from",
+        ).distinct()
+
     @cached_property
     def fx_share_grants(self) -> DataFrame:
         lines = self.table("lineitem").select("l_partkey", "l_suppkey", "l_linestatus")

@@ -257,6 +257,9 @@ ROWS |= {
     "model_privileges": grants(
         "fx_model_grants", "registered_model_name", "REGISTERED MODEL", "FUNCTION", where="true"
     ),
+    "storage_credential_privileges": grants(
+        "fx_credential_privileges", "storage_credential_name", "STORAGE CREDENTIAL"
+    ),
     "share_recipient_privileges": f"""SELECT share_name AS object_name, 'PRIVILEGE' AS object_type, share_name AS object_parent_name,
        'SHARE' AS object_parent_type, {NO_TEXT} AS object_cross_relationship,
        'GRANT ' || string_agg(privilege_type, ', ' ORDER BY privilege_type) || ' ON SHARE `' || share_name || '` TO RECIPIENT `'
@@ -300,6 +303,7 @@ for _query, _key in {
     "location_grant_rollup": "external_location_privileges",
     "connection_grant_rollup": "connection_privileges",
     "model_grant_rollup": "model_privileges",
+    "credential_grant_rollup": "storage_credential_privileges",
     "share_grant_rollup": "share_recipient_privileges",
     "catalog_tag_rollup": "catalog_tags",
     "schema_tag_rollup": "schema_tags",
@@ -696,6 +700,7 @@ ORACLE["report_status_summary"] = with_inputs(
     """SELECT jobid, status, count(status) AS total_count, max(record_timestamp) AS record_timestamp FROM newest GROUP BY jobid, status""",
     newest=LATEST,
 )
+ORACLE["report_status_summary_sql"] = ORACLE["report_status_summary"]
 _REPORT = [
     "STORAGE CREDENTIAL", "EXTERNAL LOCATION", "CONNECTION", "SHARE", "RECIPIENT", "CATALOG", "SCHEMA", "TABLE", "VIEW", "FUNCTION",
     "REGISTERED MODEL",
