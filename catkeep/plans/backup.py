@@ -168,7 +168,10 @@ def entity_rows(key: str, sources: Sources, metastore: str) -> DataFrame:
         return grant_rows(spec, sources)
     if isinstance(spec, TagSpec):
         return tag_rows(spec, sources)
-    kept = changed_since(kept_rows(spec, sources), epoch())
+    kept = kept_rows(spec, sources)
+    if key != "tables":
+        # A table without a time of change is one that was never backed up, so it is due.
+        kept = changed_since(kept, epoch())
     return with_owner_rows(object_rows(spec, kept, sources, metastore), spec.owner_rows)
 
 
@@ -193,7 +196,10 @@ def full_backup(sources: Sources, run_at: Column, metastore: str) -> DataFrame:
 
 
 def classified_tables(sources: Sources, past: DataFrame) -> DataFrame:
-    """Current tables with ``refresh``: altered since the last run, or never backed up whole."""
+    """Current tables with ``refresh``: altered since the last run, or never backed up whole.
+
+    A table without a time of change is refreshed only in the second case.
+    """
     spec = BY_KEY["tables"]
     backed_up = (
         past.filter((F.col("object_type") == model.TABLE) & F.col("restore_ddl").isNotNull())
@@ -209,7 +215,6 @@ def classified_tables(sources: Sources, past: DataFrame) -> DataFrame:
             "refresh",
             F.coalesce(altered > since, F.lit(False)) | F.col("_backed_up").isNull(),
         )
-        .withColumn("unchanged", F.coalesce(altered <= since, F.lit(False)) & ~F.col("refresh"))
         .drop("_backed_up")
     )
 
@@ -223,7 +228,7 @@ def carried_forward(sources: Sources, past: DataFrame) -> DataFrame:
     of_tables = (F.col("object_type") == model.TABLE) | (
         (F.col("object_type") == model.OWNER) & (F.col("object_parent_type") == model.TABLE)
     )
-    unchanged = classified_tables(sources, past).filter("unchanged").select("object_name")
+    unchanged = classified_tables(sources, past).filter("NOT refresh").select("object_name")
     return (
         past.filter(of_tables & restorable())
         .join(unchanged, "object_name", "left_semi")
@@ -233,7 +238,7 @@ def carried_forward(sources: Sources, past: DataFrame) -> DataFrame:
 
 def refreshed_tables(sources: Sources, past: DataFrame, run_at: Column, metastore: str) -> DataFrame:
     spec = BY_KEY["tables"]
-    due = classified_tables(sources, past).filter("refresh").drop("refresh", "unchanged")
+    due = classified_tables(sources, past).filter("refresh").drop("refresh")
     rows = object_rows(spec, due, sources, metastore)
     return identified(with_owner_rows(rows, spec.owner_rows), run_at)
 

@@ -180,7 +180,7 @@ OWN: dict[str, str] = {
     "views": objects(
         "fx_tables AS t", TABLE_FULL, "VIEW", "table_catalog || '.' || table_schema", "SCHEMA",
         "table_owner", ddl=f"'CREATE VIEW ' || {quoted(TABLE_FULL)} || ' (a, b) AS SELECT (1) a, 2 b'",
-    ) + " WHERE table_type = 'VIEW' AND NOT EXISTS (SELECT 1 FROM fx_mat_views AS m WHERE m.table_catalog = t.table_catalog"
+    ) + " WHERE table_type = 'VIEW' AND last_altered > TIMESTAMP '1900-01-01 00:00:00' AND NOT EXISTS (SELECT 1 FROM fx_mat_views AS m WHERE m.table_catalog = t.table_catalog"
         " AND m.table_schema = t.table_schema AND m.table_name = t.table_name)",
     "volumes": objects(
         "fx_volumes", VOLUME_FULL, "VOLUME", "volume_catalog || '.' || volume_schema", "SCHEMA",
@@ -427,7 +427,7 @@ ORACLE["function_statements"] = with_inputs(
     f"SELECT 'c.s.f_' || p_partkey AS function_name, {FUNCTION_DDL} AS restore_ddl FROM part"
 )
 ORACLE["model_versions_plan"] = with_inputs(
-    """SELECT full_name AS object_name, CAST(version AS INTEGER) AS step, CAST(version AS BIGINT) AS version_number, run_id
+    """SELECT full_name AS object_name, CAST(version AS BIGINT) AS version_number, run_id
 FROM fx_models WHERE full_name IN (SELECT full_name FROM fx_model_list)"""
 )
 
@@ -470,7 +470,7 @@ WHERE object_name IN (SELECT object_name FROM to_refresh) AND {RESTORABLE}
 UNION ALL
 SELECT {IDENTITY}, created_tsp FROM fx_past
 WHERE (object_type = 'TABLE' OR (object_type = 'OWNER' AND object_parent_type = 'TABLE')) AND {RESTORABLE}
-  AND object_name IN (SELECT object_name FROM current_tables WHERE last_altered <= {WATERMARK})
+  AND object_name IN (SELECT object_name FROM current_tables WHERE last_altered <= {WATERMARK} OR last_altered IS NULL)
   AND object_name NOT IN (SELECT object_name FROM to_refresh)""",
     current_tables=CURRENT, to_refresh=REFRESH, own_tables=OWN["tables"], rows_of_kind=ROWS["tables"],
 )
