@@ -50,9 +50,8 @@ class Selection:
     whole_catalogs: list[str] = field(default_factory=list)
 
     def condition(self) -> Column:
-        """Never null, so that its negation selects exactly the other rows."""
-        tests = [rule.condition() for rule in self.rules]
-        return F.coalesce(reduce(Column.__or__, tests, F.lit(False)), F.lit(False))
+        """Plain comparisons, which the scan can use; null where a name or parent is null."""
+        return reduce(Column.__or__, [rule.condition() for rule in self.rules], F.lit(False))
 
 
 def _require(condition: bool, message: str) -> None:
@@ -145,9 +144,10 @@ def _flagged(inventory: DataFrame, spec: dict, extra: Column) -> DataFrame:
     schema; rows that can be neither are filtered in the scan. One schema may hold most rows.
     """
     chosen = read_spec(spec)
+    no = F.lit(False)
     by_rule = chosen.condition()
     if not chosen.whole_catalogs:
-        return inventory.filter(by_rule | extra).withColumn("_chosen", by_rule)
+        return inventory.filter(by_rule | extra).withColumn("_chosen", F.coalesce(by_rule, no))
     schemas = (
         inventory.filter(
             (F.col("object_type") == model.SCHEMA)
@@ -156,12 +156,12 @@ def _flagged(inventory: DataFrame, spec: dict, extra: Column) -> DataFrame:
         .select(F.col("object_name").alias("object_parent_name"), F.lit(True).alias("_below"))
         .distinct()
     )
-    in_schema = F.coalesce(F.col("object_parent_type") == model.SCHEMA, F.lit(False))
-    below = F.coalesce(F.col("_below"), F.lit(False)) & in_schema
+    in_schema = F.col("object_parent_type") == model.SCHEMA
+    below = F.col("_below") & in_schema
     candidates = inventory.filter(by_rule | in_schema | extra)
     return (
         join_lookup(candidates, schemas, ["object_parent_name"], "left")
-        .withColumn("_chosen", by_rule | below)
+        .withColumn("_chosen", F.coalesce(by_rule, no) | F.coalesce(below, no))
         .filter(F.col("_chosen") | extra)
         .select(*inventory.columns, "_chosen")
     )
