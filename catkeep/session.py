@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+#: Used where no folder is configured and the executors are threads of the driver.
+LOCAL_FOLDER = "/tmp/checkpoints/catkeep"
+
 
 def build_session(master: str | None = None, **settings: str) -> SparkSession:
     builder = (
@@ -23,11 +25,17 @@ def build_session(master: str | None = None, **settings: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The folder named in ``spark.checkpoint.dir``.
+
+    A cluster must configure one. Only with a ``local`` master, where driver and executors are one
+    process, a local folder stands in for it.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="catkeep-"))
+        if not named and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(named or LOCAL_FOLDER)
     return context.getCheckpointDir()
 
 
