@@ -316,7 +316,7 @@ def _block_pairs(blocks: DataFrame, bands: int, threshold: float, least: float)
                 to = cols[able[i]]
                 equal = sig[to] == sig[i]
                 good = equal.mean(axis=1) >= least
-                shared = equal[good].reshape(int(good.sum()), bands, -1).all(axis=2)
+                shared = equal[good].reshape(int(good.sum()), bands, sig.shape[1] // bands).all(axis=2)
                 for j in to[good][shared.argmax(axis=1) == band]:
                     u.append(ids[i])
                     v.append(ids[j])

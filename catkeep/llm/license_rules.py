@@ -38,18 +38,18 @@ LICENSES = [
     ("bsl-1.0", "boost", f"boost software licen[cs]e(?: {V}1 0)?", "bsl 1 0", "boost org license 1 0"),
     ("busl-1.1", "business", f"business source licen[cs]e(?: {V}1 1)?", "busl 1 1", "mariadb com bsl11"),
     ("cc0-1.0", "cc0", "(?:creative commons )?cc0(?: 1 0)?(?: universal)?", "cc0 1 0", "creativecommons org publicdomain zero 1 0"),
-    ("cc-by-2.0", "by", f"(?:cc by|creative commons attribution) (?:licen[cs]e )?{V}2 0", "cc by 2 0", "creativecommons org licenses by 2 0"),
-    ("cc-by-2.5", "by", f"(?:cc by|creative commons attribution) (?:licen[cs]e )?{V}2 5", "cc by 2 5", "creativecommons org licenses by 2 5"),
-    ("cc-by-3.0", "by", f"(?:cc by|creative commons attribution) (?:licen[cs]e )?{V}3 0", "cc by 3 0", "creativecommons org licenses by 3 0"),
-    ("cc-by-4.0", "by", f"(?:cc by|creative commons attribution) (?:licen[cs]e )?{V}4 0", "cc by 4 0", "creativecommons org licenses by 4 0"),
-    ("cc-by-nc-2.0", "nc", "cc by nc 2 0", "cc by nc 2 0", "creativecommons org licenses by nc 2 0"),
-    ("cc-by-nc-3.0", "nc", "cc by nc 3 0", "cc by nc 3 0", "creativecommons org licenses by nc 3 0"),
-    ("cc-by-nc-4.0", "nc", "cc by nc(?: 4 0)?", "cc by nc 4 0", "creativecommons org licenses by nc 4 0"),
-    ("cc-by-nc-nd-4.0", "nc", "cc by nc nd(?: 4 0)?", "cc by nc nd 4 0", "creativecommons org licenses by nc nd 4 0"),
-    ("cc-by-nc-sa-4.0", "nc", "cc by nc sa(?: 4 0)?", "cc by nc sa 4 0", "creativecommons org licenses by nc sa 4 0"),
-    ("cc-by-nd-4.0", "nd", "cc by nd(?: 4 0)?", "cc by nd 4 0", "creativecommons org licenses by nd 4 0"),
-    ("cc-by-sa-3.0", "sa", "cc by sa 3 0", "cc by sa 3 0", "creativecommons org licenses by sa 3 0"),
-    ("cc-by-sa-4.0", "sa", "cc by sa(?: 4 0)?", "cc by sa 4 0", "creativecommons org licenses by sa 4 0"),
+    ("cc-by-2.0", " cc by ", f"cc by (?:licen[cs]e )?{V}2 0", "cc by 2 0", "creativecommons org licenses by 2 0"),
+    ("cc-by-2.5", " cc by ", f"cc by (?:licen[cs]e )?{V}2 5", "cc by 2 5", "creativecommons org licenses by 2 5"),
+    ("cc-by-3.0", " cc by ", f"cc by (?:licen[cs]e )?{V}3 0", "cc by 3 0", "creativecommons org licenses by 3 0"),
+    ("cc-by-4.0", " cc by ", f"cc by (?:licen[cs]e )?{V}4 0", "cc by 4 0", "creativecommons org licenses by 4 0"),
+    ("cc-by-nc-2.0", " cc by ", "cc by nc 2 0", "cc by nc 2 0", "creativecommons org licenses by nc 2 0"),
+    ("cc-by-nc-3.0", " cc by ", "cc by nc 3 0", "cc by nc 3 0", "creativecommons org licenses by nc 3 0"),
+    ("cc-by-nc-4.0", " cc by ", "cc by nc(?: 4 0)?", "cc by nc 4 0", "creativecommons org licenses by nc 4 0"),
+    ("cc-by-nc-nd-4.0", " cc by ", "cc by nc nd(?: 4 0)?", "cc by nc nd 4 0", "creativecommons org licenses by nc nd 4 0"),
+    ("cc-by-nc-sa-4.0", " cc by ", "cc by nc sa(?: 4 0)?", "cc by nc sa 4 0", "creativecommons org licenses by nc sa 4 0"),
+    ("cc-by-nd-4.0", " cc by ", "cc by nd(?: 4 0)?", "cc by nd 4 0", "creativecommons org licenses by nd 4 0"),
+    ("cc-by-sa-3.0", " cc by ", "cc by sa 3 0", "cc by sa 3 0", "creativecommons org licenses by sa 3 0"),
+    ("cc-by-sa-4.0", " cc by ", "cc by sa(?: 4 0)?", "cc by sa 4 0", "creativecommons org licenses by sa 4 0"),
     ("cddl-1.0", "distribution", f"common development and distribution licen[cs]e(?: {V}1 0)?", "cddl 1 0", "opensource org licen[cs]es cddl 1 0"),
     ("cecill-2.1", "cecill", f"cecill(?: free software)?(?: licen[cs]e)?(?: agreement)?(?: {V}2 1)?", "cecill 2 1", "cecill info licen[cs]es"),
     ("cpl-1.0", "common", f"common public licen[cs]e(?: {V}1 0)?", "cpl 1 0", "opensource org licen[cs]es cpl 1 0"),
@@ -67,23 +67,23 @@ LICENSES = [
     ("lgpl-2.1", "lesser", f"{GNU}lesser general public licen[cs]e {V}2 1", "lgpl 2 1(?: only| or later)?", "gnu org licenses lgpl 2 1"),
     ("lgpl-3.0", "lesser", f"{GNU}lesser general public licen[cs]e(?: {V}3(?: 0)?)?", "lgpl 3 0(?: only| or later)?", "gnu org licenses lgpl 3 0"),
     ("lppl-1.3c", "latex", f"latex project public licen[cs]e(?: {V}1 3c?)?", "lppl 1 3c", "latex project org lppl"),
-    ("mit", "mit", "(?:the )?mit(?: x11| expat)? licen[cs]e", "mit", "opensource org licen[cs]es mit"),
-    ("mit-0", "mit", "mit no attribution(?: licen[cs]e)?", "mit 0", "opensource org licen[cs]es mit 0"),
+    ("mit", " mit ", "(?:the )?mit(?: x11| expat)? licen[cs]e", "mit", "opensource org licen[cs]es mit"),
+    ("mit-0", " mit ", "mit no attribution(?: licen[cs]e)?", "mit 0", "opensource org licen[cs]es mit 0"),
     ("mpl-1.1", "mozilla", f"mozilla public licen[cs]e {V}1 1", "mpl 1 1", "mozilla org mpl 1 1"),
     ("mpl-2.0", "mozilla", f"mozilla public licen[cs]e(?: {V}2(?: 0)?)?", "mpl 2 0", "mozilla org mpl 2 0"),
     ("ms-pl", "microsoft", "microsoft public licen[cs]e", "ms pl", "opensource org licen[cs]es ms pl"),
     ("ms-rl", "microsoft", "microsoft reciprocal licen[cs]e", "ms rl", "opensource org licen[cs]es ms rl"),
     ("ncsa", "ncsa", "(?:university of illinois )?ncsa open source licen[cs]e", "ncsa", "opensource org licen[cs]es ncsa"),
     ("odbl-1.0", "database", f"open (?:data commons open )?database licen[cs]e(?: {V}1 0)?", "odbl 1 0", "opendatacommons org licenses odbl"),
-    ("odc-by-1.0", "commons", f"open data commons attribution licen[cs]e(?: {V}1 0)?", "odc by 1 0", "opendatacommons org licenses by"),
+    ("odc-by-1.0", "open data", f"open data commons attribution licen[cs]e(?: {V}1 0)?", "odc by 1 0", "opendatacommons org licenses by"),
     ("ofl-1.1", "font", f"(?:sil )?open font licen[cs]e(?: {V}1 1)?", "ofl 1 1", "scripts sil org ofl"),
     ("openssl", "openssl", "openssl licen[cs]e", "openssl", "openssl org source license"),
-    ("osl-3.0", "open", f"open software licen[cs]e(?: {V}3 0)?", "osl 3 0", "opensource org licen[cs]es osl 3 0"),
+    ("osl-3.0", "open software", f"open software licen[cs]e(?: {V}3 0)?", "osl 3 0", "opensource org licen[cs]es osl 3 0"),
     ("pddl-1.0", "dedication", f"public domain dedication and licen[cs]e(?: {V}1 0)?", "pddl 1 0", "opendatacommons org licenses pddl"),
     ("php-3.01", "php", f"php licen[cs]e(?: {V}3 0?1)?", "php 3 01", "php net license 3 01"),
     ("postgresql", "postgresql", "postgresql licen[cs]e", "postgresql", "postgresql org about licence"),
     ("psf-2.0", "python", f"python software foundation licen[cs]e(?: {V}2)?", "python 2 0", "docs python org 3 license"),
-    ("qpl-1.0", "q", f"q public licen[cs]e(?: {V}1 0)?", "qpl 1 0", "opensource org licen[cs]es qpl 1 0"),
+    ("qpl-1.0", " q public ", f"q public licen[cs]e(?: {V}1 0)?", "qpl 1 0", "opensource org licen[cs]es qpl 1 0"),
     ("ruby", "ruby", "ruby licen[cs]e", "ruby", "ruby lang org en about license"),
     ("sspl-1.0", "side", f"server side public licen[cs]e(?: {V}1)?", "sspl 1 0", "mongodb com licensing server side public license"),
     ("unlicense", "unlicense", "(?:the )?unlicense", "unlicense", "unlicense org"),
@@ -118,6 +118,10 @@ OTHERS = [
     ("public", MENTION, "gpl", "general public licen[cs]e"),
     ("creative", MENTION, "creative-commons", "creative commons(?: licen[cs]e)?"),
     ("creative", NOTICE, "creative-commons", f"{GRANTED} creative commons(?: licen[cs]e)?"),
+    ("attribution", TITLE, "cc-by-2.0", f"creative commons attribution (?:licen[cs]e )?{V}2 0"),
+    ("attribution", TITLE, "cc-by-2.5", f"creative commons attribution (?:licen[cs]e )?{V}2 5"),
+    ("attribution", TITLE, "cc-by-3.0", f"creative commons attribution (?:licen[cs]e )?{V}3 0"),
+    ("attribution", TITLE, "cc-by-4.0", f"creative commons attribution (?:licen[cs]e )?{V}4 0"),
     ("sharealike", TITLE, "cc-by-sa", "creative commons attribution sharealike"),
     ("noncommercial", TITLE, "cc-by-nc", "creative commons attribution noncommercial"),
     ("noderivatives", TITLE, "cc-by-nd", "creative commons attribution noderiv(?:ative)?s"),
@@ -151,5 +155,5 @@ def all_rules() -> list[Rule]:
         if address:
             rules.append(Rule(address.split(" ")[0], TITLE, label, f"(?:https? )?(?:www )?{address}"))
         if first in ("bsd", "cc", "gpl", "lgpl", "agpl") and " " in identifier:
-            rules.append(Rule(first, TITLE, label, identifier))
+            rules.append(Rule(f" {first} ", TITLE, label, identifier))
     return rules + [Rule(k, r, label, pattern) for k, r, label, pattern in OTHERS]

@@ -24,14 +24,14 @@ RESULT = (
 BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
 WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Every rule and base phrase needs one of these in the lower-case text.
+#: Every rule and base phrase needs one of these in the lower-case text, or ``cc`` as a word.
 MARKS = (
     "licen", "gpl", "spdx", "copyright", "reserved", "public", "creative", "opensource", "gnu",
-    "permi", "warrant", "redistrib", "propriet", "eula", "prohibited", "commercial", "mit", "cc0",
-    "cecill", "wtfpl", "bsd", "historical", "openssl", "zlib", "attribution",
+    "permission", "warrant", "redistrib", "propriet", "eula", "prohibited", "commercial", "cc0",
+    "wtfpl", "bsd", "attribution", "mariadb", "eclipse", "europa", "lppl", "mozilla", "opendata",
+    "scripts", "consortium", "cecill",
 )
-#: The marks of one or two letters more: these need a look at what follows.
-SHORT_MARKS = rf"(?i)(?<![0-9A-Za-z\x{{80}}-\x{{10FFFF}}])(?:cc|isc|afl|mpl|epl|upl)(?![0-9A-Za-z\x{{80}}-\x{{10FFFF}}])"
+CC = r"(?i)(?<![0-9A-Za-z\x{80}-\x{10FFFF}])cc(?![0-9A-Za-z\x{80}-\x{10FFFF}])"
 START = "\x01"
 
 
@@ -72,12 +72,8 @@ def _rule_table(rules: list[Rule]) -> Column:
     )
 
 
-def _detections(words: Column, rules: list[Rule]) -> Column:
-    """Matches of all rules whose keyword is among the words, in order of place."""
-    keywords = F.filter(
-        F.array(*[F.lit(k) for k in sorted({r.keyword for r in rules})]), lambda k: F.contains(words, k)
-    )
-    usable = F.filter(_rule_table(rules), lambda r: F.array_contains(keywords, r["keyword"]))
+def _detections(words: Column, usable: Column) -> Column:
+    """Matches of the usable rules, in order of place."""
     found = F.transform(
         usable,
         lambda r: F.transform(
@@ -115,6 +111,12 @@ def unsuppressed(detections: Column, ranks: int = len(WEIGHT)) -> Column:
     return F.aggregate(detections, start, step, lambda s: s["kept"])
 
 
+def _labelled(places: Column, label: str) -> Column:
+    return F.transform(
+        places, lambda x: F.struct(x["start"].alias("start"), F.lit(label).alias("label"))
+    )
+
+
 def _labels(array: Column) -> Column:
     return F.array_sort(F.array_distinct(array))
 
@@ -126,38 +128,29 @@ def scan(documents: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     weight of the best class found, at least that of a title for base phrases.
     """
     rules = all_rules() if rules is None else rules
-    text = F.col("_text")
-    low = F.lower(text)
-    marked = F.rlike(text, F.lit(SHORT_MARKS))
-    for mark in MARKS:
-        marked = F.contains(low, F.lit(mark)) | marked
-    base = [(spans(F.col("_words"), F.lit(phrase)), label) for phrase, label in BASE]
+    text, words = F.col("_text"), F.col("_words")
+    marked = F.rlike(text, F.lit(CC))
+    for mark in reversed(MARKS):
+        marked = F.contains("_low", F.lit(mark)) | marked
+    keywords = F.array(*[F.lit(k) for k in sorted({r.keyword for r in rules})])
+    base = [_labelled(spans(words, F.lit(phrase)), label) for phrase, label in BASE]
+    # One step a column, so that none is worked out again inside the next.
     rows = (
         documents.select(*keep_but(documents, RESULT), text_or_empty().alias("_text"))
+        .withColumn("_low", F.lower("_text"))
         .withColumn("n_words", F.regexp_count(text, F.lit(WORD)).cast("long"))
         .withColumn("_words", F.when(marked, in_words(text)))
+        .withColumn("_base", F.when(words.isNotNull(), F.flatten(F.array(*base))))
+        .withColumn("_keywords", F.when(words.isNotNull(), F.filter(keywords, lambda k: F.contains(words, k))))
         .withColumn(
-            "_base",
+            "_usable",
             F.when(
-                F.col("_words").isNotNull(),
-                F.flatten(
-                    F.array(
-                        *[
-                            F.transform(
-                                s,
-                                lambda x, name=label: F.struct(
-                                    x["start"].alias("start"), F.lit(name).alias("label")
-                                ),
-                            )
-                            for s, label in base
-                        ]
-                    )
-                ),
+                F.size("_keywords") > 0,
+                F.filter(_rule_table(rules), lambda r: F.array_contains("_keywords", r["keyword"])),
             ),
         )
-        .withColumn(
-            "_found", F.when(F.col("_words").isNotNull(), unsuppressed(_detections(F.col("_words"), rules)))
-        )
+        .withColumn("_found", F.when(words.isNotNull(), _detections(words, F.col("_usable"))))
+        .withColumn("_found", unsuppressed(F.col("_found")))
     )
     starts = F.transform("_base", lambda b: b["start"].cast("long"))
     base_labels = F.coalesce(F.transform("_base", lambda b: b["label"]), F.array().cast("array<string>"))

@@ -2,7 +2,7 @@
 
 A word enters as the sum of its hashed word vector and of the vectors of its character 3- to 5-grams; what
 the network's input weights make of it is computed once per distinct word. Every text is scored whole, in
-windows that overlap by half; its score is that of its worst window. Training takes the worst window of
+overlapping windows; its score is that of its worst window. Training takes the worst window of
 each document as the current model sees it, so that a label of the document teaches the place.
 
 The network is fitted on the driver, on a bounded sample: at most ``sample`` documents of each class, those
@@ -29,7 +29,7 @@ from catkeep.llm.common import keep_but
 
 RESULT = ("score", "predicted")
 SAMPLE, MAX_CHARS = 1600, 100_000
-WINDOW, STRIDE = 48, 24
+WINDOW, STRIDE = 64, 48
 WORD_BUCKETS, GRAM_BUCKETS, WIDTH, HIDDEN, ATTENTION = 1 << 14, 1 << 16, 8, 8, 8
 EPOCHS, WARM_EPOCHS, BATCH, RATE = 14, 4, 128, 0.01
 #: Words a worker remembers with their inputs; the memory is started anew beyond that.
@@ -75,7 +75,7 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def window_starts(words: int) -> range:
     """Starts of overlapping windows that cover all words; one for no words."""
-    return range(0, max(1, words - STRIDE), STRIDE)
+    return range(0, max(1, words - (WINDOW - STRIDE)), STRIDE)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -265,7 +265,7 @@ def fit(texts: list[str], labels: list[int], share: float | None = None, seed: i
     count = np.diff(np.append(first, len(owner)))
     words = np.array(list(numbers) or [""], dtype=object)
     net, adam = Network.fresh(seed), Adam()
-    epochs = EPOCHS * max(1, min(4, 1200 // len(y)))
+    epochs = EPOCHS * max(1, min(3, 1200 // len(y)))
     for epoch in range(epochs):
         chosen = first + (rng.random(len(y)) * count).astype(np.int64)
         others = (first + (rng.random(len(y)) * count).astype(np.int64))[y == 0]
