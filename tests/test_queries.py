@@ -2,11 +2,13 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from queries.oracle import ORACLE as SQL
+from queries.registry import QUERIES as NAMED
+from queries.registry import runnable
 from tests.compare import connect, differences
 
-QUERIES = queries()
-SQL = oracle_sql()
+QUERIES = {name: runnable(name) for name in NAMED}
 
 
 @pytest.fixture(scope="module")
