@@ -96,10 +96,10 @@ def _block_row(block: int, documents: list[tuple], pattern: str, buckets: int) -
     order = np.argsort(of, kind="stable").astype(np.int32)
     place = np.empty(len(order), np.uint32)
     place[order] = np.arange(len(order), dtype=np.uint32)
-    edges = np.flatnonzero(np.diff(of[order], prepend=-1)) if len(order) else []
+    edges = np.append(np.flatnonzero(np.diff(of[order], prepend=-1)), len(order))
     parts = [
         {"bucket": int(of[order[a]]), "first": int(a), "words": names.take(pa.array(order[a:b])).to_pylist()}
-        for a, b in zip(edges, [*edges[1:], len(order)], strict=True)
+        for a, b in zip(edges[:-1], edges[1:], strict=True)
     ]
     flat = np.concatenate(codes) if codes else np.empty(0, np.uint32)
     return {
