@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,13 +45,12 @@ def latest_catalog_events(
     return newest_per_key(named, "catalog_name", [F.desc("event_time"), F.asc("action_name")])
 
 
-def live_catalogs(latest: DataFrame) -> DataFrame:
-    """Catalogs whose newest event is no deletion, reserved names left out."""
+def live_catalogs(latest: DataFrame, left_out: Sequence[str] = ()) -> DataFrame:
+    """Catalogs whose newest event is no deletion, without reserved names and those ``left_out``."""
     name = F.col("catalog_name")
     return latest.filter(
         (F.col("action_name") != model.DELETE_CATALOG_ACTION)
-        & ~name.isin(model.RESERVED_CATALOGS_AUDIT)
-        & ~F.rlike(name, F.lit(model.VENDOR_CATALOG_PATTERN))
+        & ~name.isin([*model.RESERVED_CATALOGS_AUDIT, *left_out])
     )
 
 
@@ -58,6 +59,7 @@ def unbound_catalogs(
     visible: DataFrame,
     since: DataFrame | None = None,
     metastore: str | None = None,
+    left_out: Sequence[str] = (),
 ) -> DataFrame:
-    seen = live_catalogs(latest_catalog_events(audit, since, metastore))
+    seen = live_catalogs(latest_catalog_events(audit, since, metastore), left_out)
     return seen.select("catalog_name").subtract(visible.select("catalog_name"))

@@ -29,9 +29,13 @@ def with_column_ddl(columns: DataFrame) -> DataFrame:
 
 
 def property_maps(rows: DataFrame, key: str) -> DataFrame:
-    """Rows (key, value) per table as a map; a table has few distinct property keys."""
-    entries = F.array_sort(F.collect_set(F.struct("key", "value")))
-    return rows.groupBy(key).agg(F.map_from_entries(entries).alias("properties"))
+    """Rows (key, value) per table as a map; of several values of a key the greatest counts.
+
+    A table's distinct property keys are few, as they are all part of one statement.
+    """
+    single = rows.filter(F.col("key").isNotNull()).groupBy(key, "key").agg(F.max("value").alias("value"))
+    entries = F.array_sort(F.collect_list(F.struct("key", "value")))
+    return single.groupBy(key).agg(F.map_from_entries(entries).alias("properties"))
 
 
 def constraint_arrays(rows: DataFrame, key: str) -> DataFrame:

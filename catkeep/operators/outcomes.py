@@ -63,13 +63,10 @@ def latest_status(log: DataFrame) -> DataFrame:
 
 
 def _objects(inventory: DataFrame, columns: list[str]) -> DataFrame:
-    """Inventory with every uid once, so that a join on it repeats no log row.
-
-    The kind is part of what the uid is made from. Grouping by both leaves the shuffle on the
-    uid alone to the join, which can then split an object that has most of the log rows.
-    """
+    """Inventory objects by id. An inventory holds every id once: it is a hash of the row's content,
+    and snapshots are checked for repeats when they are committed."""
     objects = inventory.select(F.col("object_uid").alias("rowid"), *columns)
-    return objects.filter(F.col("rowid").isNotNull()).dropDuplicates(["rowid", "object_type"])
+    return objects.filter(F.col("rowid").isNotNull())
 
 
 REPORT_COLUMNS = [

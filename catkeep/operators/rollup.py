@@ -7,34 +7,11 @@ from pyspark.sql import functions as F
 
 from catkeep.functions import render
 from catkeep.functions.text import info_key, literal, storage_host, ticked
-from catkeep.operators.lookup import join_lookup
 
-# Most items one text or array of a splittable roll-up holds.
-GROUP_LIMIT = 10_000
 # Items joined into one piece before the pieces of a group meet.
 PIECE = 1_000
-
-
-def split_hot_groups(
-    df: DataFrame, keys: list[str], item: str, limit: int = GROUP_LIMIT
-) -> DataFrame:
-    """Add ``part``: 0 for groups of at most ``limit`` rows, else one of enough hash parts.
-
-    Groups are counted first, with the counts combined before the shuffle. Without oversized
-    groups nothing is joined; otherwise only those, at most one per ``limit`` source rows, are
-    looked up, so a group that holds most of the rows never meets in one task.
-    """
-    oversized = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > limit)
-        .select(*keys, F.ceil(F.col("_n") / limit).alias("_parts"))
-    )
-    if oversized.isEmpty():
-        return df.withColumn("part", F.lit(0))
-    part = F.coalesce(F.pmod(F.xxhash64(item), F.col("_parts")), F.lit(0))
-    found = join_lookup(df, oversized, keys, "left")
-    return found.withColumn("part", part.cast("int")).drop("_parts")
+# Ways the items of one object are spread before its lists meet.
+BUCKETS = 32
 
 
 def sorted_list(item: str | Column) -> Column:
@@ -42,6 +19,18 @@ def sorted_list(item: str | Column) -> Column:
     return F.array_sort(F.collect_set(item))
 
 
+def gathered(rows: DataFrame, keys: list[str], item: str) -> DataFrame:
+    """``items``: the distinct non-null items of every group, in order.
+
+    Repeats go first, per group and bucket of items, where the rows are and then in as many tasks as
+    there are buckets. Only the distinct items of a group meet: they become one text or array, so
+    they are bounded by what a single value may hold (2 GB), whatever the number of rows.
+    """
+    spread = rows.withColumn("_bucket", F.pmod(F.xxhash64(item), F.lit(BUCKETS)))
+    parts = spread.groupBy(*keys, "_bucket").agg(F.collect_set(item).alias("_items"))
+    return parts.groupBy(*keys).agg(F.array_sort(F.flatten(F.collect_list("_items"))).alias("items"))
+
+
 def grants_per_grantee(df: DataFrame) -> DataFrame:
     """(object_name, grantee, privileges) from rows with one privilege_type each.
 
@@ -69,44 +58,32 @@ def share_grant_statements(df: DataFrame) -> DataFrame:
     )
 
 
-def tags_per_object(df: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
-    """(object_name, part, tags) from rows (object_name, tag_name, tag_value).
-
-    Pairs without a value are dropped. SET TAGS adds to what is set, so an object with more
-    than ``limit`` pairs gets several texts.
-    """
+def tags_per_object(df: DataFrame) -> DataFrame:
+    """(object_name, tags) from rows (object_name, tag_name, tag_value); pairs without a value are dropped."""
     pairs = df.select(
         "object_name",
         F.concat(literal(F.col("tag_name")), F.lit(" = "), literal(F.col("tag_value"))).alias("pair"),
     ).filter(F.col("pair").isNotNull())
-    return (
-        split_hot_groups(pairs, ["object_name"], "pair", limit)
-        .groupBy("object_name", "part")
-        .agg(F.array_join(sorted_list("pair"), ", ").alias("tags"))
+    return gathered(pairs, ["object_name"], "pair").select(
+        "object_name", F.array_join("items", ", ").alias("tags")
     )
 
 
-def address_payloads(ranges: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
-    """Allowed address ranges per recipient as JSON, in parts beyond ``limit`` ranges."""
-    allowed = F.struct(sorted_list("allowed_ip_range").alias("allowed_ip_addresses"))
-    return (
-        split_hot_groups(ranges, ["recipient_name"], "allowed_ip_range", limit)
-        .groupBy("recipient_name", "part")
-        .agg(F.to_json(F.struct(allowed.alias("ip_access_list"))).alias("api_payload"))
+def address_payloads(ranges: DataFrame) -> DataFrame:
+    """All allowed address ranges of a recipient as one JSON payload."""
+    allowed = F.struct(F.col("items").alias("allowed_ip_addresses"))
+    return gathered(ranges, ["recipient_name"], "allowed_ip_range").select(
+        "recipient_name", F.to_json(F.struct(allowed.alias("ip_access_list"))).alias("api_payload")
     )
 
 
-def locations_by_host(locations: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
-    """Names of the external locations on each storage host, in parts beyond ``limit`` names."""
+def locations_by_host(locations: DataFrame) -> DataFrame:
+    """Names of the external locations on each storage host."""
     hosted = locations.filter(
         F.col("external_location_name").isNotNull() & F.col("url").isNotNull()
     ).select(storage_host(F.col("url")).alias("host"), "external_location_name")
-    return (
-        split_hot_groups(hosted, ["host"], "external_location_name", limit)
-        .groupBy("host", "part")
-        .agg(
-            F.array_sort(F.collect_list("external_location_name")).alias("external_location_names")
-        )
+    return gathered(hosted, ["host"], "external_location_name").withColumnRenamed(
+        "items", "external_location_names"
     )
 
 
@@ -155,28 +132,26 @@ def column_lists(columns: DataFrame, key: str, piece: int = PIECE) -> DataFrame:
     )
 
 
-def model_payloads(
-    versions: DataFrame, version_fields: list[str], limit: int = GROUP_LIMIT
-) -> DataFrame:
-    """Versions of a model as JSON array text in version order, ``limit`` numbers per part."""
+def model_payloads(versions: DataFrame, version_fields: list[str], piece: int = PIECE) -> DataFrame:
+    """All versions of a model as one JSON array text in version order.
+
+    Texts are joined per slice of ``piece`` version numbers, in as many tasks, before those of a model
+    meet; the array is one value of the model's payload.
+    """
     number = F.col("version").cast("long")
-    return (
-        versions.select(
-            "full_name",
-            F.floor(number / limit).alias("part"),
-            F.struct(
-                number.alias("number"), F.to_json(F.struct(*version_fields)).alias("json")
-            ).alias("entry"),
-        )
-        .groupBy("full_name", "part")
-        .agg(F.array_sort(F.collect_list("entry")).alias("_entries"))
-        .select(
-            "full_name",
-            "part",
-            F.concat(F.lit("["), F.array_join(F.col("_entries.json"), ","), F.lit("]")).alias(
-                "versions_json"
-            ),
-        )
+    entry = F.struct(number.alias("number"), F.to_json(F.struct(*version_fields)).alias("json"))
+    slices = (
+        versions.withColumn("_slice", F.floor(number / piece))
+        .groupBy("full_name", "_slice")
+        .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+        .select("full_name", "_slice", F.array_join(F.col("_entries.json"), ",").alias("_text"))
+    )
+    joined = slices.groupBy("full_name").agg(
+        F.array_sort(F.collect_list(F.struct("_slice", "_text"))).alias("_texts")
+    )
+    return joined.select(
+        "full_name",
+        F.concat(F.lit("["), F.array_join(F.col("_texts._text"), ","), F.lit("]")).alias("versions_json"),
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -10,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catkeep import model
-from catkeep.operators.lookup import join_lookup
 
 # --- fixed values: keys a specification may use ---------------------------------------
 METASTORE_KINDS = ["storage credential", "share", "recipient", "connection", "external location"]
@@ -60,12 +58,12 @@ def _require(condition: bool, message: str) -> None:
 
 
 def _names(value, place: str) -> tuple[str, ...] | None:
-    """None for "*"."""
+    """None for "*", alone or in a list."""
     if value == "*":
         return None
     _require(isinstance(value, list), f"{place} must be a list or '*'")
     _require(all(isinstance(item, str) for item in value), f"{place} must hold strings")
-    return tuple(value)
+    return None if "*" in value else tuple(value)
 
 
 def read_spec(spec: dict) -> Selection:
@@ -127,11 +125,6 @@ def _read_children(schema: str, kinds, chosen: Selection) -> None:
     for kind, value in kinds.items():
         _require(kind in SCHEMA_CHILD_KINDS, f"unknown kind '{kind}' in schema '{schema}'")
         names = _names(value, f"'{kind}' of schema '{schema}'")
-        for name in names or ():
-            try:
-                re.compile(name)
-            except re.error as error:
-                raise ValueError(f"bad name pattern '{name}'") from error
         chosen.rules.append(
             Rule(kind.upper(), names, parent_type=model.SCHEMA, parent=schema)
         )
@@ -160,7 +153,7 @@ def _flagged(inventory: DataFrame, spec: dict, extra: Column) -> DataFrame:
     below = F.col("_below") & in_schema
     candidates = inventory.filter(by_rule | in_schema | extra)
     return (
-        join_lookup(candidates, schemas, ["object_parent_name"], "left")
+        candidates.join(schemas, "object_parent_name", "left")
         .withColumn("_chosen", F.coalesce(by_rule, no) | F.coalesce(below, no))
         .filter(F.col("_chosen") | extra)
         .select(*inventory.columns, "_chosen")
@@ -177,9 +170,9 @@ def with_dependents(
 ) -> DataFrame:
     """Selected rows and the owner, tag, grant and share-content rows of the core objects.
 
-    Dependents are matched by name, or by name and kind with ``match_parent_type``. Whether a
-    row is selected or hangs off a selected object is decided per row, so nothing is united
-    and no distinct over statement text is needed.
+    Dependents are matched by name, or by name and kind with ``match_parent_type``. The chosen
+    objects are read once as narrow names; a second read is marked by them. Adaptive execution
+    broadcasts the names where they turn out small and splits hot ones where they do not.
     """
     hanging = F.col("object_type").isin(model.DEPENDENT_TYPES)
     flagged = _flagged(inventory, spec, hanging)
@@ -192,7 +185,7 @@ def with_dependents(
     marked = owners.distinct().withColumn("_owned", F.lit(True))
     owned = F.coalesce(F.col("_owned"), F.lit(False)) & hanging
     return (
-        join_lookup(flagged, marked, keys, "left")
+        flagged.join(marked, keys, "left")
         .filter(F.col("_chosen") | owned)
         .select(*inventory.columns)
     )
@@ -210,9 +203,14 @@ def remaining_work(selected: DataFrame, checkpoints: DataFrame, job_id: int) ->
         .distinct()
     )
     content = F.xxhash64(*[F.coalesce(name, F.lit("\u0000")) for name in model.IDENTITY_COLUMNS])
+    # The key is never null, so rows without an id do not meet in one task; the flag keeps a content
+    # hash from being taken for an id.
+    keyed = selected.withColumns(
+        {"_no_id": F.col("object_uid").isNull(), "_key": F.coalesce("object_uid", content)}
+    )
+    done = done.select(F.lit(False).alias("_no_id"), F.col("object_uid").alias("_key"))
     return (
-        selected.join(done, "object_uid", "left_anti")
-        .withColumn("_content", F.when(F.col("object_uid").isNull(), content))
-        .dropDuplicates(["object_uid", "_content"])
+        keyed.join(done, ["_key", "_no_id"], "left_anti")
+        .dropDuplicates(["_key", "_no_id"])
         .select(selected.columns)
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,7 @@ from catkeep import model
 from catkeep.functions import render, text
 from catkeep.operators import rollup
 from catkeep.operators.checks import restorable
+from catkeep.session import shared_folder
 from catkeep.sources.entities import (
     BY_KEY,
     GRANTS,
@@ -43,11 +45,13 @@ def watermark(inventory: DataFrame, object_type: str = model.TABLE) -> DataFrame
     )
 
 
-def kept_rows(spec: ObjectSpec | GrantSpec | TagSpec, sources: Sources) -> DataFrame:
+def kept_rows(
+    spec: ObjectSpec | GrantSpec | TagSpec, sources: Sources, left_out: Sequence[str] = ()
+) -> DataFrame:
     """Source rows of a declaration that pass its filters, with ``object_name``."""
     df = sources[spec.source]
     if spec.reserved is not None:
-        df = df.filter(spec.reserved.keep())
+        df = df.filter(spec.reserved.keep(left_out))
     if isinstance(spec, ObjectSpec) and spec.kinds is not None:
         column, values = spec.kinds
         df = df.filter(F.col(column).isin(values))
@@ -60,16 +64,16 @@ def object_rows(spec: ObjectSpec, kept: DataFrame, sources: Sources, metastore:
     """Inventory columns of objects, with their owner still alongside."""
     shaped = spec.shape(kept, sources)
     parent = F.lit(metastore) if spec.parent is None else text.qualified(*spec.parent)
-    rendered = shaped.select(
+    return shaped.withColumn("restore_ddl", spec.statement().cast("string")).select(
         "object_name",
         (F.col(spec.owner) if spec.owner else text.none()).alias("object_owner"),
         F.lit(spec.object_type).alias("object_type"),
         parent.alias("object_parent_name"),
         F.lit(spec.parent_type).alias("object_parent_type"),
-        spec.statement().cast("string").alias("restore_ddl"),
+        "restore_ddl",
         spec.payload().cast("string").alias("api_payload"),
+        spec.relationship().alias("object_cross_relationship"),
     )
-    return rendered.withColumn("object_cross_relationship", spec.relationship())
 
 
 def with_owner_rows(df: DataFrame, owner_rows: str | None) -> DataFrame:
@@ -100,12 +104,12 @@ def of_existing(rolled: DataFrame, spec: GrantSpec | TagSpec, sources: Sources)
     with very many of them is split by the skew join because nothing groups by it afterwards.
     """
     if spec.existing is not None:
-        return rolled.join(spec.existing(sources), "object_name")
+        return rolled.join(spec.existing(sources).distinct(), "object_name")
     return rolled.withColumn("object_parent_type", F.lit(spec.parent_type))
 
 
-def grant_rows(spec: GrantSpec, sources: Sources) -> DataFrame:
-    rolled = of_existing(rollup.grants_per_grantee(kept_rows(spec, sources)), spec, sources)
+def grant_rows(spec: GrantSpec, sources: Sources, left_out: Sequence[str] = ()) -> DataFrame:
+    rolled = of_existing(rollup.grants_per_grantee(kept_rows(spec, sources, left_out)), spec, sources)
     keyword = F.lit(spec.keyword) if spec.keyword else F.col("object_parent_type")
     return rolled.select(
         "object_name",
@@ -132,8 +136,8 @@ def share_grant_rows(sources: Sources) -> DataFrame:
     )
 
 
-def tag_rows(spec: TagSpec, sources: Sources) -> DataFrame:
-    rolled = of_existing(rollup.tags_per_object(kept_rows(spec, sources)), spec, sources)
+def tag_rows(spec: TagSpec, sources: Sources, left_out: Sequence[str] = ()) -> DataFrame:
+    rolled = of_existing(rollup.tags_per_object(kept_rows(spec, sources, left_out)), spec, sources)
     return rolled.select(
         "object_name",
         F.lit(model.TAG).alias("object_type"),
@@ -159,24 +163,28 @@ def identified(df: DataFrame, run_at: Column) -> DataFrame:
     ).select(*model.INVENTORY_COLUMNS)
 
 
-def entity_rows(key: str, sources: Sources, metastore: str) -> DataFrame:
+def entity_rows(
+    key: str, sources: Sources, metastore: str, left_out: Sequence[str] = ()
+) -> DataFrame:
     """All rows of one declaration, before ids."""
     if key == SHARE_GRANTS:
         return share_grant_rows(sources)
     spec = BY_KEY[key]
     if isinstance(spec, GrantSpec):
-        return grant_rows(spec, sources)
+        return grant_rows(spec, sources, left_out)
     if isinstance(spec, TagSpec):
-        return tag_rows(spec, sources)
-    kept = kept_rows(spec, sources)
+        return tag_rows(spec, sources, left_out)
+    kept = kept_rows(spec, sources, left_out)
     if key != "tables":
         # A table without a time of change is one that was never backed up, so it is due.
         kept = changed_since(kept, epoch())
     return with_owner_rows(object_rows(spec, kept, sources, metastore), spec.owner_rows)
 
 
-def entity(key: str, sources: Sources, run_at: Column, metastore: str) -> DataFrame:
-    return identified(entity_rows(key, sources, metastore), run_at)
+def entity(
+    key: str, sources: Sources, run_at: Column, metastore: str, left_out: Sequence[str] = ()
+) -> DataFrame:
+    return identified(entity_rows(key, sources, metastore, left_out), run_at)
 
 
 def available(sources: Sources) -> list[str]:
@@ -189,13 +197,18 @@ def available(sources: Sources) -> list[str]:
     return keys + ([SHARE_GRANTS] if SHARE_GRANTS in sources else [])
 
 
-def full_backup(sources: Sources, run_at: Column, metastore: str) -> DataFrame:
-    """Every supplied source as one inventory; rows that cannot be re-created are left out."""
-    parts = [entity_rows(key, sources, metastore) for key in available(sources)]
+def full_backup(
+    sources: Sources, run_at: Column, metastore: str, left_out: Sequence[str] = ()
+) -> DataFrame:
+    """Every supplied source as one inventory; rows that cannot be re-created are left out.
+
+    ``left_out`` names further catalogs that are not backed up, such as the platform's own.
+    """
+    parts = [entity_rows(key, sources, metastore, left_out) for key in available(sources)]
     return identified(reduce(DataFrame.unionByName, parts), run_at).filter(restorable())
 
 
-def classified_tables(sources: Sources, past: DataFrame) -> DataFrame:
+def classified_tables(sources: Sources, past: DataFrame, left_out: Sequence[str] = ()) -> DataFrame:
     """Current tables with ``refresh``: altered since the last run, or never backed up whole.
 
     A table without a time of change is refreshed only in the second case.
@@ -209,7 +222,7 @@ def classified_tables(sources: Sources, past: DataFrame) -> DataFrame:
     altered = F.col("last_altered").cast("timestamp_ntz")
     since = watermark(past).scalar()
     return (
-        kept_rows(spec, sources)
+        kept_rows(spec, sources, left_out)
         .join(backed_up, "object_name", "left")
         .withColumn(
             "refresh",
@@ -223,12 +236,12 @@ def tables_to_refresh(sources: Sources, past: DataFrame) -> DataFrame:
     return classified_tables(sources, past).filter("refresh").select("object_name")
 
 
-def carried_forward(sources: Sources, past: DataFrame) -> DataFrame:
+def carried_forward(past: DataFrame, classified: DataFrame) -> DataFrame:
     """Past table and table-owner rows of tables that still exist unchanged."""
     of_tables = (F.col("object_type") == model.TABLE) | (
         (F.col("object_type") == model.OWNER) & (F.col("object_parent_type") == model.TABLE)
     )
-    unchanged = classified_tables(sources, past).filter("NOT refresh").select("object_name")
+    unchanged = classified.filter("NOT refresh").select("object_name")
     return (
         past.filter(of_tables & restorable())
         .join(unchanged, "object_name", "left_semi")
@@ -236,23 +249,36 @@ def carried_forward(sources: Sources, past: DataFrame) -> DataFrame:
     )
 
 
-def refreshed_tables(sources: Sources, past: DataFrame, run_at: Column, metastore: str) -> DataFrame:
+def refreshed_tables(
+    classified: DataFrame, sources: Sources, run_at: Column, metastore: str
+) -> DataFrame:
     spec = BY_KEY["tables"]
-    due = classified_tables(sources, past).filter("refresh").drop("refresh")
+    due = classified.filter("refresh").drop("refresh")
     rows = object_rows(spec, due, sources, metastore)
     return identified(with_owner_rows(rows, spec.owner_rows), run_at)
 
 
-def incremental_tables(sources: Sources, past: DataFrame, run_at: Column, metastore: str) -> DataFrame:
-    """Table rows of the next snapshot: refreshed ones and those carried over."""
-    fresh = refreshed_tables(sources, past, run_at, metastore)
-    return fresh.unionByName(carried_forward(sources, past))
+def incremental_tables(
+    sources: Sources, past: DataFrame, run_at: Column, metastore: str, left_out: Sequence[str] = ()
+) -> DataFrame:
+    """Table rows of the next snapshot: refreshed ones and those carried over.
+
+    Tables are classified once; the list is checkpointed because both halves read it.
+    """
+    shared_folder(past.sparkSession)
+    classified = classified_tables(sources, past, left_out).checkpoint()
+    fresh = refreshed_tables(classified, sources, run_at, metastore)
+    return fresh.unionByName(carried_forward(past, classified))
 
 
-def incremental_backup(sources: Sources, past: DataFrame, run_at: Column, metastore: str) -> DataFrame:
+def incremental_backup(
+    sources: Sources, past: DataFrame, run_at: Column, metastore: str, left_out: Sequence[str] = ()
+) -> DataFrame:
     """Like ``full_backup``, but tables are only rendered again when they have to be."""
-    others = [entity_rows(key, sources, metastore) for key in available(sources) if key != "tables"]
-    tables = incremental_tables(sources, past, run_at, metastore)
+    others = [
+        entity_rows(key, sources, metastore, left_out) for key in available(sources) if key != "tables"
+    ]
+    tables = incremental_tables(sources, past, run_at, metastore, left_out)
     if others:
         tables = identified(reduce(DataFrame.unionByName, others), run_at).unionByName(tables)
     return tables.filter(restorable())

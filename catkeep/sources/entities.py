@@ -7,7 +7,7 @@ are a mapping of DataFrames by name; ``needs`` names the further sources a kind
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -28,13 +28,11 @@ class Reserved:
     schema: str | None = None
     table_like: bool = True
 
-    def keep(self) -> Column:
-        """Null namespaces are dropped as well."""
+    def keep(self, left_out: Sequence[str] = ()) -> Column:
+        """Rows outside the reserved names and the catalogs ``left_out``; null namespaces go as well."""
         catalogs = model.RESERVED_CATALOGS_TABLE_LIKE if self.table_like else model.RESERVED_CATALOGS
         schemas = model.RESERVED_SCHEMAS_TABLE_LIKE if self.table_like else model.RESERVED_SCHEMAS
-        kept = ~F.col(self.catalog).isin(catalogs) & ~F.rlike(
-            self.catalog, F.lit(model.VENDOR_CATALOG_PATTERN)
-        )
+        kept = ~F.col(self.catalog).isin([*catalogs, *left_out])
         if self.schema is not None:
             kept = kept & ~F.col(self.schema).isin(schemas)
         return kept
@@ -226,20 +224,14 @@ def _shape_functions(df: DataFrame, sources: Sources) -> DataFrame:
 
 
 def _shape_recipients(df: DataFrame, sources: Sources) -> DataFrame:
-    """Ranges beyond one payload follow as payload-only rows of the recipient."""
     payloads = rollup.address_payloads(sources["recipient_allowed_ip_ranges"])
-    joined = df.join(payloads, "recipient_name", "left")
-    first = F.coalesce(F.col("part") == 0, F.lit(True))
-    return joined.withColumns(
-        {"_first": first, "recipient_owner": F.when(first, F.col("recipient_owner"))}
-    )
+    return df.join(payloads, "recipient_name", "left")
 
 
 def _recipient_statement() -> Column:
-    whole = render.recipient(
+    return render.recipient(
         F.col("recipient_name"), F.col("data_recipient_global_metastore_id"), F.col("comment")
     )
-    return F.when(F.col("_first"), whole)
 
 
 def _shape_share_objects(df: DataFrame, sources: Sources) -> DataFrame:
@@ -264,7 +256,6 @@ MODEL_VERSION_FIELDS = [
 
 
 def _shape_models(df: DataFrame, sources: Sources) -> DataFrame:
-    """A model with very many versions gets further rows that hold the later versions."""
     df = _ensure(df, dict.fromkeys(MODEL_FIELDS, "string"))
     versions = sources["model_versions"].withColumn("name", F.col("full_name"))
     present = [name for name in MODEL_VERSION_FIELDS if name in versions.columns]
@@ -346,7 +337,7 @@ OBJECTS = [
         "share_objects", model.SHARE_OBJECT, "shares", ("share_name",), None,
         ("share_name",), model.SHARE,
         statement=_share_object_statement,
-        relationship=lambda: text.shared_object_name(F.col("restore_ddl")),
+        relationship=lambda: F.when(F.col("restore_ddl").isNotNull(), text.quoted(F.col("shared_object"))),
         shape=_shape_share_objects, owner_rows=None, needs=("share_contents",),
     ),
     ObjectSpec(

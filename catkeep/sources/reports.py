@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # Quotes inside values are doubled, as spreadsheet tools expect, so that line breaks, commas
-# and quotes in error messages survive the round trip; times keep their microseconds.
+# and quotes in error messages survive the round trip; times keep their microseconds. CSV is for
+# people: a file with line breaks inside values is read whole by one task, so what goes on to be
+# queried is kept as Parquet.
 CSV_OPTIONS = {
     "header": "true",
     "quote": '"',

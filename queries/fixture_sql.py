@@ -160,7 +160,10 @@ SELECT table_id, 'c.s.filter_fn' AS name, CASE WHEN table_id % 14 = 0 THEN 'a,b'
 SQL["fx_view_text"] = """
 SELECT concat(table_catalog, '.', table_schema, '.', table_name) AS view_name,
        concat(CASE table_id % 3 WHEN 0 THEN 'CREATE VIEW ' WHEN 1 THEN 'create or replace view ' ELSE 'CREATE VIEW IF NOT EXISTS ' END,
-              table_schema, '.', table_name, ' (a, b) AS SELECT (1) a, 2 b') AS create_text
+              CASE table_id % 2 WHEN 0 THEN concat(table_schema, '.', table_name)
+              ELSE concat('`', table_schema, '`.`', table_name, '`') END,
+              CASE table_id % 5 WHEN 0 THEN ' AS SELECT x FROM t WHERE f(x) > 1'
+              WHEN 1 THEN chr(10) || 'AS SELECT 1 AS one' ELSE ' (a, b) AS SELECT (1) a, 2 b' END) AS create_text
 FROM fx_tables WHERE table_type = 'VIEW'
 """
 

@@ -179,7 +179,7 @@ OWN: dict[str, str] = {
     ) + f" WHERE table_type IN ('EXTERNAL', 'MANAGED') AND {RESERVED_SCHEMA}",
     "views": objects(
         "fx_tables AS t", TABLE_FULL, "VIEW", "table_catalog || '.' || table_schema", "SCHEMA",
-        "table_owner", ddl=f"'CREATE VIEW ' || {quoted(TABLE_FULL)} || ' (a, b) AS SELECT (1) a, 2 b'",
+        "table_owner", ddl=f"'CREATE VIEW ' || {quoted(TABLE_FULL)} || CASE table_id % 5 WHEN 0 THEN ' AS SELECT x FROM t WHERE f(x) > 1' WHEN 1 THEN ' AS SELECT 1 AS one' ELSE ' (a, b) AS SELECT (1) a, 2 b' END",
     ) + " WHERE table_type = 'VIEW' AND last_altered > TIMESTAMP '1900-01-01 00:00:00' AND NOT EXISTS (SELECT 1 FROM fx_mat_views AS m WHERE m.table_catalog = t.table_catalog"
         " AND m.table_schema = t.table_schema AND m.table_name = t.table_name)",
     "volumes": objects(
@@ -319,14 +319,14 @@ ORACLE["owner_rows"] = with_inputs(
 )
 
 ORACLE["recipient_ip_payload"] = with_inputs(
-    """SELECT recipient_name, CAST(0 AS INTEGER) AS part,
+    """SELECT recipient_name,
        '{"ip_access_list":{"allowed_ip_addresses":[' || coalesce(string_agg('"' || allowed_ip_range || '"', ','
        ORDER BY allowed_ip_range), '') || ']}}' AS api_payload
 FROM fx_ip_ranges GROUP BY recipient_name"""
 )
 
 ORACLE["external_locations_by_host"] = with_inputs(
-    """SELECT host, CAST(0 AS INTEGER) AS part, string_agg(external_location_name, ',' ORDER BY external_location_name) AS external_location_names
+    """SELECT host, string_agg(external_location_name, ',' ORDER BY external_location_name) AS external_location_names
 FROM (SELECT external_location_name, CASE WHEN url LIKE '%@%' THEN split_part(split_part(url, '@', 2), '/', 1)
              ELSE regexp_extract(url, '://([^/]+)', 1) END AS host FROM fx_external_locations) AS hosted
 GROUP BY host"""

@@ -32,10 +32,14 @@ def test_reserved_and_null_namespaces_and_kinds(spark):
             ("s", "never", "MANAGED", "o", None)]
     source = tables(spark, *rows)
     others = source.filter("table_name = 'a'")
-    vendor = others.withColumn("table_catalog", F.lit("__vendor_internal"))
+    vendor = others.withColumn("table_catalog", F.lit("__sales_internal"))
     system = others.withColumn("table_catalog", F.lit("system"))
     every = source.unionByName(vendor).unionByName(system)
     got = backup.entity("tables", {"tables": every}, run_at(), "ms").collect()
+    # Only exact names are reserved; further catalogs are left out when the caller names them.
+    user = "__sales_internal.s.a"
+    assert {row.object_name for row in got} == {"c.s.a", "c.default.e", "c.s.never", user}
+    got = backup.entity("tables", {"tables": every}, run_at(), "ms", ["__sales_internal"]).collect()
     assert {row.object_name for row in got} == {"c.s.a", "c.default.e", "c.s.never"}
     # Schemas and catalogs have longer lists than tables.
     schemata = spark.createDataFrame(

@@ -96,13 +96,14 @@ def log(spark):
 
 def test_reports(spark, tmp_path):
     mine = outcomes.of_job(log(spark), 2)
-    report = outcomes.detailed_report(mine, objects(spark))
+    inventory = objects(spark).dropDuplicates(["object_uid"])
+    report = outcomes.detailed_report(mine, inventory)
     assert report.columns == outcomes.REPORT_COLUMNS
-    assert report.count() == 4  # the repeated uid repeats no log row, the unknown one stays
+    assert report.count() == 4  # the unknown one stays
     assert report.filter("rowid = 9").first().object_name is None
     summary = {r.status: (r.total_count, r.record_timestamp) for r in outcomes.status_summary(mine).collect()}
     assert summary == {"Succeeded": (2, hours(3)), "Failed": (1, hours(3))}
-    by_type = [(r.object_type, r.status, r.report_rank) for r in outcomes.report_by_type(mine, objects(spark)).collect()]
+    by_type = [(r.object_type, r.status, r.report_rank) for r in outcomes.report_by_type(mine, inventory).collect()]
     # A table is listed with its schema, its owner row with the table.
     assert set(by_type) == {("TABLE", "Succeeded", 7), ("OWNER", "Failed", 8), (None, "Succeeded", 12)}
     reports.write_csv(report, str(tmp_path / "r"))
@@ -138,11 +139,13 @@ def events(spark):
 
 def test_unbound(spark):
     visible = spark.createDataFrame([("c",)], "catalog_name string")
-    assert {r[0] for r in audit.unbound_catalogs(events(spark), visible.limit(0), metastore="ms").collect()} == {"b", "c"}
-    assert {r[0] for r in audit.unbound_catalogs(events(spark), visible, metastore="ms").collect()} == {"b"}
+    assert {r[0] for r in audit.unbound_catalogs(events(spark), visible.limit(0), metastore="ms").collect()} == {"b", "c", "__vendor_internal"}
+    left_out = ["__vendor_internal"]
+    assert {r[0] for r in audit.unbound_catalogs(events(spark), visible.limit(0), None, "ms", left_out).collect()} == {"b", "c"}
+    assert {r[0] for r in audit.unbound_catalogs(events(spark), visible, metastore="ms").collect()} == {"b", "__vendor_internal"}
     assert audit.unbound_catalogs(events(spark), visible, metastore="else").isEmpty()
     inventory = spark.createDataFrame([(hours(5),)], "created_tsp timestamp_ntz")
     since = audit.look_back_start(inventory)
     assert since.first()[0] == hours(3)
-    assert {r[0] for r in audit.unbound_catalogs(events(spark), visible.limit(0), since).collect()} == {"c"}
+    assert {r[0] for r in audit.unbound_catalogs(events(spark), visible.limit(0), since).collect()} == {"c", "__vendor_internal"}
     assert audit.look_back_start(inventory.limit(0)).first()[0] == dt.datetime(1900, 1, 1)

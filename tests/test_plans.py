@@ -39,10 +39,32 @@ def test_selection_filters_reach_the_scan_and_nothing_is_shuffled(store):
 
 def test_short_key_lists_are_broadcast(store):
     spec = {"metastore": {"catalog": {"asia": "*"}}}
-    plan = tree(selection.with_dependents(store.read(), spec))
+    df = selection.with_dependents(store.read(), spec)
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    plan = tree(df).split("== Initial Plan ==")[0]
     assert plan.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in plan
 
 
+def test_dependents_need_no_job_while_the_plan_is_built(store, spark):
+    tracker = spark.sparkContext.statusTracker()
+    inventory, before = store.read(), len(tracker.getJobIdsForGroup(None))
+    spec = {"metastore": {"catalog": {"asia": {"schema": {"asia.nation_2": "*"}}}}}
+    plan = tree(selection.with_dependents(inventory, spec))
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    assert plan.count("FileScan") <= 2
+
+
+def test_report_shuffles_the_inventory_once(store, spark, sf_dir):
+    log = outcomes.of_job(Fixtures(spark, sf_dir).fx_checkpoint, 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = tree(outcomes.detailed_report(log, store.read()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning(rowid") == 2
+
+
 def test_diff_is_one_shuffle_over_two_directories(store):
     df = timeline.diff_versions(store.all_versions(), 0, 1)
     text = formatted(df)

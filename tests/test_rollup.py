@@ -1,11 +1,12 @@
-"""Roll-ups, with small limits so that splitting happens on a few rows."""
+"""Roll-ups, also of objects with very many rows."""
 
-from collections import defaultdict
+import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from catkeep.operators import rollup
-from catkeep.operators.lookup import join_lookup
+from catkeep.plans import backup
 
 
 def test_grants_sort_and_repeat_once(spark):
@@ -19,29 +20,38 @@ def test_tags_drop_pairs_without_value_and_empty_objects(spark):
     rows = [("a", "k", "v"), ("a", "j", "it's"), ("a", "n", None), ("b", "n", None)]
     df = spark.createDataFrame(rows, "object_name string, tag_name string, tag_value string")
     got = rollup.tags_per_object(df).collect()
-    assert [tuple(row) for row in got] == [("a", 0, "'j' = 'it''s', 'k' = 'v'")]
-
-
-def test_hot_object_gets_several_whole_tag_texts(spark):
-    hot = [("hot", f"k{i:03}", "v") for i in range(300)]
-    rest = [(f"o{i}", "k", "v") for i in range(50)]
-    df = spark.createDataFrame(hot + rest, "object_name string, tag_name string, tag_value string")
-    got = defaultdict(list)
-    for row in rollup.tags_per_object(df, limit=40).collect():
-        got[row.object_name].append(row.tags)
-    assert len(got["hot"]) > 1 and all(len(got[f"o{i}"]) == 1 for i in range(50))
-    pairs = [pair for tags in got["hot"] for pair in tags.split(", ")]
-    assert sorted(pairs) == [f"'k{i:03}' = 'v'" for i in range(300)]
-
-
-def test_hot_host_keeps_every_name(spark):
-    rows = [(f"l{i}", "abfss://c@h/p") for i in range(100)] + [("x", "s3://b/p"), (None, "s3://b/p")]
-    df = spark.createDataFrame(rows, "external_location_name string, url string")
-    got = rollup.locations_by_host(df, limit=30).collect()
-    names = [name for row in got if row.host == "h" for name in row.external_location_names]
-    assert sorted(names) == sorted(f"l{i}" for i in range(100))
-    assert len([row for row in got if row.host == "h"]) > 1
-    assert [row.external_location_names for row in got if row.host == "b"] == [["x"]]
+    assert [tuple(row) for row in got] == [("a", "'j' = 'it''s', 'k' = 'v'")]
+
+
+@pytest.mark.parametrize("distinct", [1, 3, 25_000])
+def test_one_whole_row_per_object_at_any_size(spark, distinct):
+    item = F.concat(F.lit("i"), F.lpad((F.col("id") % distinct).cast("string"), 5, "0"))
+    rows = spark.range(25_000).select(F.lit("hot").alias("name"), item.alias("item"))
+    want = [f"i{i:05}" for i in range(distinct)]
+    tags = rows.select(F.col("name").alias("object_name"), F.col("item").alias("tag_name"), F.lit("v").alias("tag_value"))
+    [row] = rollup.tags_per_object(tags).collect()
+    assert row.tags == ", ".join(f"'{i}' = 'v'" for i in want)
+    [row] = rollup.address_payloads(rows.toDF("recipient_name", "allowed_ip_range")).collect()
+    assert json.loads(row.api_payload)["ip_access_list"]["allowed_ip_addresses"] == want
+    hosts = rows.select(F.col("item").alias("external_location_name"), F.lit("s3://h/p").alias("url"))
+    [row] = rollup.locations_by_host(hosts).collect()
+    assert (row.host, row.external_location_names) == ("h", want)
+
+
+def test_recipient_keeps_its_statement_with_very_many_ranges(spark):
+    ranges = spark.range(24_000).select(
+        F.concat(F.lit("r"), F.col("id") % 2).alias("recipient_name"), (F.col("id") % 12_000).cast("string").alias("allowed_ip_range")
+    )
+    recipients = spark.createDataFrame(
+        [("r0", "o", "g", "c", None), ("r1", "o", "g", "c", None), ("r2", "o", "g", "c", None)],
+        "recipient_name string, recipient_owner string, data_recipient_global_metastore_id string, comment string, last_altered timestamp_ntz",
+    ).drop("last_altered")
+    found = backup.entity(
+        "recipients", {"recipients": recipients, "recipient_allowed_ip_ranges": ranges}, F.lit("2024-01-01").cast("timestamp_ntz"), "ms"
+    ).collect()
+    rows = [r for r in found if r.object_type == "RECIPIENT"]
+    assert sorted(r.object_name for r in rows) == ["r0", "r1", "r2"]
+    assert all(r.restore_ddl.startswith("CREATE RECIPIENT") for r in rows) and len(found) == 6
 
 
 def test_address_payload_without_ranges_is_an_empty_list(spark):
@@ -64,14 +74,12 @@ def test_column_lists_do_not_depend_on_piece_size(spark):
     assert next(iter(one))[2] == ", ".join(f"`c{p}`" for _, p in parts)
 
 
-def test_model_versions_are_ordered_as_numbers_and_split(spark):
+def test_model_versions_are_ordered_as_numbers_in_one_row(spark):
     rows = [("m", str(v), f"run{v}") for v in range(1, 26)]
     df = spark.createDataFrame(rows, "full_name string, version string, run_id string")
-    got = sorted(rollup.model_payloads(df, ["version"], limit=10).collect(), key=lambda r: r.part)
-    assert [row.part for row in got] == [0, 1, 2]
-    assert got[0].versions_json == "[" + ",".join(f'{{"version":"{v}"}}' for v in range(1, 10)) + "]"
-    whole = rollup.model_payloads(df, ["version"]).collect()
-    assert len(whole) == 1 and whole[0].versions_json.count("version") == 25
+    for piece in (10, 1000):
+        [row] = rollup.model_payloads(df, ["version"], piece=piece).collect()
+        assert row.versions_json == "[" + ",".join(f'{{"version":"{v}"}}' for v in range(1, 26)) + "]"
 
 
 def test_descriptions_to_columns(spark):
@@ -80,12 +88,3 @@ def test_descriptions_to_columns(spark):
     got = {row[0]: (row[1], row[2]) for row in rollup.description_columns(df, "catalog_name", ["catalog_type", "comment"]).collect()}
     assert got == {"c": ("X", "n"), "d": (None, None)}
 
-
-def test_lookup_beyond_the_limit_gives_the_same_rows(spark):
-    rows = spark.range(500).select(F.col("id"), (F.col("id") % 3 * (F.col("id") % 2)).alias("k"))
-    rows = rows.withColumn("k", F.when(F.col("id") % 50 != 0, F.col("k")))
-    keys = spark.createDataFrame([(0, "a"), (2, "b")], "k long, mark string")
-    for how in ("left", "inner", "left_semi", "left_anti"):
-        small = join_lookup(rows, keys, ["k"], how)
-        large = join_lookup(rows, keys, ["k"], how, limit=1)
-        assert sorted(map(str, small.collect())) == sorted(map(str, large.select(small.columns).collect()))

@@ -99,7 +99,6 @@ def test_everything_includes_rows_without_parent(inventory):
         in_catalog(["t"]),
         in_catalog({"index": "*"}),
         in_catalog({"table": "t"}),
-        in_catalog({"table": ["("]}),
     ],
 )
 def test_bad_specs(spec):
