@@ -451,6 +451,16 @@ INVENTORY = (
     "object_uid, restore_ddl, api_payload, created_tsp"
 )
 RESTORABLE = "(restore_ddl IS NOT NULL OR api_payload IS NOT NULL)"
+_ALL_ROWS = "\nUNION ALL\n".join(
+    f"SELECT {IDENTITY} FROM ({sql}) AS rows_{key}" for key, sql in ROWS.items()
+)
+ORACLE["backup_ids"] = with_inputs(
+    f"""SELECT count(*) AS objects, (SELECT count(*) FROM (SELECT DISTINCT * FROM kept) AS d) AS contents,
+       (SELECT count(*) FROM (SELECT DISTINCT * FROM kept) AS d) AS ids, CAST(0 AS BIGINT) AS without_id FROM kept""",
+    **TABLE_STEPS, **_BACKUP_STEPS, own_tables=FULL_TABLES, all_rows=_ALL_ROWS,
+    kept="SELECT * FROM all_rows WHERE restore_ddl IS NOT NULL OR api_payload IS NOT NULL",
+)
+
 ORACLE["snapshot_write_read"] = with_inputs(f"SELECT {INVENTORY} FROM fx_past WHERE {RESTORABLE}")
 
 WATERMARK = (
@@ -595,16 +605,26 @@ STAGE = (
 PLAN_PARENT = (
     f"CASE WHEN {STAGE} = 'table' THEN regexp_extract(object_parent_name, '([^.]+\\.[^.]+)', 1) ELSE object_parent_name END"
 )
-ORACLE["restore_plan"] = with_inputs(
-    f"""SELECT {PHASE} AS phase, {STAGE} AS stage, object_uid, object_type, object_name, object_parent_type,
+PLAN = f"""SELECT {PHASE} AS phase, {STAGE} AS stage, object_uid, object_type, object_name, object_parent_type,
        {PLAN_PARENT} AS object_parent_name, restore_ddl AS statement, api_payload,
        CASE WHEN object_type = 'TABLE' AND restore_ddl IS NOT NULL THEN 'CREATE TABLE ' || {quoted('object_name')} || {NL} || 'USING DELTA'
             || CASE WHEN restore_ddl LIKE '%LOCATION %' THEN {NL} || 'LOCATION ''' || regexp_extract(restore_ddl, 'LOCATION ''([^'']+)''', 1) || ''''
                ELSE '' END END AS fallback_ddl,
        {NO_TEXT} AS fallback_props_ddl
-FROM work ORDER BY phase, object_name""",
-    **WORK_STEPS,
-)
+FROM work"""
+ORACLE["restore_plan"] = with_inputs(f"{PLAN} ORDER BY phase, object_name", **WORK_STEPS)
+ORACLE["backup_restore_roundtrip"] = with_inputs(
+    f"""SELECT {PHASE} AS phase, {STAGE} AS stage, object_type, object_name, object_parent_type,
+       {PLAN_PARENT} AS object_parent_name, restore_ddl AS statement, api_payload,
+       CASE WHEN object_type = 'TABLE' AND restore_ddl IS NOT NULL THEN 'CREATE TABLE ' || {quoted('object_name')} || {NL} || 'USING DELTA'
+            || CASE WHEN regexp_matches(restore_ddl, 'LOCATION \\s*''[^'']+''')
+               THEN {NL} || 'LOCATION ''' || regexp_extract(restore_ddl, 'LOCATION \\s*''([^'']+)''', 1) || '''' ELSE '' END END AS fallback_ddl,
+       CASE WHEN object_type = 'TABLE' AND regexp_matches(restore_ddl, 'TBLPROPERTIES\\s*\\(.*?\\)', 's')
+            THEN 'ALTER TABLE ' || {quoted('object_name')} || ' SET TBLPROPERTIES ('
+                 || regexp_extract(restore_ddl, 'TBLPROPERTIES\\s*\\((.*?)\\)', 1, 's') || ')' END AS fallback_props_ddl
+FROM all_rows WHERE (restore_ddl IS NOT NULL OR api_payload IS NOT NULL) AND object_name LIKE '%7'""",
+    **TABLE_STEPS, **_BACKUP_STEPS, own_tables=FULL_TABLES, all_rows=_ALL_ROWS,
+)
 ORACLE["executor_statements"] = with_inputs(
     """SELECT object_type, object_name, step,
        CASE step WHEN 'grant' THEN 'GRANT ALL PRIVILEGES ON ' || object_type || ' `' || object_name || '` TO `restorer`'
@@ -617,22 +637,20 @@ SELECT object_type, object_name, 'own', 'ALTER SHARE `' || object_name || '` SET
 )
 GROUPS = """SELECT object_parent_name, object_count,
        CAST(row_number() OVER (ORDER BY object_count DESC, object_parent_name) % 8 AS INTEGER) AS group_id
-FROM (SELECT object_parent_name, count(*) AS object_count FROM fx_inventory WHERE object_type = 'TABLE' GROUP BY object_parent_name) AS counted"""
+FROM (SELECT object_parent_name, count(*) AS object_count FROM work WHERE object_type = 'TABLE' GROUP BY object_parent_name) AS counted"""
 ORACLE["schema_groups"] = with_inputs(
-    "SELECT object_parent_name, object_count, group_id FROM schema_shards", schema_shards=GROUPS
+    "SELECT object_parent_name, object_count, group_id FROM schema_shards", **WORK_STEPS, schema_shards=GROUPS
 )
 ORACLE["group_slice"] = with_inputs(
-    f"""SELECT object_uid, object_name, object_type, parent AS object_parent_name, group_id
-FROM (SELECT object_uid, object_name, object_type, {PLAN_PARENT} AS parent FROM fx_inventory WHERE {STAGE} = 'table') AS staged
-JOIN schema_shards ON schema_shards.object_parent_name = parent WHERE group_id = 3""",
-    schema_shards=GROUPS,
+    """SELECT p.*, g.group_id FROM planned AS p JOIN schema_shards AS g USING (object_parent_name)
+WHERE stage = 'table' AND group_id = 3""",
+    **WORK_STEPS, schema_shards=GROUPS, planned=PLAN,
 )
 ORACLE["restore_plan_sharded"] = with_inputs(
-    """SELECT stage, phase, object_uid, parent AS object_parent_name, CASE WHEN stage = 'table' THEN group_id END AS group_id
-FROM staged LEFT JOIN schema_shards ON schema_shards.object_parent_name = parent""",
-    **WORK_STEPS, schema_shards=GROUPS,
-    staged=f"SELECT {STAGE} AS stage, {PHASE} AS phase, object_uid, {PLAN_PARENT} AS parent FROM work",
-)
+    """SELECT p.*, CASE WHEN stage = 'table' THEN g.group_id END AS group_id
+FROM planned AS p LEFT JOIN schema_shards AS g USING (object_parent_name)""",
+    **WORK_STEPS, schema_shards=GROUPS, planned=PLAN,
+)
 ORACLE["route_by_count"] = with_inputs(
     """SELECT count(*) AS restore_object_count, CASE WHEN count(*) > 5000 THEN 'sharded' ELSE 'single' END AS route
 FROM fx_inventory WHERE object_type = 'TABLE'"""
