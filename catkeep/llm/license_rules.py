@@ -105,7 +105,7 @@ OTHERS = [
     ("reserved", TITLE, "reserved", "all (?:other )?rights(?: are)? reserved"),
     ("reserved", TITLE, "some-rights", "some rights reserved"),
     ("copyright", MENTION, "copyright", "copyright (?:c )?\\d{4}(?: \\d{4})?"),
-    ("copyright", TITLE, "reserved", "unauthori[sz]ed (?:copying|reproduction|use)(?: of \\S+(?: \\S+)?)? is (?:strictly )?prohibited"),
+    ("prohibited", TITLE, "reserved", "unauthori[sz]ed (?:copying|reproduction|use)(?: of \\S+(?: \\S+)?)? is (?:strictly )?prohibited"),
     ("public", TITLE, "public-domain", "(?:dedicated|released|placed) (?:to|into|in) the public domain"),
     ("public", TITLE, "public-domain", "this work is in the public domain"),
     ("public", MENTION, "public-domain", "public domain"),
@@ -124,7 +124,7 @@ OTHERS = [
     ("attribution", TITLE, "cc-by-4.0", f"creative commons attribution (?:licen[cs]e )?{V}4 0"),
     ("sharealike", TITLE, "cc-by-sa", "creative commons attribution sharealike"),
     ("noncommercial", TITLE, "cc-by-nc", "creative commons attribution noncommercial"),
-    ("noderivatives", TITLE, "cc-by-nd", "creative commons attribution noderiv(?:ative)?s"),
+    ("noderiv", TITLE, "cc-by-nd", "creative commons attribution noderiv(?:ative)?s"),
     ("noncommercial", MENTION, "non-commercial", "for noncommercial (?:use|purposes)(?: only)?"),
     ("commercial", MENTION, "non-commercial", "(?:for )?non commercial (?:use|purposes)(?: only)?"),
     ("warranty", MENTION, "no-warranty", "without warrant(?:y|ies) of any kind"),
@@ -136,7 +136,8 @@ OTHERS = [
     ("proprietary", MENTION, "proprietary", "proprietary and confidential"),
     ("proprietary", TITLE, "proprietary", "this (?:software|document|work) is proprietary"),
     ("licensor", MENTION, "agreement", "the licensor grants(?: to)? you"),
-    ("eula", MENTION, "agreement", "end user licen[cs]e agreement|eula"),
+    ("end user", MENTION, "agreement", "end user licen[cs]e agreement"),
+    ("eula", MENTION, "agreement", "eula"),
     ("bsd", MENTION, "bsd", "bsd (?:style )?licen[cs]e"),
     ("apache", MENTION, "apache", "apache licen[cs]ed?"),
 ]
