@@ -15,12 +15,17 @@ LABEL_PATTERN = "(?i)^(" + "|".join(LABELS) + "):"
 RUN = 1_000
 
 
-def running_marks(rows: DataFrame, key: str, marks: dict[str, Column], run: int) -> DataFrame:
+def running_marks(rows: DataFrame, key: str, marks: dict[str, Column], run: int | None) -> DataFrame:
     """Add, per mark, the largest ``ord`` up to the row at which the mark's condition held.
 
     The running maximum is taken inside runs of ``run`` lines and carried over from the
-    maxima of earlier runs, so no description has to fit one task.
+    maxima of earlier runs, so no description has to fit one task. Without ``run`` it is one
+    window per description: a single shuffle, for what brings descriptions together anyway.
     """
+    if run is None:
+        lines = Window.partitionBy(key).orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
+        held = {n: F.max(F.when(condition, F.col("ord"))).over(lines) for n, condition in marks.items()}
+        return rows.withColumns(held)
     marked = rows.withColumn("_run", F.floor(F.col("ord") / run)).withColumns(
         {f"_at_{name}": F.when(condition, F.col("ord")) for name, condition in marks.items()}
     )
@@ -47,7 +52,7 @@ def running_marks(rows: DataFrame, key: str, marks: dict[str, Column], run: int)
     )
 
 
-def parse_sections(rows: DataFrame, run: int = RUN) -> DataFrame:
+def parse_sections(rows: DataFrame, run: int | None = RUN) -> DataFrame:
     """(function_name, ord, section, start, text) from (function_name, ord, function_desc).
 
     A line without a label continues the open parameter list: inputs stay open until the
@@ -112,8 +117,8 @@ def functions_described(sections: DataFrame) -> DataFrame:
 
 
 def function_statements(rows: DataFrame) -> DataFrame:
-    """(function_name, restore_ddl) from description rows."""
-    described = functions_described(parse_sections(rows))
+    """(function_name, restore_ddl) from description rows; the lines of one function become one text."""
+    described = functions_described(parse_sections(rows, run=None))
     return described.select(
         "function_name",
         render.function(

@@ -36,7 +36,7 @@ def test_random_descriptions(spark):
     rows = [(name, o, line) for name, lines in functions.items() for o, line in lines]
     df = spark.createDataFrame(rows, SCHEMA)
     want = {(name, *item) for name, lines in functions.items() for item in line_by_line(lines)}
-    for run in (1000, 4):
+    for run in (1000, 4, None):
         got = {tuple(row) for row in sections.parse_sections(df, run=run).collect()}
         assert got == want
 
@@ -57,3 +57,9 @@ def test_defaults_and_repeated_labels(spark):
     df = spark.createDataFrame([("k", i, line) for i, line in enumerate(lines)], SCHEMA)
     found = sections.functions_described(sections.parse_sections(df)).first()
     assert (found.kind, found.inputs, found.returns, found.language) == ("scalar", ["a"], ["INT"], None)
+
+
+def test_statements_need_one_shuffle(spark):
+    df = spark.createDataFrame([("f", 0, "Function: c.s.f"), ("f", 1, "Body: 1")], SCHEMA)
+    plan = sections.function_statements(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
