@@ -141,8 +141,10 @@ FROM lineitem
 """
 
 SQL["fx_table_properties"] = """
-SELECT table_id, k AS key, concat('v', CAST(table_id % 4 AS STRING)) AS value
-FROM fx_tables CROSS JOIN (VALUES ('delta.appendOnly'), ('delta.lastUpdateVersion'), ('team'), ('delta.feature.liquid')) AS t(k)
+SELECT table_id, k AS key, CASE k WHEN 'delta.liquid.clusteringColumns' THEN CASE WHEN table_id % 5 = 0 THEN '["a","b"]' END
+       ELSE concat('v (', CAST(table_id % 4 AS STRING), ')') END AS value
+FROM fx_tables CROSS JOIN (VALUES ('delta.appendOnly'), ('delta.lastUpdateVersion'), ('team'), ('delta.feature.liquid'),
+  ('delta.liquid.clusteringColumns')) AS t(k)
 WHERE table_id % 3 <> 0
 """
 

@@ -256,8 +256,12 @@ class Fixtures:
         return self.table_names.filter("table_id % 3 <> 0").selectExpr(
             "table_id",
             "explode(array('delta.appendOnly', 'delta.lastUpdateVersion', 'team', "
-            "'delta.feature.liquid')) AS key",
-            "concat('v', table_id % 4) AS value",
+            "'delta.feature.liquid', 'delta.liquid.clusteringColumns')) AS key",
+            "concat('v (', table_id % 4, ')') AS value",
+        ).selectExpr(
+            "table_id", "key",
+            "CASE key WHEN 'delta.liquid.clusteringColumns' THEN IF(table_id % 5 = 0, '[\"a\",\"b\"]', NULL) "
+            "ELSE value END AS value",
         )
 
     @cached_property

@@ -359,7 +359,13 @@ FULL_DDL = (
         "columns_ddl IS NOT NULL",
         f"'(' || columns_ddl || CASE WHEN constraints IS NOT NULL THEN ',' || {NL} || constraints ELSE '' END || ')'",
     )
-    + " || " + clause("partition_columns IS NOT NULL", "'PARTITIONED BY (' || partition_columns || ')'")
+    + " || " + clause("t.table_id % 2 = 0", "'USING DELTA'")
+    + " || " + clause(
+        "table_type = 'EXTERNAL'",
+        "'LOCATION ''s3://b/it''''s (' || table_name || ')''' || CASE WHEN t.table_id % 4 = 0 THEN ' WITH (CREDENTIAL cred_1)' ELSE '' END",
+    )
+    + " || " + clause("partition_columns IS NOT NULL AND clustered IS NULL", "'PARTITIONED BY (' || partition_columns || ')'")
+    + " || " + clause("partition_columns IS NULL AND clustered IS NOT NULL", "'CLUSTER BY (`a`, `b`)'")
     + f" || {COMMENT} || "
     + clause("properties IS NOT NULL", f"'TBLPROPERTIES (' || {NL} || properties || {NL} || ')'")
     + " || " + clause("row_filter IS NOT NULL", "'WITH ' || row_filter")
@@ -368,7 +374,9 @@ FULL_TABLES = objects(
     "fx_tables AS t LEFT JOIN column_lists AS cl ON cl.table_id = t.table_id"
     " LEFT JOIN property_lists AS pl ON pl.table_id = t.table_id"
     " LEFT JOIN constraint_lists AS kl ON kl.table_id = t.table_id"
-    " LEFT JOIN filter_texts AS ft ON ft.table_id = t.table_id",
+    " LEFT JOIN filter_texts AS ft ON ft.table_id = t.table_id"
+    " LEFT JOIN (SELECT table_id, value AS clustered FROM fx_table_properties WHERE key = 'delta.liquid.clusteringColumns'"
+    " AND value IS NOT NULL) AS lq ON lq.table_id = t.table_id",
     TABLE_FULL, "TABLE", "table_catalog || '.' || table_schema", "SCHEMA", "table_owner", ddl=FULL_DDL,
 ) + f" WHERE table_type IN ('EXTERNAL', 'MANAGED') AND {RESERVED_SCHEMA}"
 TABLE_STEPS = {
@@ -386,16 +394,15 @@ ORACLE["columns_ddl"] = with_inputs(
 ORACLE["table_ddl_full"] = with_inputs(
     "SELECT object_name, restore_ddl FROM own_tables", **TABLE_STEPS, own_tables=FULL_TABLES
 )
-ORACLE["fallback_ddl"] = with_inputs(
-    f"""SELECT object_name, 'CREATE TABLE ' || {quoted('object_name')} || {NL} || 'USING DELTA'
-       || CASE WHEN regexp_matches(restore_ddl, 'LOCATION\\s+''[^'']+''', 'i')
-               THEN {NL} || 'LOCATION ''' || regexp_extract(restore_ddl, 'LOCATION\\s+''([^'']+)''', 1, 'i') || '''' ELSE '' END AS fallback_ddl,
-       CASE WHEN regexp_matches(restore_ddl, 'TBLPROPERTIES\\s*\\(.*?\\)', 'is')
+FALLBACK = f"""CASE WHEN object_type = 'TABLE' AND restore_ddl IS NOT NULL THEN 'CREATE TABLE ' || {quoted('object_name')} || {NL} || 'USING DELTA'
+            || CASE WHEN regexp_matches(restore_ddl, '\\nLOCATION ''') THEN {NL} || 'LOCATION '
+               || regexp_extract(restore_ddl, '\\nLOCATION (''(?:[^'']|'''')*'')', 1) ELSE '' END END AS fallback_ddl,
+       CASE WHEN object_type = 'TABLE' AND regexp_matches(restore_ddl, '\\nTBLPROPERTIES \\(')
             THEN 'ALTER TABLE ' || {quoted('object_name')} || ' SET TBLPROPERTIES ('
-                 || regexp_extract(restore_ddl, 'TBLPROPERTIES\\s*\\((.*?)\\)', 1, 'is') || ')' END AS fallback_props_ddl
-FROM own_tables""",
-    **TABLE_STEPS, own_tables=FULL_TABLES,
-)
+                 || regexp_extract(restore_ddl, '\\nTBLPROPERTIES \\((.*?\\n)\\)', 1, 's') || ')' END AS fallback_props_ddl"""
+ORACLE["fallback_ddl"] = with_inputs(
+    f"SELECT object_name, {FALLBACK} FROM own_tables", **TABLE_STEPS, own_tables=FULL_TABLES
+)
 
 KIND_DDL = (
     "CASE kind WHEN 'VOLUME' THEN CASE type WHEN 'EXTERNAL' THEN 'CREATE EXTERNAL VOLUME `c`.`s`.`' ELSE 'CREATE VOLUME `c`.`s`.`' END || name || '`' || "
@@ -615,13 +622,7 @@ FROM work"""
 ORACLE["restore_plan"] = with_inputs(f"{PLAN} ORDER BY phase, object_name", **WORK_STEPS)
 ORACLE["backup_restore_roundtrip"] = with_inputs(
     f"""SELECT {PHASE} AS phase, {STAGE} AS stage, object_type, object_name, object_parent_type,
-       {PLAN_PARENT} AS object_parent_name, restore_ddl AS statement, api_payload,
-       CASE WHEN object_type = 'TABLE' AND restore_ddl IS NOT NULL THEN 'CREATE TABLE ' || {quoted('object_name')} || {NL} || 'USING DELTA'
-            || CASE WHEN regexp_matches(restore_ddl, 'LOCATION \\s*''[^'']+''')
-               THEN {NL} || 'LOCATION ''' || regexp_extract(restore_ddl, 'LOCATION \\s*''([^'']+)''', 1) || '''' ELSE '' END END AS fallback_ddl,
-       CASE WHEN object_type = 'TABLE' AND regexp_matches(restore_ddl, 'TBLPROPERTIES\\s*\\(.*?\\)', 's')
-            THEN 'ALTER TABLE ' || {quoted('object_name')} || ' SET TBLPROPERTIES ('
-                 || regexp_extract(restore_ddl, 'TBLPROPERTIES\\s*\\((.*?)\\)', 1, 's') || ')' END AS fallback_props_ddl
+       {PLAN_PARENT} AS object_parent_name, restore_ddl AS statement, api_payload, {FALLBACK}
 FROM all_rows WHERE (restore_ddl IS NOT NULL OR api_payload IS NOT NULL) AND object_name LIKE '%7'""",
     **TABLE_STEPS, **_BACKUP_STEPS, own_tables=FULL_TABLES, all_rows=_ALL_ROWS,
 )
