@@ -19,7 +19,8 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catkeep.llm.common import keep_but, text_or_empty
+from catkeep.llm.common import keep_but, text_or_empty, written
+from catkeep.llm.url_filter import block_count, with_possible
 from catkeep.session import scratch_path
 
 RESULT = ("keep_id", "group_size", "kept", "text_sha256")
@@ -32,6 +33,8 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Do not reserve space for files that stay small.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.metricsEnabled": "false",
 }
 
@@ -89,7 +92,7 @@ def _rank() -> Column:
 def keyed_state(landed_rows: DataFrame) -> DataFrame:
     """Per digest the row that stays with its content locator, and the number of rows."""
     return landed_rows.groupBy("_digest").agg(
-        F.min(_rank()).alias("keeper"), F.count(F.lit(1)).alias("group_size")
+        F.min(_rank()).alias("_keeper"), F.count(F.lit(1)).alias("_size")
     )
 
 
@@ -115,8 +118,8 @@ def run_stream(spark: SparkSession, landed: str, schema, states: str, checkpoint
 def _latest(spark: SparkSession, states: str, schema) -> DataFrame:
     changes = spark.read.schema(schema).parquet(f"{states}/*")
     return changes.groupBy("_digest").agg(
-        F.max_by(F.struct("keeper", "group_size"), "trigger").alias("state")
-    ).select("_digest", "state.keeper", "state.group_size")
+        F.max_by(F.struct("_keeper", "_size"), "trigger").alias("state")
+    ).select("_digest", "state._keeper", "state._size")
 
 
 def dedup(
@@ -141,41 +144,42 @@ def dedup(
 
 
 def _split_collisions(matched: DataFrame, rows: DataFrame, latest: DataFrame) -> DataFrame:
-    """Compare the full content of every hit with its keeper's; groups by content where they differ."""
+    """Compare the full content of every hit with its keeper's; groups by content where they differ.
+
+    Content of rows without a partner is not shuffled: a Bloom filter of the shared digests keeps nearly
+    all of it back.
+    """
     spark = matched.sparkSession
     content = normalised(text_or_empty())
-    shared = latest.where("group_size > 1")
-    at = (F.col("_file") == F.col("keeper.file")) & (F.col("_row") == F.col("keeper.row"))
-    hits = rows.select("_digest", "_file", "_row", content.alias("_norm")).join(shared, "_digest")
-    keepers = (
-        rows.select(F.col("_file").alias("file"), F.col("_row").alias("row"), content.alias("_kept_norm"))
-        .join(shared.select("_digest", "keeper.file", "keeper.row"), ["file", "row"])
-        .select("_digest", "_kept_norm")
+    shared = written(latest.where("_size > 1").select("_digest", "_keeper"), "dedup-shared")
+    near = with_possible(
+        rows.select("_digest", "_file", "_row", "text"), shared, "_digest", block_count(shared.count())
+    ).where("possible")
+    hits = written(
+        near.join(shared, "_digest").select(
+            "_digest",
+            content.alias("_norm"),
+            ((F.col("_file") == F.col("_keeper.file")) & (F.col("_row") == F.col("_keeper.row"))).alias("_first"),
+        ),
+        "dedup-hits",
     )
-    odd_path = scratch_path(spark, "dedup-collisions")
-    (
-        hits.where(~at)
-        .join(keepers, "_digest")
-        .where("_norm <> _kept_norm")
-        .select("_digest")
-        .distinct()
-        .write.parquet(odd_path)
+    keepers = hits.where("_first").select("_digest", F.col("_norm").alias("_kept_norm"))
+    odd = written(
+        hits.where("NOT _first").join(keepers, "_digest").where("_norm <> _kept_norm").select("_digest").distinct(),
+        "dedup-collisions",
     )
-    odd = spark.read.schema(rows.select("_digest").schema).parquet(odd_path)
     if not odd.head(1):
         return matched
     apart = rows.join(odd, "_digest", "left_semi").withColumn("_norm", content)
-    groups = apart.groupBy("_norm").agg(
-        F.min(_rank()).alias("keeper"), F.count(F.lit(1)).alias("group_size")
-    )
+    groups = apart.groupBy("_norm").agg(F.min(_rank()).alias("_keeper"), F.count(F.lit(1)).alias("_size"))
     return matched.join(odd, "_digest", "left_anti").unionByName(apart.join(groups, "_norm").drop("_norm"))
 
 
 def _result(matched: DataFrame) -> DataFrame:
     return matched.select(
-        *[c for c in matched.columns if not c.startswith("_") and c not in ("keeper", "group_size")],
-        F.col("keeper.doc_id").alias("keep_id"),
-        F.col("group_size"),
-        ((F.col("_file") == F.col("keeper.file")) & (F.col("_row") == F.col("keeper.row"))).alias("kept"),
+        *[c for c in matched.columns if not c.startswith("_")],
+        F.col("_keeper.doc_id").alias("keep_id"),
+        F.col("_size").alias("group_size"),
+        ((F.col("_file") == F.col("_keeper.file")) & (F.col("_row") == F.col("_keeper.row"))).alias("kept"),
         F.lower(F.hex("_sha")).alias("text_sha256"),
     )

@@ -105,15 +105,31 @@ def block_count(urls: int) -> int:
     return min(MAX_BLOCKS, 1 << (wanted - 1).bit_length())
 
 
-def bloom_blocks(listed: DataFrame, blocks: int) -> DataFrame:
+def bloom_blocks(keys: DataFrame, key: str, blocks: int) -> DataFrame:
     """The filter as a table: block number and its words; blocks nobody hashes to are left out."""
-    marked = listed.select(
-        _block(F.col("canonical"), blocks).alias("_block"),
-        *[m.alias(f"_word{i}") for i, m in enumerate(_masks(F.col("canonical")))],
+    marked = keys.select(
+        _block(F.col(key), blocks).alias("_block"),
+        *[m.alias(f"_word{i}") for i, m in enumerate(_masks(F.col(key)))],
     )
     return marked.groupBy("_block").agg(*[F.bit_or(f"_word{i}").alias(f"_word{i}") for i in range(WORDS)])
 
 
+def with_possible(rows: DataFrame, keys: DataFrame, key: str, blocks: int) -> DataFrame:
+    """Rows with ``possible``: false only if the row's key is not among ``keys``."""
+    filter_table = bloom_blocks(keys, key, blocks)
+    if blocks * 8 * (WORDS + 1) <= BROADCAST_BYTES:
+        filter_table = F.broadcast(filter_table)
+    hit = F.col(key).isNotNull()
+    for i, mask in enumerate(_masks(F.col(key))):
+        hit = hit & (F.col(f"_word{i}").bitwiseAND(mask) == mask)
+    return (
+        rows.withColumn("_block", _block(F.col(key), blocks))
+        .join(filter_table, "_block", "left")
+        .withColumn("possible", F.coalesce(hit, F.lit(False)))
+        .drop("_block", *[f"_word{i}" for i in range(WORDS)])
+    )
+
+
 def judge(
     urls: DataFrame, listed: DataFrame, rules: list[Rule], url: str = "url", blocks: int | None = None
 ) -> DataFrame:
@@ -132,18 +148,7 @@ def judge(
         path_of(address).alias("path"),
         canonical_url(address).alias("canonical"),
     )
-    filter_table = bloom_blocks(known, blocks)
-    if blocks * 8 * (WORDS + 1) <= BROADCAST_BYTES:
-        filter_table = F.broadcast(filter_table)
-    hit = F.lit(True)
-    for i, mask in enumerate(_masks(F.col("canonical"))):
-        hit = hit & (F.col(f"_word{i}").bitwiseAND(mask) == mask)
-    probed = (
-        rows.withColumn("_block", _block(F.col("canonical"), blocks))
-        .join(filter_table, "_block", "left")
-        .withColumn("possible", F.coalesce(hit & F.col("canonical").isNotNull(), F.lit(False)))
-        .drop("_block", *[f"_word{i}" for i in range(WORDS)])
-    )
+    probed = with_possible(rows, known, "canonical", blocks)
     passed = probed.where("possible").join(
         known.withColumn("listed", F.lit(True)), "canonical", "left"
     )
