@@ -8,10 +8,11 @@ earliest time of every component, so two components agree with the probability o
 similarity. Points are made in order of time and only up to a limit by which all components have one, so a
 long document costs about as much as a short one.
 
-Texts with the same shingles are one node. Bands of the signature put nodes into buckets. In each bucket
-all nodes are compared with the one that shares most buckets; whatever is then in different components
-is compared block by block by signature, and pairs that may reach the threshold are verified by the exact
-overlap of their multisets. No pair is left out because a bucket is large.
+Texts with the same shingles are one node. Bands of the signature put nodes into buckets. The node of a
+bucket that shares most buckets is its hub, and all others are compared with it. Whatever has a hub in
+common and is then in different components is compared block by block by signature, and pairs that may
+reach the threshold are verified by the exact overlap of their multisets, unless their components have
+been joined meanwhile. No pair is left out because a bucket is large.
 
 Defined cases: words are runs of letters and digits in lower case; a text of one to four words is one
 shingle; a text without words (null, empty) is in a class of its own; equal rows and null ids are separate
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from catkeep.llm.common import arrow_rows, keep_but, written
@@ -43,7 +45,7 @@ BANDS, ROWS = 42, 6
 SIZE = BANDS * ROWS
 #: Estimates lie more than five standard errors below the threshold before a pair is passed over.
 LEAST_ESTIMATE = 0.67
-BLOCK_NODES = 256
+BLOCK_NODES, BLOCK_WORDS = 256, 400_000
 DOCS_AT_ONCE, POINTS_AT_ONCE = 400, 1 << 18
 WORD = re.compile(r"[^\W_]+")
 SIGNED = "_row long, _node binary, _weight long, _sig binary"
@@ -248,6 +250,12 @@ def similarity(left: tuple, right: tuple) -> float:
     return shared / max(1, int(left[1].sum()) + int(right[1].sum()) - shared)
 
 
+def multisets(texts: list[str], shingle: int) -> list[tuple]:
+    of, hashes, counts = weighted_shingles(texts, shingle)
+    edges = np.searchsorted(of, np.arange(len(texts) + 1))
+    return [(hashes[x:y], counts[x:y]) for x, y in zip(edges[:-1], edges[1:], strict=True)]
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float, shingle: int) -> DataFrame:
     """Pairs whose multisets of shingles overlap enough."""
     for side in "uv":
@@ -258,74 +266,119 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float, shingle: int
             for a in range(0, whole.num_rows, DOCS_AT_ONCE // 2):
                 batch = whole.slice(a, DOCS_AT_ONCE // 2)
                 n = batch.num_rows
-                texts = batch.column(2).to_pylist() + batch.column(3).to_pylist()
-                of, hashes, counts = weighted_shingles(texts, shingle)
-                edges = np.searchsorted(of, np.arange(2 * n + 1))
-                sets = [(hashes[x:y], counts[x:y]) for x, y in zip(edges[:-1], edges[1:], strict=True)]
+                sets = multisets(batch.column(2).to_pylist() + batch.column(3).to_pylist(), shingle)
                 good = [similarity(sets[i], sets[n + i]) >= threshold for i in range(n)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(good, pa.bool_()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1)], ["u", "v"]
+                ).filter(pa.array(good, pa.bool_()))
 
     return pairs.select("u", "v", "u_text", "v_text").mapInArrow(run, "u binary, v binary")
 
 
-def _bucket_blocks(members: DataFrame, block_nodes: int) -> DataFrame:
-    """Pairs of blocks of every bucket that still holds nodes of different components.
+def _block_pairs(members: DataFrame, block_nodes: int, block_words: int) -> DataFrame:
+    """Pairs of blocks of every hub's nodes, where these are still in different components.
 
-    Blocks have a bounded number of nodes, so a large bucket becomes many rows over many tasks.
+    A block has a bounded number of nodes and, but for single long texts, of words, so a large group
+    becomes many rows over many tasks.
     """
-    mixed_buckets = (
-        members.groupBy("key")
-        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("n"))
+    needed = F.ceil(F.greatest(F.col("n") / block_nodes, F.col("words") / block_words)).cast("int")
+    mixed_hubs = (
+        members.groupBy("hub")
+        .agg(
+            F.min("comp").alias("low"), F.max("comp").alias("high"),
+            F.count(F.lit(1)).alias("n"), F.sum("weight").alias("words"),
+        )
         .where("low <> high")
-        .select("key", F.ceil(F.col("n") / block_nodes).cast("int").alias("blocks"))
-    )
-    placed = members.join(mixed_buckets, "key").withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
-    blocks = placed.groupBy("key", "band", "blocks", "block").agg(
+        .select("hub", needed.alias("blocks"))
+    )
+    placed = members.join(mixed_hubs, "hub").withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
+    blocks = placed.groupBy("hub", "blocks", "block").agg(
         F.collect_list(F.struct("node", "comp", "weight", "sig")).alias("nodes")
     )
     left = blocks.withColumn("other", F.explode(F.sequence("block", F.col("blocks") - 1)))
-    right = blocks.select("key", F.col("block").alias("other"), F.col("nodes").alias("others"))
-    return left.where("blocks = 1").select("band", (F.col("other") == F.col("block")).alias("same"), "nodes", F.array().cast(blocks.schema["nodes"].dataType).alias("others")).unionByName(
-        left.where("blocks > 1").join(right, ["key", "other"]).select("band", (F.col("other") == F.col("block")).alias("same"), "nodes", "others")
-    )
+    right = blocks.select("hub", F.col("block").alias("other"), F.col("nodes").alias("others"))
+    alone = left.where("other = block").withColumn("others", F.array().cast(blocks.schema["nodes"].dataType))
+    pairs = left.where("other > block").join(right, ["hub", "other"])
+    columns = ["hub", "block", "other", "nodes", "others"]
+    return alone.select(*columns).unionByName(pairs.select(*columns))
 
 
-def _block_pairs(blocks: DataFrame, bands: int, threshold: float, least: float) -> DataFrame:
-    """Pairs of different components that may reach the threshold, each from the first band it shares."""
+TASK = "hub binary, block int, other int, nodes array<binary>, comps array<binary>, us array<int>, vs array<int>"
 
-    def columns(nodes: list[dict]) -> tuple:
-        ids = np.array([n["node"] for n in nodes], dtype=object)
-        comps = pd.factorize(np.array([n["comp"] for n in nodes], dtype=object))
-        weights = np.array([n["weight"] for n in nodes], np.float64)
-        sigs = np.frombuffer(b"".join(n["sig"] for n in nodes), np.uint16).reshape(len(nodes), -1)
-        return ids, comps, weights, sigs
+
+def _tasks(pairs: DataFrame, threshold: float, least: float) -> DataFrame:
+    """What is to be verified of each pair of blocks: nodes, and pairs of these by position.
+
+    Pairs are of different components, likely ones first.
+    """
+    schema = to_arrow_schema(StructType.fromDDL(TASK))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        u, v = [], []
-        for band, same, nodes, others in arrow_rows(batches, "band", "same", "nodes", "others"):
-            both = nodes if same else nodes + others
-            ids, (comp, _), weight, sig = columns(both)
-            n = len(nodes)
-            rows = np.arange(n)
-            cols = rows if same else np.arange(n, len(both))
-            able = comp[rows][:, None] != comp[cols][None, :]
-            able &= np.minimum.outer(weight[rows], weight[cols]) >= threshold * np.maximum.outer(weight[rows], weight[cols])
-            if same:
-                able &= rows[:, None] < cols[None, :]
-            for i in np.flatnonzero(able.any(axis=1)):
-                to = cols[able[i]]
-                equal = sig[to] == sig[i]
-                good = equal.mean(axis=1) >= least
-                shared = equal[good].reshape(int(good.sum()), bands, sig.shape[1] // bands).all(axis=2)
-                for j in to[good][shared.argmax(axis=1) == band]:
-                    u.append(ids[i])
-                    v.append(ids[j])
-            if len(u) >= 5000:
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["u", "v"])
-                u, v = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["u", "v"])
-
-    return blocks.mapInArrow(run, "u binary, v binary")
+        for hub, block, other, nodes, others in arrow_rows(batches, "hub", "block", "other", "nodes", "others"):
+            both = nodes + others
+            comp = pd.factorize(np.array([n["comp"] for n in both], dtype=object))[0]
+            weight = np.array([n["weight"] for n in both], np.float64)
+            sig = np.frombuffer(b"".join(n["sig"] for n in both), np.uint16).reshape(len(both), -1)
+            rows, us, vs, near = range(len(nodes)), [], [], []
+            for i in rows:
+                to = np.arange(i + 1, len(nodes)) if not others else np.arange(len(nodes), len(both))
+                to = to[comp[to] != comp[i]]
+                to = to[np.minimum(weight[to], weight[i]) >= threshold * np.maximum(weight[to], weight[i])]
+                if len(to):
+                    share = (sig[to] == sig[i]).mean(axis=1)
+                    good = share >= least
+                    us.append(np.full(int(good.sum()), i))
+                    vs.append(to[good])
+                    near.append(share[good])
+            us, vs = (np.concatenate(x or [np.empty(0, np.int64)]) for x in (us, vs))
+            if not len(us):
+                continue
+            order = np.argsort(-np.concatenate(near), kind="stable")
+            used, place = np.unique(np.concatenate([us[order], vs[order]]), return_inverse=True)
+            yield pa.RecordBatch.from_pylist(
+                [
+                    {
+                        "hub": hub, "block": block, "other": other,
+                        "nodes": [both[i]["node"] for i in used], "comps": [both[i]["comp"] for i in used],
+                        "us": place[: len(us)].tolist(), "vs": place[len(us) :].tolist(),
+                    }
+                ],
+                schema,
+            )
+
+    return pairs.mapInArrow(run, TASK)
+
+
+def _joined(tasks: DataFrame, texts: DataFrame, threshold: float, shingle: int) -> DataFrame:
+    """Links between components, found by exact overlap; pairs that are joined by then are passed over."""
+    key = ["hub", "block", "other"]
+    needed = tasks.select(*key, F.posexplode("nodes").alias("place", "node")).join(texts, "node")
+    gathered = needed.groupBy(*key).agg(F.collect_list(F.struct("place", "text")).alias("texts"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for nodes, comps, us, vs, found in arrow_rows(batches, "nodes", "comps", "us", "vs", "texts"):
+            held = [t["text"] for t in sorted(found, key=lambda t: t["place"])]
+            sets = multisets(held, shingle)
+            parent = {c: c for c in comps}
+
+            def root(c: bytes, parent: dict = parent) -> bytes:
+                while parent[c] != c:
+                    parent[c] = c = parent[parent[c]]
+                return c
+
+            links = []
+            for u, v in zip(us, vs, strict=True):
+                a, b = root(comps[u]), root(comps[v])
+                if a != b and similarity(sets[u], sets[v]) >= threshold:
+                    parent[a] = b
+                    links.append((nodes[u], nodes[v]))
+            if links:
+                columns = [pa.array(x, pa.binary()) for x in zip(*links, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["u", "v"])
+
+    return (
+        tasks.join(gathered, key).select("nodes", "comps", "us", "vs", "texts").mapInArrow(run, "u binary, v binary")
+    )
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -333,7 +386,9 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def linked_nodes(
-    signed: DataFrame, bands: int, threshold: float, least: float, shingle: int, block_nodes: int = BLOCK_NODES
+    signed: DataFrame,
+    bands: int, threshold: float, least: float, shingle: int,
+    block_nodes: int = BLOCK_NODES, block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """node and comp of every node with a link; ``signed`` has _node, _weight, _sig and text."""
     nodes = written(
@@ -358,23 +413,23 @@ def linked_nodes(
     # First the hub of every bucket: the node that shares most buckets, often what others were copied from.
     ranked = members.join(partners.select("node", "degree"), "node")
     hubs = ranked.groupBy("key").agg(F.max(F.struct("degree", "node")).alias("hub"))
-    stars = _ordered(
-        members.join(hubs, "key").select(F.col("node").alias("u"), F.col("hub.node").alias("v"))
+    around = written(
+        members.join(hubs, "key").select(F.col("hub.node").alias("hub"), "node").distinct(), "near-hubs"
     )
+    stars = _ordered(around.select(F.col("node").alias("u"), F.col("hub").alias("v")))
     near = written(_estimated(stars, partners, threshold, least), "near-stars")
     links = written(_verified(near, texts, threshold, shingle), "near-links")
     first = written(components(links), "near-components")
-    # Then whatever is in different components, block by block.
+    # Then whatever shares a bucket, and so its hub, but is in different components, block by block.
     comp = partners.select("node", "weight", "sig").join(first, "node", "left").withColumn(
         "comp", F.coalesce("comp", "node")
     )
-    placed = members.select("key", "band", "node").join(comp, "node")
-    rest = written(
-        _ordered(_block_pairs(_bucket_blocks(placed, block_nodes), bands, threshold, least)), "near-rest"
-    )
-    more = written(_verified(rest, texts, threshold, shingle), "near-links")
+    placed = around.join(comp, "node")
+    tasks = written(_tasks(_block_pairs(placed, block_nodes, block_words), threshold, least), "near-tasks")
+    more = written(_joined(tasks, texts, threshold, shingle), "near-links")
     if not more.head(1):
         return first
+    # Links found for parts of a component join the whole of it.
     return written(components(links.unionByName(more)), "near-components")
 
 
