@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from catkeep.llm.common import written
@@ -21,9 +21,14 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.withColumnRenamed("m", "v")).where("u <> v").distinct()
 
 
-def _digest(links: DataFrame) -> tuple:
-    row = links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-    return tuple(row)
+def _round(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links as a written table, and how many there are with a hash over all, taken while writing."""
+    seen = Observation()
+    table = written(
+        links.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("hash")),
+        "links",
+    )
+    return table, (seen.get["n"], seen.get["hash"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -32,11 +37,9 @@ def components(links: DataFrame) -> DataFrame:
     A node with very many links is no hot key: minima are formed where the links are, and its links
     are then joined with one row. Each round is a written table; the driver sees a count and a hash.
     """
-    links = written(links.select("u", "v").where("u <> v").distinct(), "links")
-    before = _digest(links)
+    links, before = _round(links.select("u", "v").where("u <> v").distinct())
     while True:
-        links = written(_small_star(_large_star(links)), "links")
-        after = _digest(links)
+        links, after = _round(_small_star(_large_star(links)))
         if after == before:
             break
         before = after
