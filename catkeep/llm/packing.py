@@ -31,7 +31,9 @@ WINDOW, OPEN_WINDOWS, SLACK, CLOSING_ID = 2048, 16, 16, 1
 MERGED_PARTITIONS = 32
 #: Words a worker remembers with their ids; the memory is started anew beyond that.
 REMEMBERED = 300_000
-DOCS_AT_ONCE, ROWS_AT_ONCE = 200, 4000
+DOCS_AT_ONCE, WORDS_AT_ONCE, ROWS_AT_ONCE = 500, 200, 4000
+#: Punctuation that is a token by itself behind a word of letters.
+MARKS = (",", ".", ";", ":", "!", "?")
 WIDTH = 4
 
 PIECES = (
@@ -118,6 +120,50 @@ def tokenizer(path: str):
     return loaded
 
 
+@cache
+def word_ends(path: str) -> np.ndarray:
+    """Which ids end a word."""
+    vocabulary = tokenizer(path).get_vocab(with_added_tokens=True)
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+    return ends
+
+
+def encoded_words(path: str, words: list[str]) -> Iterator[tuple[str, bytes]]:
+    """Every word with its ids.
+
+    Words of letters go to the tokenizer many at a time and are told apart by the ids that end a
+    word; all others, and lines in which that does not come out even, go one by one.
+    """
+    encode = tokenizer(path).encode_batch_fast
+    letters = [w for w in words if w.isalpha()]
+    single = [w for w in words if not w.isalpha()]
+    lines = [letters[a : a + WORDS_AT_ONCE] for a in range(0, len(letters), WORDS_AT_ONCE)]
+    for line, found in zip(lines, encode([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
+        ids = np.asarray(found.ids, "<u4")
+        ends = (np.flatnonzero(word_ends(path)[ids]) + 1) * WIDTH
+        if len(ends) != len(line):
+            single += line
+            continue
+        blob, at = ids.tobytes(), 0
+        for word, end in zip(line, ends.tolist(), strict=True):
+            yield word, blob[at:end]
+            at = end
+    for word, found in zip(single, encode(single, add_special_tokens=False), strict=True):
+        yield word, np.asarray(found.ids, "<u4").tobytes()
+
+
+def plain_form(word: str) -> tuple[str, str]:
+    """The form under which a word is tokenized, and punctuation behind it that is a token by itself.
+
+    The tokenizer splits letters from other characters and lower-cases; only ASCII is folded here.
+    """
+    mark = ""
+    if word[-1:] in MARKS and word[:-1].isalpha():
+        word, mark = word[:-1], word[-1]
+    return (word.lower() if word.isascii() else word), mark
+
+
 class WordIds(dict):
     """Ids of white-space separated words as bytes.
 
@@ -126,17 +172,18 @@ class WordIds(dict):
     """
 
     def __init__(self, path: str) -> None:
-        self.path = path
+        self.path, self.plain = path, {}
 
     def of(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self) > REMEMBERED:
             self.clear()
-        new = sorted({w for words in split for w in words if w not in self})
-        for word, found in zip(
-            new, tokenizer(self.path).encode_batch_fast(new, add_special_tokens=False), strict=True
-        ):
-            self[word] = np.asarray(found.ids, "<u4").tobytes()
+            self.plain.clear()
+        forms = {w: plain_form(w) for w in {w for words in split for w in words}.difference(self)}
+        new = sorted({x for form in forms.values() for x in form}.difference(self.plain))
+        self.plain.update(encoded_words(self.path, new))
+        for word, (base, mark) in forms.items():
+            self[word] = self.plain[base] + self.plain[mark]
         return [b"".join(map(self.__getitem__, words)) for words in split]
 
 
