@@ -13,6 +13,7 @@ table gives an archive without records. Other columns are not carried.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -121,11 +122,12 @@ def record(rows: DataFrame) -> Column:
 
 
 def write_archives(rows: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
-    """Write marked rows as archive files of at most so many records."""
+    """Write marked rows as compressed archive files of at most so many records."""
     (
         rows.select(record(rows).alias("value"))
         .write.option("lineSep", BREAK * 2)
         .option("maxRecordsPerFile", records_per_file)
+        .option("compression", "gzip")
         .text(path)
     )
 
@@ -157,6 +159,11 @@ def _records(content: bytes) -> Iterator[tuple]:
         )
 
 
+def _plain(content: bytes) -> bytes:
+    """An archive's bytes, which may be compressed."""
+    return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+
+
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per record; digest and size of responses are taken from the bytes read."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -167,14 +174,14 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                held = list(_records(content.as_py()))
+                held = list(_records(_plain(content.as_py())))
                 for a in range(0, len(held), 500):
                     columns = zip(*held[a : a + 500], strict=True)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
                     )
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.select("content").mapInArrow(parse, RECORD)
 
 
