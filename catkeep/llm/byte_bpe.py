@@ -16,6 +16,7 @@ the table lacks, or null ids, is an error in decoding. Other input columns are n
 from __future__ import annotations
 
 import base64
+import zlib
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -30,15 +31,15 @@ from pyspark.sql import functions as F
 from catkeep.llm.common import arrow_rows, text_or_empty, written
 
 #: Characters of text in a block.
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 12_000_000
 #: Words a task remembers with their ids; the memory is started anew beyond that.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 #: Ids in one batch that goes back to Spark.
 BATCH_IDS = 2_000_000
 
 BLOCK_TYPE = (
-    "block long, doc_ids array<long>, counts array<int>, codes binary,"
-    " parts array<struct<bucket: int, first: int, words: array<string>>>"
+    "block long, doc_ids array<long>, counts array<int>, codes binary, buckets binary,"
+    " parts array<struct<bucket: int, first: int, sizes: binary, words: binary>>"
 )
 PIECE_TYPE = "block long, first int, counts binary, ids binary"
 
@@ -85,37 +86,54 @@ class _Words(dict):
         return number
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, compressed by byte planes: the high bytes are mostly alike."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(planes.tobytes())
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def _block_row(block: int, documents: list[tuple], pattern: str, buckets: int) -> dict:
+    """Words are numbered by falling frequency, which packs best; a bucket holds its words in that order."""
     words, find = _Words(), splitter(pattern).findall
     number, codes, counts = words.__getitem__, [], []
     for _, text in documents:
         codes.append(np.fromiter(map(number, found := find(text)), np.uint32, len(found)))
         counts.append(len(found))
-    names = pa.array(words, pa.string())
-    of = np.fromiter((hash_of(w) % buckets for w in words), np.int32, len(words))
-    order = np.argsort(of, kind="stable").astype(np.int32)
-    place = np.empty(len(order), np.uint32)
-    place[order] = np.arange(len(order), dtype=np.uint32)
-    edges = np.append(np.flatnonzero(np.diff(of[order], prepend=-1)), len(order))
-    parts = [
-        {"bucket": int(of[order[a]]), "first": int(a), "words": names.take(pa.array(order[a:b])).to_pylist()}
-        for a, b in zip(edges[:-1], edges[1:], strict=True)
-    ]
     flat = np.concatenate(codes) if codes else np.empty(0, np.uint32)
+    by_rank = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+    rank = np.empty(len(words), np.uint32)
+    rank[by_rank] = np.arange(len(words), dtype=np.uint32)
+    names = [w.encode("utf-8", "surrogatepass") for w in words]
+    of = np.fromiter((zlib.crc32(w) % buckets for w in names), np.int64, len(names))[by_rank]
+    order = np.argsort(of, kind="stable")
+    edges = np.append(np.flatnonzero(np.diff(of[order], prepend=-1)), len(order))
+    dealt = by_rank[order]
+    parts = []
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        held = [names[i] for i in dealt[a:b]]
+        sizes = np.fromiter(map(len, held), np.uint32, len(held))
+        parts.append(
+            {
+                "bucket": int(of[order[a]]), "first": int(a),
+                "sizes": packed(sizes), "words": zstandard.compress(b"".join(held)),
+            }
+        )
     return {
-        "block": block,
-        "doc_ids": [d for d, _ in documents],
-        "counts": counts,
-        "codes": zstandard.compress(place[flat].tobytes() if len(place) else b""),
-        "parts": parts,
-    }
-
+        "block": block, "doc_ids": [d for d, _ in documents], "counts": counts,
+        "codes": packed(rank[flat]), "buckets": packed(of), "parts": parts,
+    }
 
-def hash_of(word: str) -> int:
-    """The same in every process, unlike hash()."""
-    import zlib
 
-    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
+def words_in(sizes: bytes, words: bytes) -> Iterator[bytes]:
+    content, at = zstandard.decompress(words), 0
+    for size in unpacked(sizes).tolist():
+        yield content[at : at + size]
+        at += size
 
 
 def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
@@ -154,25 +172,25 @@ def encode_words(parts: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one_word = encoder(ranks_path, pattern)._core_bpe.encode_single_piece
-        known: dict[str, list[int]] = {}
-        for block, first, words in arrow_rows(batches, "block", "first", "words"):
+        known: dict[bytes, bytes] = {}
+        for block, first, sizes, words in arrow_rows(batches, "block", "first", "sizes", "words"):
             found = []
-            for word in words:
+            for word in words_in(sizes, words):
                 ids = known.get(word)
                 if ids is None:
                     if len(known) >= REMEMBERED:
                         known.clear()
-                    known[word] = ids = one_word(word.encode("utf-8", "surrogatepass"))
+                    known[word] = ids = np.asarray(one_word(word), "<u4").tobytes()
                 found.append(ids)
-            counts = np.fromiter(map(len, found), np.uint32, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(counts.sum()))
+            counts = np.fromiter(map(len, found), np.uint32, len(found)) // 4
+            flat = np.frombuffer(b"".join(found), "<u4")
             yield _batch(
                 [
                     {
                         "block": block,
                         "first": first,
-                        "counts": zstandard.compress(counts.tobytes()),
-                        "ids": zstandard.compress(flat.tobytes()),
+                        "counts": packed(counts),
+                        "ids": packed(flat),
                     }
                 ],
                 schema,
@@ -181,10 +199,6 @@ def encode_words(parts: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return parts.mapInArrow(run, PIECE_TYPE)
 
 
-def _unpacked(blob: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(blob), np.uint32)
-
-
 def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The positions starts[i], starts[i] + 1, ... for counts[i] places, one after another."""
     ends = np.cumsum(counts)
@@ -193,12 +207,17 @@ def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _assemble(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for doc_ids, counts, codes, pieces in arrow_rows(batches, "doc_ids", "counts", "codes", "pieces"):
+    names = ("doc_ids", "counts", "codes", "buckets", "pieces")
+    for doc_ids, counts, codes, buckets, pieces in arrow_rows(batches, *names):
         pieces = sorted(pieces or [], key=lambda p: p["first"])
-        word_ids = np.concatenate([_unpacked(p["ids"]) for p in pieces] or [np.empty(0, np.uint32)])
-        word_counts = np.concatenate([_unpacked(p["counts"]) for p in pieces] or [np.empty(0, np.uint32)]).astype(np.int64)
-        word_starts = np.cumsum(word_counts) - word_counts
-        codes = _unpacked(codes)
+        word_ids = np.concatenate([unpacked(p["ids"]) for p in pieces] or [np.empty(0, np.uint32)])
+        dealt = np.concatenate([unpacked(p["counts"]) for p in pieces] or [np.empty(0, np.uint32)])
+        # Pieces come bucket by bucket; words are numbered by frequency.
+        order = np.argsort(unpacked(buckets), kind="stable")
+        word_counts, word_starts = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        word_counts[order] = dealt
+        word_starts[order] = np.cumsum(dealt, dtype=np.int64) - dealt
+        codes = unpacked(codes)
         edges = np.concatenate([[0], np.cumsum(np.asarray(counts, np.int64))])
         sizes = word_counts[codes]
         ends = np.concatenate([[0], np.cumsum(sizes)])[edges]
@@ -227,16 +246,16 @@ def encode(
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     blocks = written(blocks_of(rows, pattern, buckets, block_chars), "bpe-blocks")
     parts = blocks.select("block", F.explode("parts").alias("part")).select(
-        "block", "part.bucket", "part.first", "part.words"
+        "block", "part.bucket", "part.first", "part.sizes", "part.words"
     )
     pieces = encode_words(parts.repartition(buckets, "bucket").drop("bucket"), ranks_path, pattern)
     gathered = pieces.groupBy("block").agg(
         F.collect_list(F.struct("first", "counts", "ids")).alias("pieces")
     )
     return (
-        blocks.select("block", "doc_ids", "counts", "codes")
+        blocks.select("block", "doc_ids", "counts", "codes", "buckets")
         .join(gathered, "block", "left")
-        .select("doc_ids", "counts", "codes", "pieces")
+        .select("doc_ids", "counts", "codes", "buckets", "pieces")
         .mapInArrow(_assemble, "doc_id long, ids array<int>")
     )
 
