@@ -34,7 +34,7 @@ WORD_BUCKETS, GRAM_BUCKETS, WIDTH, HIDDEN, ATTENTION = 1 << 14, 1 << 16, 8, 8, 8
 EPOCHS, WARM_EPOCHS, BATCH, RATE = 14, 4, 128, 0.01
 #: Words a worker remembers with their inputs; the memory is started anew beyond that.
 REMEMBERED = 200_000
-WINDOWS_AT_ONCE, DOCS_AT_ONCE = 2048, 500
+WINDOWS_AT_ONCE, DOCS_AT_ONCE, WORDS_AT_ONCE = 2048, 500, 20_000
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -59,12 +59,15 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     prime = np.uint64(0x9E3779B97F4A7C15)
     for n in range(1, 6):
         ahead = np.zeros(len(codes), np.uint64)
-        ahead[: len(codes) - n + 1] = codes[n - 1 :]
+        ahead[: max(0, len(codes) - n + 1)] = codes[n - 1 :]
         rolled = _mix(rolled * prime + ahead + np.uint64(n))
         if n >= 3:
             whole = left >= n
             grams.append(rolled[whole] % np.uint64(GRAM_BUCKETS))
             owners.append(of[whole])
+    # A word of one letter has a single gram; that of an empty one is its marks.
+    owners.append(np.flatnonzero(sizes < 3))
+    grams.append(rolled[np.cumsum(sizes) - sizes][sizes < 3] % np.uint64(GRAM_BUCKETS))
     owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
     gram = np.concatenate(grams)[order].astype(np.int64)
@@ -117,7 +120,12 @@ class Network:
         return np.concatenate([self.weights["word"][bucket], chars], axis=1), (*features, counts)
 
     def inputs(self, words: list[str]) -> np.ndarray:
-        return self.embed(words)[0] @ self.weights["in"] + self.weights["bias"]
+        """What the gates get from every word; a slice at a time, as n-grams take memory."""
+        made = [
+            self.embed(words[a : a + WORDS_AT_ONCE])[0] @ self.weights["in"] + self.weights["bias"]
+            for a in range(0, len(words), WORDS_AT_ONCE)
+        ]
+        return np.concatenate(made)
 
     def run(self, x: np.ndarray, mask: np.ndarray, recurrent: np.ndarray, trace: list | None = None) -> np.ndarray:
         """States after every step of one direction; x is steps by windows by gates."""
