@@ -127,7 +127,7 @@ OTHERS = [
     ("noderiv", TITLE, "cc-by-nd", "creative commons attribution noderiv(?:ative)?s"),
     ("noncommercial", MENTION, "non-commercial", "for noncommercial (?:use|purposes)(?: only)?"),
     ("commercial", MENTION, "non-commercial", "(?:for )?non commercial (?:use|purposes)(?: only)?"),
-    ("warranty", MENTION, "no-warranty", "without warrant(?:y|ies) of any kind"),
+    ("warrant", MENTION, "no-warranty", "without warrant(?:y|ies) of any kind"),
     ("warranty", TITLE, "mit", "the software is provided as is without warranty of any kind express or implied"),
     ("permission", TITLE, "mit", "permission is hereby granted free of charge to any person obtaining a copy"),
     ("permission", TITLE, "isc", "permission to use copy modify and or distribute this software for any purpose"),

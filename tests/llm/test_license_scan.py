@@ -35,10 +35,9 @@ def brute(text, rules=RULES):
     ]
     found = []
     for number, rule in enumerate(rules):
-        if rule.keyword in line:
-            for m in re.finditer(f"(?<= )({rule.pattern})(?= )", line):
-                start = line[: m.start()].count(" ") - 1
-                found.append((start, start + m.group().count(" ") + 1, rule.rank, number, rule.label))
+        for m in re.finditer(f"(?<= )({rule.pattern})(?= )", line):
+            start = line[: m.start()].count(" ") - 1
+            found.append((start, start + m.group().count(" ") + 1, rule.rank, number, rule.label))
     order = sorted(found, key=lambda d: (d[0], -d[1], d[2], d[3]))
     kept = [
         d for i, d in enumerate(order)
@@ -113,6 +112,50 @@ def test_hundreds_of_rules_are_reached_through_marks_and_keywords(spark):
         assert found[i]["detections"], (rule, texts[i])
 
 
+def every_branch(pattern):
+    """Texts that the pattern matches; each branch, letter of a class and number of repeats is in one at least."""
+
+    def of(parsed):
+        parts = [of_one(str(kind), value) for kind, value in parsed]
+        first = [p[0] for p in parts]
+        return ["".join(first)] + [
+            "".join([*first[:i], other, *first[i + 1 :]]) for i, p in enumerate(parts) for other in p[1:]
+        ]
+
+    def of_one(name, value):
+        if name == "LITERAL":
+            return [chr(value)]
+        if name == "IN":
+            letters = [chr(v) for kind, v in value if str(kind) == "LITERAL"]
+            return letters or ["7" if str(value[0][1]) == "CATEGORY_DIGIT" else "x"]
+        if name == "BRANCH":
+            return [x for branch in value[1] for x in of(branch)]
+        if name == "SUBPATTERN":
+            return of(value[-1])
+        assert name in ("MAX_REPEAT", "MIN_REPEAT"), name
+        least, most, inner = value
+        return [x * n for n in dict.fromkeys((least, min(most, least + 1))) for x in (of(inner) if n else [""])]
+
+    return list(dict.fromkeys(of(re._parser.parse(pattern))))
+
+
+def test_every_branch_of_every_rule_is_reached(spark):
+    cases = [(rule, text) for rule in RULES for text in every_branch(rule.pattern)]
+    assert len(cases) > 3 * len(RULES)
+    for rule, text in cases:
+        assert re.fullmatch(rule.pattern, text)
+        assert rule.keyword in f" {text} ", (rule, text)
+    texts = sorted({text for _, text in cases})
+    for r in license_scan.scan(documents(spark, texts).repartition(8)).collect():
+        assert r["detections"], r["text"]
+
+
+def test_warranties_without_the_singular(spark):
+    frame = documents(spark, ["Sold without warranties of any kind.", "without WARRANTY of any kind"])
+    check(frame)
+    assert [(r["labels"], r["score"]) for r in license_scan.scan(frame).collect()] == [("no-warranty", 0.4)] * 2
+
+
 @pytest.mark.parametrize(
     ("text", "labels"),
     [("b b b", "low"), ("a b b", "high"), ("a b b c", "long")],
