@@ -6,13 +6,15 @@ first with the head of the rest if it lacks more than ``slack`` tokens, so what
 Windows still open at the end of the partitions are merged, partitions by the group: their pieces are
 placed by the same rule, and what is then still open is poured together, cutting at window ends.
 
-Defined cases: a null or empty text has the closing token only; null and repeated ids are packed row by
+Defined cases: a null or empty text has the closing token only; a special token's literal in a text has
+that token's id, as is the tokenizer's default; null and repeated ids are packed row by
 row; texts are never cut before they are tokenized; no rows give no pieces. Other columns are not carried.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Iterator
 from functools import cache
 from typing import NamedTuple
@@ -115,9 +117,14 @@ def tokenizer(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    loaded = Tokenizer.from_file(path)
-    loaded.encode_special_tokens = True
-    return loaded
+    return Tokenizer.from_file(path)
+
+
+@cache
+def literals(path: str) -> re.Pattern:
+    """What the tokenizer takes as one token wherever it stands in a text, in any case."""
+    added = [re.escape(t.content) for t in tokenizer(path).get_added_tokens_decoder().values()]
+    return re.compile("|".join(added) or r"(?!)", re.IGNORECASE)
 
 
 @cache
@@ -153,11 +160,14 @@ def encoded_words(path: str, words: list[str]) -> Iterator[tuple[str, bytes]]:
         yield word, np.asarray(found.ids, "<u4").tobytes()
 
 
-def plain_form(word: str) -> tuple[str, str]:
+def plain_form(word: str, literal: re.Pattern) -> tuple[str, str]:
     """The form under which a word is tokenized, and punctuation behind it that is a token by itself.
 
-    The tokenizer splits letters from other characters and lower-cases; only ASCII is folded here.
+    The tokenizer splits letters from other characters and lower-cases; only ASCII is folded here, and
+    no word that would then hold one of the tokenizer's literals, which it knows in their own case only.
     """
+    if literal.search(word):
+        return word, ""
     mark = ""
     if word[-1:] in MARKS and word[:-1].isalpha():
         word, mark = word[:-1], word[-1]
@@ -179,7 +189,8 @@ class WordIds(dict):
         if len(self) > REMEMBERED:
             self.clear()
             self.plain.clear()
-        forms = {w: plain_form(w) for w in {w for words in split for w in words}.difference(self)}
+        literal = literals(self.path)
+        forms = {w: plain_form(w, literal) for w in {w for words in split for w in words}.difference(self)}
         new = sorted({x for form in forms.values() for x in form}.difference(self.plain))
         self.plain.update(encoded_words(self.path, new))
         for word, (base, mark) in forms.items():

@@ -5,16 +5,18 @@ import numpy as np
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from catkeep.llm import packing
 from catkeep.llm.queries import op4_packing
 from tests.llm.helpers import documents, no_documents, odd_documents, table
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
+PLAIN = Tokenizer.from_file(PATH)
 
 
 def whole_ids(text):
-    return packing.tokenizer(PATH).encode(text or "", add_special_tokens=False).ids + [1]
+    return PLAIN.encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def check(pieces, texts, window):
@@ -63,6 +65,16 @@ def test_odd_texts(spark):
     check(packing.pack(frame, PATH, window=64, most_open=2, slack=3, merged_partitions=2).collect(), texts, 64)
 
 
+def test_literals_of_special_tokens():
+    texts = [
+        "hello <|endoftext|> world", "hello <|ENDOFTEXT|> world", "Ab<|endoftext|>,Cd <|startoftext|>", "<|EndOfText|><|endoftext|>.",
+        "<|endoftext|>'LL x<|endoftext|\u212a> <|endoftext| > <|endo\nftext|>",
+    ]
+    for text, ids in zip(texts, packing.WordIds(PATH).of(texts), strict=True):
+        assert [*np.frombuffer(ids, "<u4").tolist(), 1] == whole_ids(text)
+    assert whole_ids(texts[0]) == [3306, 49407, 1002, 1]
+
+
 def test_repeated_rows_and_none(spark):
     frame = documents(spark, ["a b c"]).unionByName(documents(spark, ["a b c"]))
     assert [p["length"] for p in packing.pack(frame, PATH).collect()] == [4, 4]
