@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from catkeep.llm.common import arrow_rows, written
 
 BLOCK_ROWS, QUERY_ROWS = 4096, 1024
-FIRST_DEPTH = 16
+FIRST_DEPTH = 1
 #: Groups of candidate blocks; a query block is copied once to each.
 GROUPS = 24
 BLOCK = "block long, dims int, ids binary, vectors binary, lists binary"
@@ -93,13 +93,12 @@ class Candidates:
         self.high = self.vectors.max(axis=0) if dims else np.empty(0)
         self.low = self.vectors.min(axis=0) if dims else np.empty(0)
 
-    def seen(self, query: np.ndarray, depth: int) -> np.ndarray:
-        """Rows within the depth of some list, read from the end the query favours."""
-        return np.unique(
-            np.concatenate(
-                [self.lists[query > 0, :depth].ravel(), self.lists[query < 0, len(self.ids) - depth :].ravel()]
-            )
-        )
+    def seen(self, query: np.ndarray, start: int, depth: int) -> np.ndarray:
+        """Which rows some list shows from ``start`` to ``depth``, read from the end the query favours."""
+        rows = np.zeros(len(self.ids), bool)
+        rows[self.lists[query > 0, start:depth]] = True
+        rows[self.lists[query < 0, len(self.ids) - depth : len(self.ids) - start]] = True
+        return rows
 
 
 class Best:
@@ -149,14 +148,13 @@ def threshold_search(
         if most[i] < best[i].bound():
             continue
         done = np.zeros(len(block.ids), bool)
+        start = 0
         for level in range(len(block.depths) + 1):
-            if level < len(block.depths) and block.depths[level] * np.count_nonzero(query) < len(block.ids):
-                new = block.seen(query, block.depths[level])
-                new = new[~done[new]]
-            elif level < len(block.depths) and bounds[i, level] >= best[i].bound() and level + 1 < len(block.depths):
-                continue  # as many list entries as rows: read on to the depth that decides
+            if level < len(block.depths):
+                new = np.flatnonzero(block.seen(query, start, block.depths[level]) & ~done)
+                start = block.depths[level]
             else:
-                new = np.flatnonzero(~done)
+                new = np.flatnonzero(~done)  # the lists are read to their end
             done[new] = True
             new = new[block.ids[new] != query_ids[i]]
             scored += len(new)

@@ -63,3 +63,15 @@ def test_reading_stops_when_the_bound_cannot_win():
     scored = topk.threshold_search(np.array([-1]), np.array([[5, 4, 3]]), block, best)
     assert scored < 400
     assert best[0].scores.tolist() == sorted((vectors @ [5, 4, 3]).tolist())[::-1][:20]
+
+
+def test_only_rows_seen_in_the_lists_are_scored_in_many_dimensions():
+    rng = np.random.default_rng(3)
+    for n in (500, 4096):
+        vectors = np.outer(rng.permutation(n), np.full(64, 5)) + rng.integers(-9, 10, (n, 64))
+        lists = np.ascontiguousarray(np.argsort(-vectors, axis=0, kind="stable").astype(np.int32).T)
+        block = topk.Candidates(64, np.arange(n).tobytes(), vectors.tobytes(), lists.tobytes())
+        query, best = rng.integers(1, 9, 64), [topk.Best(20)]
+        scored = topk.threshold_search(np.array([-1]), query[None], block, best)
+        assert scored < 100
+        assert best[0].scores.tolist() == sorted((vectors @ query).tolist())[::-1][:20]
