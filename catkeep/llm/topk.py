@@ -2,7 +2,7 @@
 
 Candidates are packed into blocks where they are; a block holds its vectors and, for every dimension, the
 list of its rows sorted by that component. Query blocks meet candidate blocks by a join on a group
-number. For each query the lists are read from the end that its component favours, to growing depths:
+number; a group is bounded in bytes. For each query the lists are read from the end that its component favours, to growing depths:
 rows seen for the first time are scored in full, and reading stops when the sum of what the lists show
 next cannot reach the kth score. Bounds carry over from block to block of a group.
 
@@ -26,8 +26,10 @@ from catkeep.llm.common import arrow_rows, written
 
 BLOCK_ROWS, QUERY_ROWS = 4096, 1024
 FIRST_DEPTH = 1
-#: Groups of candidate blocks; a query block is copied once to each.
+#: Groups of candidate blocks, at least, if there are as many blocks; a query block is copied once to each.
 GROUPS = 24
+#: Most bytes of a group, which one task holds at a time; a larger table has more groups.
+GROUP_BYTES = 128 << 20
 BLOCK = "block long, dims int, ids binary, vectors binary, lists binary"
 FOUND = "query_id long, vec_id long, score long"
 
@@ -197,6 +199,34 @@ def _search(k: int):
     return run
 
 
+def in_groups(candidates: DataFrame, least: int, most_bytes: int) -> tuple[DataFrame, int]:
+    """Blocks with the number of their group, neighbours together, and the number of groups.
+
+    Only the number of blocks of every partition and the size of its largest reach the driver.
+    """
+    size = F.octet_length("ids") * (F.lit(2) + 3 * F.col("dims").cast("long")) / 2
+    parts = sorted(
+        map(
+            tuple,
+            candidates.groupBy(F.shiftright("block", 32).alias("part"))
+            .agg(F.count(F.lit(1)), F.max(size))
+            .collect(),
+        )
+    )
+    total, largest = sum(n for _, n, _ in parts), max((b for _, _, b in parts), default=0)
+    together = max(1, int(most_bytes // max(1, largest)))
+    groups = max(1, min(least, total), -(-total // together))
+    firsts, first = [], 0
+    for part, n, _ in parts:
+        firsts.append((part, first))
+        first += n
+    places = candidates.sparkSession.createDataFrame(firsts, "part long, first long")
+    number = F.col("first") + F.col("block").bitwiseAND(F.lit((1 << 32) - 1))
+    numbered = candidates.withColumn("part", F.shiftright("block", 32)).join(F.broadcast(places), "part")
+    group = F.floor(number * F.lit(groups) / F.lit(max(1, total)))
+    return numbered.withColumn("group", F.least(group, F.lit(groups - 1)).cast("int")).drop("part", "first"), groups
+
+
 def top_k(
     vectors: DataFrame,
     queries: Column,
@@ -205,6 +235,7 @@ def top_k(
     block_rows: int = BLOCK_ROWS,
     query_rows: int = QUERY_ROWS,
     groups: int = GROUPS,
+    group_bytes: int = GROUP_BYTES,
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the k best rows for every row that ``queries`` selects.
 
@@ -214,14 +245,15 @@ def top_k(
         F.col("vec_id").cast("long").alias("vec_id"), quantised(F.col("embedding"), scale).alias("v")
     ).where("vec_id IS NOT NULL AND v IS NOT NULL")
     candidates = written(pack_blocks(rows, block_rows, True), "topk-candidates")
+    grouped, groups = in_groups(candidates, groups, group_bytes)
     asked = written(pack_blocks(rows.where(queries), query_rows, False), "topk-queries")
     asked = asked.select(
         F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"),
         F.col("block").alias("query_block"), F.col("dims").alias("query_dims"),
         F.col("ids").alias("query_ids"), F.col("vectors").alias("query_vectors"),
     )
-    grouped = candidates.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
-    found = asked.join(grouped.hint("shuffle_hash"), "group").drop("group", "block").mapInArrow(_search(k), FOUND)
+    # A merge join sorts with spilling and holds one group at a time, also where a task has several.
+    found = asked.join(grouped.hint("merge"), "group").drop("group", "block").mapInArrow(_search(k), FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))

@@ -75,3 +75,21 @@ def test_only_rows_seen_in_the_lists_are_scored_in_many_dimensions():
         scored = topk.threshold_search(np.array([-1]), query[None], block, best)
         assert scored < 100
         assert best[0].scores.tolist() == sorted((vectors @ query).tolist())[::-1][:20]
+
+
+def test_groups_are_bounded_in_bytes(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(400)]
+    frame = spark.createDataFrame([(i, [int(64 * x) for x in v]) for i, v in rows], "vec_id long, v array<long>")
+    blocks = topk.pack_blocks(frame.repartition(3), 10, True).cache()
+    size = 10 * (8 + 4 * 12)
+    for least, most_bytes, expected in ((2, 4 * size, 4), (24, 1 << 30, 24), (2, 1, 1), (1000, 1 << 30, 1)):
+        grouped, groups = topk.in_groups(blocks, least, most_bytes)
+        counts = {r["group"]: r["count"] for r in grouped.groupBy("group").count().collect()}
+        assert sum(counts.values()) == blocks.count() and set(counts) == set(range(groups))
+        assert groups >= min(least, blocks.count())
+        assert max(counts.values()) <= max(expected, 1)
+    check(spark, rows, block_rows=10, query_rows=16, groups=2, group_bytes=4 * size)
+    whole = topk.top_k(spark.createDataFrame(rows, VECTORS), F.col("vec_id") < 9, 5, block_rows=10)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "ShuffledHashJoin" not in plan
