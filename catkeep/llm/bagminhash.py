@@ -446,7 +446,12 @@ def near_duplicates(
     A class is a connected component of the pairs that reach the threshold; its id is its smallest
     doc_id, and that row is kept.
     """
-    docs = documents.select(*keep_but(documents, RESULT)).withColumns(
+    # Other columns are held under names that none of the operator's own has.
+    names = [c for c in documents.columns if c not in RESULT]
+    held = [c if c in ("doc_id", "text") else f"input_{i}" for i, c in enumerate(names)]
+    docs = documents.select(
+        *[c.alias(h) for c, h in zip(keep_but(documents, RESULT), held, strict=True)]
+    ).withColumns(
         {"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")}
     )
     signed = written(sign(docs, bands * rows, shingle), "near-signed")
@@ -463,5 +468,5 @@ def near_duplicates(
     alone = kept.where("_node IS NULL").withColumns(
         {"class_id": F.col("doc_id"), "class_size": F.lit(1).cast("long"), "kept": F.lit(True)}
     )
-    names = [*[c for c in documents.columns if c not in RESULT], *RESULT]
-    return found.select(*names).unionByName(alone.select(*names))
+    shown = [*[F.col(h).alias(c) for c, h in zip(names, held, strict=True)], *RESULT]
+    return found.select(*shown).unionByName(alone.select(*shown))

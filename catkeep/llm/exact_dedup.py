@@ -61,13 +61,16 @@ def _settings(spark: SparkSession, settings: dict[str, str]):
 
 
 def land(documents: DataFrame, path: str, digest: Callable[[Column], Column] = sha256) -> None:
-    """Append rows to the landed table, with digest and hash of the normalised text and its length."""
+    """Append rows to the landed table, with digest and hash of the normalised text and its length.
+
+    The input's columns are in one struct, so that none is taken for one of the operator's own.
+    """
     text = F.col("_content")
     rows = documents.select(
-        *keep_but(documents, RESULT), text_or_empty().alias("_content")
+        F.struct(*keep_but(documents, RESULT)).alias("_input"), text_or_empty().alias("_content")
     ).withColumn("_norm", normalised(text))
     rows.select(
-        *[c for c in rows.columns if not c.startswith("_")],
+        "_input",
         digest(F.col("_norm")).alias("_digest"),
         sha256(F.col("_norm")).alias("_sha"),
         F.length(text).cast("long").alias("_points"),
@@ -75,7 +78,12 @@ def land(documents: DataFrame, path: str, digest: Callable[[Column], Column] = s
 
 
 def _located(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({"_file": F.col("_metadata.file_name"), "_row": F.col("_metadata.row_index")})
+    return rows.withColumns(
+        {
+            "doc_id": F.col("_input.doc_id"), "_file": F.col("_metadata.file_name"),
+            "_row": F.col("_metadata.row_index"),
+        }
+    )
 
 
 def _rank() -> Column:
@@ -150,15 +158,15 @@ def _split_collisions(matched: DataFrame, rows: DataFrame, latest: DataFrame) ->
     all of it back.
     """
     spark = matched.sparkSession
-    content = normalised(text_or_empty())
+    content = normalised(text_or_empty("_input.text"))
     shared = written(latest.where("_size > 1").select("_digest", "_keeper"), "dedup-shared")
     near = with_possible(
-        rows.select("_digest", "_file", "_row", "text"), shared, "_digest", block_count(shared.count())
+        rows.select("_digest", "_file", "_row", F.col("_input.text").alias("text")), shared, "_digest", block_count(shared.count())
     ).where("possible")
     hits = written(
         near.join(shared, "_digest").select(
             "_digest",
-            content.alias("_norm"),
+            normalised(text_or_empty()).alias("_norm"),
             ((F.col("_file") == F.col("_keeper.file")) & (F.col("_row") == F.col("_keeper.row"))).alias("_first"),
         ),
         "dedup-hits",
@@ -177,7 +185,7 @@ def _split_collisions(matched: DataFrame, rows: DataFrame, latest: DataFrame) ->
 
 def _result(matched: DataFrame) -> DataFrame:
     return matched.select(
-        *[c for c in matched.columns if not c.startswith("_")],
+        "_input.*",
         F.col("_keeper.doc_id").alias("keep_id"),
         F.col("_size").alias("group_size"),
         ((F.col("_file") == F.col("_keeper.file")) & (F.col("_row") == F.col("_keeper.row"))).alias("kept"),

@@ -136,7 +136,7 @@ def scan(documents: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     base = [_labelled(spans(words, F.lit(phrase)), label) for phrase, label in BASE]
     # One step a column, so that none is worked out again inside the next.
     rows = (
-        documents.select(*keep_but(documents, RESULT), text_or_empty().alias("_text"))
+        documents.select(F.struct(*keep_but(documents, RESULT)).alias("_input"), text_or_empty().alias("_text"))
         .withColumn("_low", F.lower("_text"))
         .withColumn("n_words", F.regexp_count(text, F.lit(WORD)).cast("long"))
         .withColumn("_words", F.when(marked, in_words(text)))
@@ -158,7 +158,8 @@ def scan(documents: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     weights = F.array(*[F.lit(w) for w in WEIGHT])
     best = F.array_max(F.transform("_found", lambda d: F.get(weights, d["rank"])))
     return rows.select(
-        *[c for c in rows.columns if not c.startswith("_")],
+        "_input.*",
+        "n_words",
         F.coalesce(F.size("_base"), F.lit(0)).cast("long").alias("n_base"),
         F.array_min(starts).alias("first_word"),
         F.array_max(starts).alias("last_word"),

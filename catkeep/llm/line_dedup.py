@@ -73,7 +73,7 @@ def remove_spread_lines(
     """All rows of ``documents`` with the cleaned text, the number of lines and of those removed."""
     rows = written(
         documents.select(
-            *keep_but(documents, RESULT),
+            F.struct(*keep_but(documents, RESULT)).alias("_input"),
             text_or_empty().alias("_text"),
             F.col(f"`{site}`").cast("string").alias("_site"),
             F.monotonically_increasing_id().alias("_row"),
@@ -90,12 +90,10 @@ def remove_spread_lines(
     cleaned = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
     return (
         rows.join(removed, "_row", "left")
-        .withColumns(
-            {
-                "text": F.when(F.col("_removed").isNull(), F.col("_text")).otherwise(cleaned),
-                "n_lines": F.size(parts).cast("long"),
-                "n_removed": F.coalesce(F.size("_removed"), F.lit(0)).cast("long"),
-            }
+        .select(
+            "_input.*",
+            F.when(F.col("_removed").isNull(), F.col("_text")).otherwise(cleaned).alias("text"),
+            F.size(parts).cast("long").alias("n_lines"),
+            F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias("n_removed"),
         )
-        .drop("_row", "_text", "_site", "_removed")
     )

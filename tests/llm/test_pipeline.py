@@ -2,8 +2,8 @@ import re
 from collections import defaultdict
 
 import corpus_pipeline
-from catkeep.llm import toxicity
-from tests.llm.helpers import no_documents, odd_documents, table
+from catkeep.llm import bagminhash, exact_dedup, license_scan, line_dedup, toxicity
+from tests.llm.helpers import documents, no_documents, odd_documents, table
 from tests.llm.test_bagminhash import classes
 from tests.llm.test_packing import whole_ids
 
@@ -55,3 +55,20 @@ def test_odd_and_empty_input(spark, sf_dir):
 
 def test_run(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 100
+
+
+def test_columns_named_like_helpers(spark, sf_dir):
+    own = ("_row", "_text", "_x", "_node", "_site", "_metadata", "_input", "_digest", "_words", "input_5")
+    frame = documents(spark, ["a b", "a  b", None, "licensed under the MIT license"], **{c: f"v{c}" for c in own})
+    first = corpus_pipeline.STAGES[0][1](spark, frame, sf_dir)
+    assert first.columns == frame.columns
+    results = [
+        exact_dedup.dedup(frame), bagminhash.near_duplicates(frame), license_scan.scan(frame),
+        line_dedup.remove_spread_lines(frame), corpus_pipeline.drop_copies(spark, frame, sf_dir),
+        corpus_pipeline.drop_near_copies(spark, frame, sf_dir),
+    ]
+    for result, n in zip(results, (4, 4, 4, 4, 3, None), strict=True):
+        rows = result.collect()
+        assert len(rows) == n if n else rows
+        assert {c: f"v{c}" for c in own}.items() <= rows[0].asDict().items()
+        assert all(r[c] == f"v{c}" for r in rows for c in own)
