@@ -365,7 +365,8 @@ def train(
     """Fit on a bounded sample of the labelled rows that are not held out.
 
     Only ids and texts of at most ``2 * sample`` documents of at most ``max_chars`` characters reach the
-    driver; the share of toxic labels is taken over all of them.
+    driver, of rows with one id the one whose text has the least hash; the share of toxic labels is taken
+    over all labelled rows.
     """
     known = labels.where(
         F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))
@@ -375,11 +376,14 @@ def train(
     for value in (0, 1):
         part = known.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         chosen = part if chosen is None else chosen.unionByName(part)
+    wanted = chosen.groupBy("doc_id").agg(F.collect_list("toxic").alias("toxic"))
     rows = (
         documents.where(F.length("text") <= max_chars)
         .select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", "text", "toxic")
+        .join(F.broadcast(wanted), "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one"), F.first("toxic").alias("toxic"))
+        .select("doc_id", F.col("one.text").alias("text"), F.explode("toxic").alias("toxic"))
         .collect()
     )
     rows.sort(key=lambda r: (r["doc_id"], r["text"], r["toxic"]))

@@ -76,6 +76,21 @@ def test_without_labels_every_text_gets_the_share(spark):
     assert toxicity.train(documents(spark, ["a", "b", "c"]), known).shift < 0
 
 
+def test_one_row_of_a_repeated_id_is_learnt(spark, monkeypatch):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5][:4]
+    rows = [(i, f"text {i} {n}") for i in ids for n in range(50 if i == ids[0] else 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)] + [(ids[1], 1)], "doc_id long, toxic int")
+    learnt = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic, share: learnt.append((texts, toxic)))
+    for _ in range(2):
+        toxicity.train(frame.repartition(3, "text"), labels, sample=8)
+    assert learnt[0] == learnt[1]
+    texts, toxic = learnt[0]
+    assert [int(t.split()[1]) for t in texts] == [ids[0], ids[1], ids[1], ids[2], ids[3]]
+    assert toxic == [0, 1, 1, 0, 1]
+
+
 def test_held_out_accuracy(spark):
     sf_dir = "/root/testdata/sf0.01"
     toxic = {r["doc_id"]: r["toxic"] for r in table(spark, sf_dir, "labels").collect()}
