@@ -15,12 +15,15 @@ from catkeep.llm import (
     license_scan,
     line_dedup,
     packing,
+    periodic_runs,
+    sentence_pieces,
+    term_search,
     topk,
     toxicity,
     url_filter,
     warc,
 )
-from catkeep.llm.common import written
+from catkeep.llm.common import text_or_empty, written
 from catkeep.llm.sql import SQL
 from catkeep.session import scratch_path
 
@@ -147,5 +150,74 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted(documents: DataFrame) -> DataFrame:
+    """Documents of which every tenth, by the checksum of its id, repeats some of its words to its end."""
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split(text_or_empty(), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    parts = documents.select("doc_id", "text", number.alias("h")).withColumns(
+        {"words": F.when(F.col("h") % 10 == 0, words), "g": F.expr("h div 10")}
+    )
+    parts = parts.withColumn("n", F.coalesce(F.size("words"), F.lit(0)).cast("long"))
+    parts = parts.withColumn("a", F.expr("CASE WHEN n > 0 THEN g % n END"))
+    parts = parts.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    tail = "flatten(array_repeat(slice(words, int(a) + 1, int(p)), int((n - a) div p + 1)))"
+    repeated = F.expr(f"array_join(concat(slice(words, 1, int(a)), slice({tail}, 1, int(n - a))), ' ')")
+    return parts.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic stretches of words in every document, and what is left without their repeats."""
+    documents = planted(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.periodic_runs(documents)
+    lines = F.transform(
+        "runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    )
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"]))
+    )
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        longest.alias("longest"),
+        F.sha2(
+            F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")).cast("binary"), 256
+        ).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    ).selectExpr(
+        "doc_id",
+        "n_runs",
+        "-longest.col2 AS start",
+        "longest.length AS length",
+        "-longest.col3 AS period",
+        "(1000 * longest.length) div -longest.col3 AS exponent_milli",
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
+@query
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every document and what they decode to."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = sentence_pieces.decode(sentence_pieces.encode(documents, model), model)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_term_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every benchmark item."""
+    return term_search.search(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        table(spark, sf_dir, "benchmark").select("item_id", "text"),
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -102,3 +102,32 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
 FROM f
 """
+
+SQL["op13_term_search"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_no, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), {UPPER_LOWER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), sizes AS (
+  SELECT row_no, doc_id, len(words) AS n FROM d
+), totals AS (
+  SELECT count(*) FILTER (WHERE n > 0) AS docs, sum(n)::BIGINT AS total FROM sizes
+), counted AS (
+  SELECT row_no, term, count(*) AS tf FROM (SELECT row_no, unnest(words) AS term FROM d) GROUP BY ALL
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {UPPER_LOWER}),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0 * max(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM counted, totals GROUP BY term
+), scores AS (
+  SELECT item_id, row_no, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN counted USING (term) JOIN sizes USING (row_no), totals
+  GROUP BY item_id, row_no, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 50
+"""

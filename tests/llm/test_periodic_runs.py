@@ -1,0 +1,122 @@
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from catkeep.llm import periodic_runs
+from catkeep.llm.queries import QUERIES
+from tests.llm.helpers import documents, no_documents, odd_documents, table
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def all_runs(words, least=12):
+    """Every stretch of every lag; of equal stretches the smallest lag."""
+    found = {}
+    for lag in range(1, len(words) // 2 + 1):
+        at = 0
+        while at + lag < len(words):
+            end = at
+            while end + lag < len(words) and words[end] == words[end + lag]:
+                end += 1
+            if end + lag - at >= max(least, 2 * lag) and end > at:
+                found.setdefault((at, end + lag), lag)
+            at = end + 1
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def collapsed(words, runs):
+    dropped = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in dropped)
+
+
+def find(words):
+    starts, ends, periods = periodic_runs.find_runs(np.array(words, np.int64))
+    return [(int(s), int(e - s), int(q)) for s, e, q in zip(starts, ends, periods, strict=True)]
+
+
+@st.composite
+def repetitive(draw):
+    words = []
+    for _ in range(draw(st.integers(0, 6))):
+        block = draw(st.lists(st.integers(0, draw(st.sampled_from([1, 2, 40]))), min_size=1, max_size=70))
+        words += block * draw(st.integers(1, 5))
+    return words
+
+
+@settings(max_examples=400, deadline=None)
+@given(repetitive())
+def test_every_run(words):
+    assert find(words) == all_runs(words)
+
+
+def test_words_of_short_periods_side_by_side():
+    # Each odd distance over the middle is a run of its own.
+    half = [0, 1] * 60
+    assert find([*half, 0, *half]) == all_runs([*half, 0, *half])
+    fibonacci = [[0], [0, 1]]
+    while len(fibonacci[-1]) < 900:
+        fibonacci.append(fibonacci[-1] + fibonacci[-2])
+    assert find(fibonacci[-1]) == all_runs(fibonacci[-1])
+
+
+def test_long_period_and_no_period():
+    rng = random.Random(3)
+    block = [rng.randrange(1000) for _ in range(30_000)]
+    assert find(block) == []
+    assert find(block * 3 + block[:10]) == [(0, 90_010, 30_000)]
+
+
+def expected(rows, plant=False):
+    made = []
+    for r in rows:
+        words = WORD.findall(r["text"] or "")
+        n, h = len(words), zlib.crc32(str(r["doc_id"]).encode()) if r["doc_id"] is not None else 1
+        if plant and h % 10 == 0 and n:
+            g = h // 10
+            a, words = g % n, list(words)
+            p = 1 + (n - a) // (3 + g % 8)
+            words[a:] = [words[a + (i - a) % p] for i in range(a, n)]
+        runs = all_runs(words) if n < 3000 or plant else find([zlib.crc32(w.encode()) for w in words])
+        made.append((r["doc_id"], runs, collapsed(words, runs)))
+    return made
+
+
+def test_odd_texts_and_clashing_columns(spark):
+    frame = odd_documents(spark, runs="clash", collapsed="clash", h="kept").repartition(2)
+    got = periodic_runs.periodic_runs(frame, slice_words=7).collect()
+    assert set(got[0].asDict()) == {"doc_id", "lang", "source", "n_chars", "h", "runs", "collapsed"}
+    seen = Counter((r["doc_id"], tuple(map(tuple, r["runs"])), r["collapsed"]) for r in got)
+    assert seen == Counter((d, tuple(runs), text) for d, runs, text in expected(frame.collect()))
+    assert all(r["h"] == "kept" for r in got)
+
+
+def test_no_rows(spark):
+    assert periodic_runs.periodic_runs(no_documents(spark)).count() == 0
+
+
+def test_texts_do_not_run_into_each_other(spark):
+    frame = documents(spark, ["a b " * 4] * 6 + ["a b"]).coalesce(1)
+    assert all(r["runs"] == [] for r in periodic_runs.periodic_runs(frame).collect())
+
+
+def test_query(spark, sf_dir):
+    small = table(spark, sf_dir, "documents").collect()
+    got = {r["doc_id"]: r for r in QUERIES["op11_periodic_runs"](spark, sf_dir).collect()}
+    assert len(got) == len(small)
+    planted = 0
+    for doc_id, runs, text in expected([r for r in small if len(r["text"] or "") < 20_000], plant=True):
+        row, longest = got[doc_id], min(runs, key=lambda r: (-r[1], r[0], r[2]), default=None)
+        assert row["n_runs"] == len(runs)
+        assert (row["start"], row["length"], row["period"]) == (longest or (None,) * 3)
+        assert row["exponent_milli"] == (longest and 1000 * longest[1] // longest[2])
+        lines = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+        assert row["runs_sha256"] == hashlib.sha256(lines.encode()).hexdigest()
+        assert row["collapsed_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        planted += bool(runs)
+    assert planted > 10

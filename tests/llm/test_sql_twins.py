@@ -14,5 +14,5 @@ def test_twin(name, spark, sf_dir):
     assert rows
 
 
-def test_ten_operators():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
