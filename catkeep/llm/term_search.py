@@ -69,10 +69,11 @@ def unpacked(blob: bytes, kind: str) -> np.ndarray:
 
 
 def arrow_schema(ddl: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    return to_arrow_schema(StructType.fromDDL(ddl))
+    kinds = {
+        "long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(),
+        "array<long>": pa.list_(pa.int64()),
+    }
+    return pa.schema([(name, kinds[kind]) for name, kind in (field.split() for field in ddl.split(","))])
 
 
 def item_terms(items: DataFrame) -> DataFrame:
@@ -111,7 +112,7 @@ class _Shard:
         self.lengths.append(len(words))
         counts = Counter(words)
         hashes = np.fromiter(map(zlib.crc32, counts), np.int64, len(counts))
-        for term, tf in compress(counts.items(), wanted[hashes % MAP_BITS].tolist()):
+        for term, tf in compress(counts.items(), wanted[hashes % len(wanted)].tolist()):
             held = self.postings.get(term)
             if held is None:
                 held = self.postings[term] = (array("H"), array("I"))
