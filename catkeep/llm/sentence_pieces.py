@@ -5,11 +5,10 @@ token's end, are the BPE of that prefix; and a row of tokens is the BPE of its t
 neighbours are the BPE of theirs. So the last token of a prefix is the one piece that ends there (an
 automaton finds all of them in one pass) and that is compatible with the last token before it. A
 table of last tokens per prefix is filled left to right and read from the end backwards. Compatibility of a
-pair is decided once, by merging the two pieces' characters, and remembered.
+pair is decided once, by replaying how the two pieces come about side by side, and remembered.
 
-Texts are encoded where they lie, without a shuffle. Where no piece holds a space behind another
-character, a text falls into words that are encoded apart, each once per worker as long as it is
-remembered.
+Texts are encoded where they lie, without a shuffle. A text is cut wherever no piece can lie across, as in
+front of spaces; the words are encoded apart, each once per worker as long as it is remembered.
 
 Decoding looks ids up in the table of pieces. Bytes that make no character become U+FFFD one by one, a
 space at the very beginning is the one that encoding put there, and control ids have no text.
@@ -26,6 +25,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
+from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
@@ -38,39 +38,104 @@ from pyspark.sql import functions as F
 from catkeep.llm.common import keep_but
 
 SPACE = "▁"
-#: Words and pairs that a worker remembers; either memory is started anew beyond that.
-WORDS_REMEMBERED, PAIRS_REMEMBERED = 300_000, 1_000_000
+#: Words of a generation and pairs that a worker remembers; the pairs are started anew beyond that.
+WORDS_REMEMBERED, PAIRS_REMEMBERED = 200_000, 1_000_000
 #: Longer words are encoded each time they come.
 LONGEST_REMEMBERED = 64
 #: Rows whose ids go back to Spark together.
 ROWS_AT_ONCE = 500
+#: Score of what is no piece.
+NEVER = float("-inf")
 
 
-def bpe(text: str, score: dict[str, float]) -> list[str]:
-    """The merging loop itself: the best scored neighbours, of equal ones the first, become one."""
-    parts = list(text)
+class History(NamedTuple):
+    """How a piece comes about: the score of each merge, and the outer parts before and after each."""
+
+    scores: list[float]
+    first: list[str]
+    last: list[str]
+
+
+def history(piece: str, score: dict[str, float]) -> History | None:
+    """The merging loop on one piece: the best scored neighbours, of equal ones the first, become one.
+
+    None if the piece does not come about that way.
+    """
+    parts, made = list(piece), History([], [piece[0]], [piece[-1]])
     while len(parts) > 1:
-        best, at = None, 0
+        best, at = NEVER, 0
         for i in range(len(parts) - 1):
-            found = score.get(parts[i] + parts[i + 1])
-            if found is not None and (best is None or found > best):
+            found = score.get(parts[i] + parts[i + 1], NEVER)
+            if found > best:
                 best, at = found, i
-        if best is None:
-            break
+        if best == NEVER:
+            return None
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
-    return parts
+        made.scores.append(best)
+        made.first.append(parts[0])
+        made.last.append(parts[-1])
+    made.scores.append(NEVER)
+    return made
+
+
+def crosses(left: History, right: History, score: dict[str, float]) -> bool:
+    """Whether a merge over the border comes before the two pieces are whole, or after.
+
+    Both histories go on side by side, the better merge first, of equal ones the left; the border's own
+    merge stands between the two.
+    """
+    i = j = 0
+    while True:
+        over = score.get(left.last[i] + right.first[j])
+        if over is not None and over > left.scores[i] and over >= right.scores[j]:
+            return True
+        if left.scores[i] < right.scores[j]:
+            j += 1
+        elif left.scores[i] == NEVER:
+            return False
+        else:
+            i += 1
+
+
+#: Letters that words mostly consist of.
+LETTERS = r"A-Za-z\u00c0-\u024f"
+
+
+def word_pattern(pieces: Iterable[str]) -> re.Pattern:
+    """Cuts a text where no piece lies across, so that nothing is merged over a cut.
+
+    That is in front of spaces, around ASCII characters that no longer piece holds, and between a letter
+    and ASCII punctuation that no piece holds behind a letter. If a piece has a space behind another
+    character, a text is one word.
+    """
+    longer = [p for p in pieces if len(p) > 1]
+    if any(SPACE in p.lstrip(SPACE) for p in longer):
+        return re.compile("(?s).+")
+    held = set("".join(longer))
+    behind = {b for p in longer for _, b in re.findall(f"(?=([{LETTERS}])(.))", p, re.DOTALL)}
+    marks = {chr(c) for c in range(128) if not chr(c).isalnum()}
+    lone, after = (
+        "".join(f"\\x{ord(c):02x}" for c in sorted(chars)) for chars in (marks - held | {" "}, marks - behind | {" "})
+    )
+    return re.compile(
+        f"{SPACE}*[{LETTERS}]+(?=[{SPACE}{after}]|$)|[{lone}]|{SPACE}*[^{SPACE}{lone}]+|{SPACE}+"
+    )
 
 
 class _Words(dict):
-    """Ids of the words asked for lately."""
+    """Ids of the words asked for lately, in two generations: what is asked for again stays."""
 
     def __init__(self, encode_word: Callable[[str], bytes]) -> None:
         self.encode_word = encode_word
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.encode_word(word)
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.encode_word(word)
         if len(word) <= LONGEST_REMEMBERED:
             if len(self) >= WORDS_REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -120,19 +185,24 @@ class Pieces:
         for number, name in enumerate(self.names):
             self.automaton.add_word(name, (len(name), number))
         self.automaton.make_automaton()
-        inner = any(SPACE in name.lstrip(SPACE) for name in self.names)
-        #: Words: spaces and what follows them. Without a cut, the whole text is one word.
-        self.cut = re.compile("(?s).+" if inner else f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
+        self.words = word_pattern(self.names).findall
         self.pairs: dict[int, bool] = {}
+        self.histories: dict[int, History | None] = {}
         self.known = _Words(self.encode_word)
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the two pieces are the BPE of their text (left -1: at the start of a text)."""
         if len(self.pairs) >= PAIRS_REMEMBERED:
             self.pairs.clear()
-        pair = [self.names[right]] if left < 0 else [self.names[left], self.names[right]]
-        self.pairs[left * len(self.names) + right] = found = bpe("".join(pair), self.score) == pair
-        return found
+        made = self._history(right)
+        fits = made is not None and (left < 0 or not crosses(self._history(left), made, self.score))
+        self.pairs[left * len(self.names) + right] = fits
+        return fits
+
+    def _history(self, token: int) -> History | None:
+        if token not in self.histories:
+            self.histories[token] = history(self.names[token], self.score)
+        return self.histories[token]
 
     def last_tokens(self, word: str) -> list[int]:
         """The last token of every prefix; -1 for the empty one and behind a character of no piece."""
@@ -160,7 +230,7 @@ class Pieces:
         return ids.tobytes()
 
     def encode(self, text: str) -> np.ndarray:
-        words = self.cut(self.normalize(text)) if text else ()
+        words = self.words(self.normalize(text)) if text else ()
         return np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32)
 
     def text_of(self, ids: np.ndarray, joined: bytes) -> str:
