@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import product
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catkeep import model
@@ -15,6 +17,12 @@ METASTORE_KINDS = ["storage credential", "share", "recipient", "connection", "ex
 SCHEMA_CHILD_KINDS = ["table", "view", "volume", "function", "registered model"]
 
 
+#: What a rule may compare, in the order of a mask's bits.
+RULE_COLUMNS = ["object_type", "object_name", "object_parent_type", "object_parent_name"]
+#: Values up to which a specification is a filter that reaches the scan; beyond, its rules are a table.
+FILTER_VALUES = 200
+
+
 @dataclass(frozen=True)
 class Rule:
     """Rows to select; None stands for any value."""
@@ -39,6 +47,12 @@ class Rule:
             tests.append(F.col("object_parent_name").isin(list(self.parents)))
         return reduce(Column.__and__, tests)
 
+    def rows(self) -> list[tuple]:
+        """The rule as rows of RULE_COLUMNS; None stands for any value."""
+        parents = self.parents if self.parents is not None else (self.parent,)
+        names = self.names if self.names is not None else (None,)
+        return [(self.object_type, name, self.parent_type, parent) for name, parent in product(names, parents)]
+
 
 @dataclass
 class Selection:
@@ -51,6 +65,9 @@ class Selection:
         """Plain comparisons, which the scan can use; null where a name or parent is null."""
         return reduce(Column.__or__, [rule.condition() for rule in self.rules], F.lit(False))
 
+    def rows(self) -> list[tuple]:
+        return list(dict.fromkeys(row for rule in self.rules for row in rule.rows()))
+
 
 def _require(condition: bool, message: str) -> None:
     if not condition:
@@ -130,34 +147,106 @@ def _read_children(schema: str, kinds, chosen: Selection) -> None:
         )
 
 
+def mask_of(row: tuple) -> int:
+    """Which columns a rule compares, as bits."""
+    return sum(1 << i for i, value in enumerate(row) if value is not None)
+
+
+def rule_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """Rules as a local table; columns travel in one piece, so its plan is one node at any number."""
+    columns = zip(*rows, strict=True) if rows else ((),) * len(RULE_COLUMNS)
+    return spark.createDataFrame(pa.table({n: pa.array(c, pa.string()) for n, c in zip(RULE_COLUMNS, columns, strict=True)}))
+
+
+def _masks_in(rules: DataFrame) -> list[int]:
+    """The masks that occur, 16 at most."""
+    bits = sum(F.when(F.col(n).isNotNull(), 1 << i).otherwise(0) for i, n in enumerate(RULE_COLUMNS))
+    return sorted(row[0] for row in rules.select(bits.alias("mask")).distinct().collect())
+
+
+def marked_by_rules(inventory: DataFrame, rules: DataFrame, masks: list[int] | None = None) -> DataFrame:
+    """Inventory rows with ``_chosen``: whether any rule fits.
+
+    Rules that compare the same columns are one hash join on those columns, so there are as many joins
+    as there are masks (seven from a specification), whatever the number of rules. A rule
+    without any value selects all rows. Adaptive execution broadcasts rules where they are few and splits
+    hot names where they are not.
+    """
+    masks = _masks_in(rules) if masks is None else masks
+    columns, marks, marked = inventory.columns, [], inventory
+    for mask in masks:
+        keys = [n for i, n in enumerate(RULE_COLUMNS) if mask >> i & 1]
+        if not keys:
+            marks.append(F.lit(True))
+            continue
+        fits = reduce(
+            Column.__and__,
+            [F.col(n).isNotNull() if n in keys else F.col(n).isNull() for n in RULE_COLUMNS],
+        )
+        listed = rules.filter(fits).select(*keys).distinct().withColumn(f"_mark_{mask}", F.lit(True))
+        marked = marked.join(listed, keys, "left")
+        marks.append(F.coalesce(F.col(f"_mark_{mask}"), F.lit(False)))
+    return marked.select(*columns, reduce(Column.__or__, marks, F.lit(False)).alias("_chosen"))
+
+
+def select_by_rules(inventory: DataFrame, rules: DataFrame) -> DataFrame:
+    """Rows that any row of ``rules`` (RULE_COLUMNS, null for any value) selects."""
+    return marked_by_rules(inventory, rules).filter("_chosen").drop("_chosen")
+
+
+def _scan_condition(rows: list[tuple]) -> Column:
+    """Kinds of objects and parents that rules compare: few values, which the scan can use."""
+    kinds = sorted({(row[0], row[2]) for row in rows}, key=str)
+    tests = []
+    for object_type, parent_type in kinds:
+        test = F.lit(True)
+        if object_type is not None:
+            test &= F.col("object_type") == object_type
+        if parent_type is not None:
+            test &= F.col("object_parent_type") == parent_type
+        tests.append(test)
+    return reduce(Column.__or__, tests, F.lit(False))
+
+
+def _below_catalogs(inventory: DataFrame, catalogs: list[str]) -> DataFrame:
+    """Schemas of the catalogs, as names of parents."""
+    schemas = inventory.filter(F.col("object_type") == model.SCHEMA)
+    if len(catalogs) > FILTER_VALUES:
+        named = rule_table(inventory.sparkSession, [(None, None, None, c) for c in dict.fromkeys(catalogs)])
+        schemas = schemas.join(named.select("object_parent_name"), "object_parent_name", "left_semi")
+    else:
+        schemas = schemas.filter(F.col("object_parent_name").isin(catalogs))
+    return schemas.select(F.col("object_name").alias("object_parent_name"), F.lit(True).alias("_below")).distinct()
+
+
 def _flagged(inventory: DataFrame, spec: dict, extra: Column) -> DataFrame:
     """Rows that the specification selects or that satisfy ``extra``, with ``_chosen``.
 
-    Children of whole catalogs are found through the schemas of those catalogs, one row per
-    schema; rows that can be neither are filtered in the scan. One schema may hold most rows.
+    A short specification is a filter on the scan. A long one is a table of rules that is joined,
+    and only the kinds it names are left to the scan. Children of whole catalogs are found through
+    the schemas of those catalogs, one row per schema. One schema may hold most rows.
     """
     chosen = read_spec(spec)
     no = F.lit(False)
-    by_rule = chosen.condition()
-    if not chosen.whole_catalogs:
-        return inventory.filter(by_rule | extra).withColumn("_chosen", F.coalesce(by_rule, no))
-    schemas = (
-        inventory.filter(
-            (F.col("object_type") == model.SCHEMA)
-            & F.col("object_parent_name").isin(chosen.whole_catalogs)
-        )
-        .select(F.col("object_name").alias("object_parent_name"), F.lit(True).alias("_below"))
-        .distinct()
-    )
+    rows = chosen.rows()
     in_schema = F.col("object_parent_type") == model.SCHEMA
-    below = F.col("_below") & in_schema
-    candidates = inventory.filter(by_rule | in_schema | extra)
-    return (
-        candidates.join(schemas, "object_parent_name", "left")
-        .withColumn("_chosen", F.coalesce(by_rule, no) | F.coalesce(below, no))
-        .filter(F.col("_chosen") | extra)
-        .select(*inventory.columns, "_chosen")
-    )
+    below_any = in_schema if chosen.whole_catalogs else no
+    if len(rows) > FILTER_VALUES:
+        rules = rule_table(inventory.sparkSession, rows)
+        candidates = inventory.filter(_scan_condition(rows) | below_any | extra)
+        flagged = marked_by_rules(candidates, rules, sorted(set(map(mask_of, rows))))
+    else:
+        by_rule = chosen.condition()
+        candidates = inventory.filter(by_rule | below_any | extra)
+        flagged = candidates.withColumn("_chosen", F.coalesce(by_rule, no))
+    if chosen.whole_catalogs:
+        below = F.coalesce(F.col("_below") & in_schema, no)
+        flagged = flagged.join(
+            _below_catalogs(inventory, chosen.whole_catalogs), "object_parent_name", "left"
+        ).withColumn("_chosen", F.col("_chosen") | below)
+    elif len(rows) <= FILTER_VALUES:
+        return flagged
+    return flagged.filter(F.col("_chosen") | extra).select(*inventory.columns, "_chosen")
 
 
 def select_by_spec(inventory: DataFrame, spec: dict) -> DataFrame:

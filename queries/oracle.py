@@ -574,6 +574,15 @@ CONDITIONS = {
 for _query, _condition in CONDITIONS.items():
     ORACLE[_query] = with_inputs(f"SELECT {INVENTORY} FROM fx_inventory WHERE {_condition}")
 
+ORACLE["select_large_spec"] = with_inputs(
+    f"""SELECT {INVENTORY} FROM fx_inventory
+WHERE (object_type = 'CATALOG' AND object_name IN (SELECT table_catalog FROM named))
+   OR (object_type = 'SCHEMA' AND object_parent_type = 'CATALOG' AND (object_name, object_parent_name) IN (SELECT schema_name, table_catalog FROM named))
+   OR (object_parent_type = 'SCHEMA' AND (object_type, object_name, object_parent_name) IN (SELECT kind, table_name, schema_name FROM named))""",
+    named="""SELECT table_catalog, table_catalog || '.' || table_schema AS schema_name, table_catalog || '.' || table_schema || '.' || table_name AS table_name,
+       CASE WHEN table_type = 'VIEW' THEN 'VIEW' ELSE 'TABLE' END AS kind FROM fx_tables WHERE table_owner IS NOT NULL""",
+)
+
 CORE = (
     "('STORAGE CREDENTIAL', 'EXTERNAL LOCATION', 'CONNECTION', 'SHARE', 'RECIPIENT', 'CATALOG', 'SCHEMA', 'TABLE', 'VIEW', "
     "'FUNCTION', 'VOLUME', 'REGISTERED MODEL')"

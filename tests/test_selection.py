@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,3 +194,54 @@ def test_outcomes_cover_the_selection(spark, inventory):
     assert [row.error_message for row in rows if row.status == "Failed"] == ["boom", "again"]
     no_ids = inventory.withColumn("object_uid", F.lit(None).cast("long"))
     assert outcomes.record_outcomes(no_ids, failures).filter("status = 'Succeeded'").count() == len(ROWS)
+
+
+def listed_spec(tables, schemas=1):
+    """A specification that names tables of ``schemas`` schemas one by one."""
+    named = {f"c.x{i}": {"table": [f"c.x{i}.t{j}" for j in range(tables)], "view": "*"} for i in range(schemas - 1)}
+    return meta(
+        catalog={"c": {"schema": {"c.s": {"table": [f"c.s.u{i}" for i in range(tables)] + ["c.s.t"]}} | named}, "d": "*"},
+        share="*",
+        storage_credential=["k2"],
+    )
+
+
+def test_a_table_of_rules_selects_what_a_filter_does(inventory, monkeypatch):
+    for spec in (
+        listed_spec(3), in_catalog("*"), meta(catalog="*"), {"metastore": "*"}, meta(catalog={"c": "*", "d": "*"}),
+        in_catalog({"view": "*", "table": ["c.s.u"]}), meta(storage_credential=["k1"], catalog={"c": {}}),
+    ):
+        for select in (selection.select_by_spec, selection.with_dependents):
+            monkeypatch.setattr(selection, "FILTER_VALUES", 200)
+            wanted = sorted(select(inventory, spec).collect(), key=str)
+            monkeypatch.setattr(selection, "FILTER_VALUES", 0)
+            assert sorted(select(inventory, spec).collect(), key=str) == wanted
+
+
+def test_rules_with_any_mask(spark, inventory):
+    rules = spark.createDataFrame(
+        [("TABLE", None, None, "c.r"), (None, "sh", None, None), (None, "sh", None, None), (None, "c.s.v", "SCHEMA", "c.s")],
+        ", ".join(f"{n} string" for n in selection.RULE_COLUMNS),
+    )
+    assert picked(selection.select_by_rules(inventory, rules)) == {
+        ("c.r.t", "TABLE"), ("sh", "SHARE"), ("sh", "DELTA SHARING SHARE OBJECT"), ("c.s.v", "VIEW"),
+    }
+    assert selection.select_by_rules(inventory, rules.filter("false")).count() == 0
+    everything = spark.createDataFrame([(None,) * 4], rules.schema)
+    assert selection.select_by_rules(inventory, everything).count() == len(ROWS)
+
+
+def test_fifty_thousand_names(inventory):
+    def planned(spec):
+        started = time.perf_counter()
+        df = selection.with_dependents(inventory, spec)
+        text = df._jdf.queryExecution().executedPlan().toString()
+        return df, text, time.perf_counter() - started
+
+    planned(listed_spec(400, 3))
+    small, few, _ = planned(listed_spec(400, 3))
+    large, many, seconds = planned(listed_spec(200, 250))
+    assert seconds < 2
+    assert few.count("\n") == many.count("\n")
+    assert picked(large) >= {("c.s.t", "TABLE"), ("c.s", "SCHEMA"), ("d.s.t", "TABLE"), ("l2", "EXTERNAL LOCATION")}
+    assert ("c.s.u", "TABLE") not in picked(large)
