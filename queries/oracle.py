@@ -533,6 +533,17 @@ UNION ALL
 SELECT 'Pre' AS backup_source, * FROM (SELECT {DIFF} FROM fx_snapshots WHERE version = 3 EXCEPT SELECT {DIFF} FROM fx_snapshots WHERE version = 4) AS b"""
 )
 
+ORACLE["snapshot_diff_stored"] = ORACLE["snapshot_diff"]
+ORACLE["object_search_stored"] = with_inputs(
+    f"""SELECT CAST(version - 3 AS INTEGER) AS version,
+       CASE version WHEN 3 THEN TIMESTAMP '2000-07-01 00:00:00' ELSE {RUN_AT} END AS timestamp, {NAMED}
+FROM fx_snapshots WHERE lower(object_name) = 'obj.17' AND object_type = 'VOLUME'
+  AND version = (SELECT max(version) FROM fx_snapshots WHERE version IN (3, 4) AND lower(object_name) = 'obj.17' AND object_type = 'VOLUME')"""
+)
+ORACLE["versions_at_times"] = with_inputs(
+    """SELECT o_orderkey, o_orderdate, version FROM orders ASOF LEFT JOIN fx_history ON o_orderdate >= timestamp"""
+)
+
 # --- selection and restore ----------------------------------------------------------------------------
 
 ONE_SCHEMA = (

@@ -90,3 +90,59 @@ def test_statements_are_rendered_inside_the_engine(store, spark, sf_dir):
     plan.collect()
     text = tree(plan)
     assert "Python" not in text and "NestedLoop" not in text and "Cartesian" not in text
+
+
+def exchanged_bytes(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+
+    def sizes(plan):
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return sizes(plan.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return sizes(plan.plan())
+        own = [plan.metrics().apply("dataSize").value()] if kind == "ShuffleExchangeExec" else []
+        return own + [x for i in range(plan.children().size()) for x in sizes(plan.children().apply(i))]
+
+    return sum(sizes(df._jdf.queryExecution().executedPlan()))
+
+
+def test_a_report_shuffles_few_statements_of_other_objects(spark):
+    objects = spark.range(20_000).selectExpr(
+        "concat('n', id) AS object_name", "'TABLE' AS object_type", "'p' AS object_parent_name",
+        "'SCHEMA' AS object_parent_type", "CAST(NULL AS STRING) AS object_cross_relationship",
+        "xxhash64(id) AS object_uid", "repeat(sha2(string(id), 256), 10) AS restore_ddl",
+        "CAST(NULL AS STRING) AS api_payload", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS created_tsp",
+    )
+    log = objects.filter("pmod(object_uid, 100) = 0").selectExpr(
+        "2L AS jobid", "object_uid AS rowid", "'Failed' AS status", "'e' AS error_message", "created_tsp AS record_timestamp"
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = outcomes.detailed_report(log, objects)
+        moved = exchanged_bytes(report)
+        whole = exchanged_bytes(objects.repartition(4, "object_uid"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert report.count() == log.count() and report.filter("restore_ddl IS NULL").isEmpty()
+    assert moved < 0.03 * whole
+
+
+def test_a_filter_that_is_full_loses_nothing(spark):
+    ids = spark.range(5000).selectExpr("xxhash64(id) AS rowid")
+    assert ids.filter(outcomes.id_filter(ids, "rowid", bits=64)).count() == 5000
+    others = spark.range(5000, 9000).selectExpr("xxhash64(id) AS rowid")
+    assert others.filter(outcomes.id_filter(ids, "rowid", bits=1 << 20)).count() < 40
+    assert others.filter(outcomes.id_filter(ids.filter("false"), "rowid")).count() == 0
+
+
+def test_a_job_reads_its_own_part_of_the_log(spark, tmp_path):
+    path = str(tmp_path / "log")
+    made = spark.range(40).selectExpr("id AS object_uid", "CAST(NULL AS STRING) AS error_message", "'Succeeded' AS status")
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    for job, batch in ((1, "a"), (1, "b"), (2, "a"), (1, "a")):
+        outcomes.append_checkpoints(made, path, job, batch, at)
+    log = outcomes.read_checkpoints(spark, path)
+    assert {r.jobid: r["count"] for r in log.groupBy("jobid").count().collect()} == {1: 80, 2: 40}
+    assert "PartitionFilters: [isnotnull(jobid" in formatted(outcomes.of_job(log, 2))
