@@ -32,10 +32,16 @@ def catalog_of_event() -> Column:
 
 
 def latest_catalog_events(
-    audit: DataFrame, since: DataFrame | None = None, metastore: str | None = None
+    audit: DataFrame,
+    since: DataFrame | None = None,
+    metastore: str | None = None,
+    more_actions: Sequence[str] = (),
 ) -> DataFrame:
-    """Newest catalog event per catalog; equal times are settled by action."""
-    actions = [model.CREATE_CATALOG_ACTION, *model.CATALOG_ACTIONS_BY_NAME_ARG]
+    """Newest catalog event per catalog; equal times are settled by action.
+
+    ``more_actions`` are further actions on catalogs, which carry the name as ``catalog_name``.
+    """
+    actions = [model.CREATE_CATALOG_ACTION, *model.CATALOG_ACTIONS_BY_NAME_ARG, *more_actions]
     events = audit.filter(F.col("action_name").isin(actions))
     if since is not None:
         events = events.filter(F.col("event_time") > since.scalar())

@@ -345,7 +345,7 @@ OBJECTS = [
         None, model.METASTORE,
         statement=lambda: render.connection(
             F.col("connection_name"), F.col("connection_type"),
-            text.literal_options(F.col("connection_options")), F.col("comment"),
+            text.literal_options(F.col("connection_options")), F.col("comment"), F.col("connection_options"),
         ),
     ),
     ObjectSpec(

@@ -62,17 +62,20 @@ GROUP BY table_catalog, table_schema, table_name, l_returnflag
 """
 
 SQL["fx_columns"] = """
-SELECT o_custkey AS table_id, concat('c_', CAST(o_orderkey AS STRING)) AS name,
+SELECT o_custkey AS table_id,
+       concat('c_', CAST(o_orderkey AS STRING), CASE WHEN o_orderkey % 23 = 0 THEN concat(chr(39), 's') ELSE '' END) AS name,
        CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INT) AS position,
        CASE o_orderpriority WHEN '1-URGENT' THEN 'int' WHEN '2-HIGH' THEN 'string'
             WHEN '3-MEDIUM' THEN 'decimal(10,2)' WHEN '5-LOW' THEN 'array<string>' ELSE 'timestamp' END AS type_text,
        CASE WHEN o_orderkey % 11 = 0 THEN CAST(o_orderkey % 2 AS INT) END AS partition_index,
        CASE WHEN o_orderkey % 7 = 0 THEN 'a + 1' END AS generation_expr,
        CASE WHEN o_orderkey % 5 = 0 THEN CAST(1 AS BIGINT) END AS identity_start,
+       (o_orderkey % 10 = 0) AS explicit_insert,
        CASE WHEN o_orderkey % 3 = 0 THEN '0' END AS default_expr,
+       (o_orderkey % 2 = 0) AS mask_uses_columns,
        CASE WHEN o_orderkey % 17 = 0 THEN 'c.s.mask_fn' END AS mask_function,
        (o_orderstatus <> 'O') AS nullable,
-       CASE WHEN o_orderkey % 4 = 0 THEN 'note' END AS comment
+       CASE WHEN o_orderkey % 4 = 0 THEN concat('note', CASE WHEN o_orderkey % 8 = 0 THEN concat(' on LOCATION ', chr(39), 'x', chr(39), ' --') ELSE '' END) END AS comment
 FROM orders
 """
 
@@ -109,7 +112,13 @@ SELECT CASE p_size % 6 WHEN 0 THEN 'VOLUME' WHEN 1 THEN 'FUNCTION' WHEN 2 THEN '
        CASE WHEN p_partkey % 2 = 0 THEN 'EXTERNAL' ELSE 'MANAGED' END AS type,
        CASE WHEN p_partkey % 2 = 0 THEN concat('abfss://c@h/v/', CAST(p_partkey AS STRING)) END AS storage_location,
        CASE WHEN p_partkey % 3 = 0 THEN p_name END AS comment,
-       concat('{''host'': ''h', CAST(p_partkey AS STRING), ''', ''port'': ''1''}') AS options,
+       concat('{', chr(39), 'host', chr(39), ': ', chr(39), 'h', CAST(p_partkey AS STRING), chr(39),
+  CASE p_partkey % 5
+    WHEN 0 THEN concat(', ', chr(39), 'port', chr(39), ': ', chr(39), '1', chr(39), '}')
+    WHEN 1 THEN concat(', ', chr(39), 'port', chr(39), ': 1, ', chr(39), 'ssl', chr(39), ': True, ', chr(39), 'user', chr(39), ': None,}')
+    WHEN 2 THEN concat(', ', chr(34), 'note', chr(34), ': ', chr(39), 'it', chr(92), chr(39), 's, {x}', chr(39), '}')
+    WHEN 3 THEN concat(', ', chr(39), 'list', chr(39), ': [1, {', chr(39), 'a', chr(39), ': (2,)}]}')
+    ELSE concat(', ', chr(39), 'port', chr(39), ': }') END) AS options,
        CASE WHEN p_partkey % 4 = 0 THEN concat('id-', CAST(p_partkey AS STRING)) END AS sharing_id,
        CASE p_partkey % 4 WHEN 0 THEN 'TABLE' WHEN 1 THEN 'VIEW' WHEN 2 THEN 'SCHEMA' ELSE 'MATERIALIZED VIEW' END AS shared_type,
        (p_partkey % 5 = 0) AS history
@@ -136,7 +145,12 @@ FROM part CROSS JOIN (VALUES (0),(1),(2),(3),(4),(5),(6),(7),(8)) AS o(ord)
 SQL["fx_models"] = """
 SELECT concat('c.s.m_', CAST(l_partkey AS STRING)) AS full_name,
        CAST(row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_shipdate, l_tax, l_discount) AS STRING) AS version,
-       concat('run_', CAST(l_orderkey AS STRING)) AS run_id
+       concat('run_', CAST(l_orderkey AS STRING)) AS run_id,
+       CASE WHEN l_orderkey % 2 = 0 THEN concat('about ', CAST(l_orderkey AS STRING)) END AS description,
+       concat('s3://models/', CAST(l_orderkey AS STRING)) AS source,
+       CASE l_orderkey % 3 WHEN 0 THEN 'Production' WHEN 1 THEN 'Staging' END AS current_stage,
+       CASE l_orderkey % 5 WHEN 0 THEN 'champion' WHEN 1 THEN 'a,b' END AS alias_list,
+       CASE WHEN l_orderkey % 7 = 0 THEN concat('t', CAST(l_orderkey % 10 AS STRING)) END AS tag
 FROM lineitem
 """
 
@@ -161,7 +175,8 @@ SELECT table_id, 'c.s.filter_fn' AS name, CASE WHEN table_id % 14 = 0 THEN 'a,b'
 
 SQL["fx_view_text"] = """
 SELECT concat(table_catalog, '.', table_schema, '.', table_name) AS view_name,
-       concat(CASE table_id % 3 WHEN 0 THEN 'CREATE VIEW ' WHEN 1 THEN 'create or replace view ' ELSE 'CREATE VIEW IF NOT EXISTS ' END,
+       concat(CASE table_id % 4 WHEN 1 THEN concat('-- CREATE VIEW by hand', chr(10)) WHEN 2 THEN '/* made ' || chr(10) || 'here */ ' ELSE '' END,
+              CASE table_id % 3 WHEN 0 THEN 'CREATE VIEW ' WHEN 1 THEN 'create or replace view ' ELSE 'CREATE VIEW IF NOT EXISTS ' END,
               CASE table_id % 2 WHEN 0 THEN concat(table_schema, '.', table_name)
               ELSE concat('`', table_schema, '`.`', table_name, '`') END,
               CASE table_id % 5 WHEN 0 THEN ' AS SELECT x FROM t WHERE f(x) > 1'

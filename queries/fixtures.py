@@ -23,6 +23,14 @@ TABLE_TYPE = (
     "CASE c_mktsegment WHEN 'BUILDING' THEN 'VIEW' WHEN 'MACHINERY' THEN 'EXTERNAL' "
     "WHEN 'FURNITURE' THEN 'FOREIGN' ELSE 'MANAGED' END"
 )
+#: Options that take every way through the reader: plain, other values, escapes, nested, broken.
+CONNECTION_OPTIONS = """concat('{', chr(39), 'host', chr(39), ': ', chr(39), 'h', p_partkey, chr(39),
+  CASE p_partkey % 5
+    WHEN 0 THEN concat(', ', chr(39), 'port', chr(39), ': ', chr(39), '1', chr(39), '}')
+    WHEN 1 THEN concat(', ', chr(39), 'port', chr(39), ': 1, ', chr(39), 'ssl', chr(39), ': True, ', chr(39), 'user', chr(39), ': None,}')
+    WHEN 2 THEN concat(', ', chr(34), 'note', chr(34), ': ', chr(39), 'it', chr(92), chr(39), 's, {x}', chr(39), '}')
+    WHEN 3 THEN concat(', ', chr(39), 'list', chr(39), ': [1, {', chr(39), 'a', chr(39), ': (2,)}]}')
+    ELSE concat(', ', chr(39), 'port', chr(39), ': }') END)"""
 CATALOG_NAME = "lower(replace(r_name, ' ', '_'))"
 
 
@@ -156,7 +164,8 @@ class Fixtures:
     def fx_view_text(self) -> DataFrame:
         return self.table_names.filter("table_type = 'VIEW'").selectExpr(
             "concat(table_catalog, '.', table_schema, '.', table_name) AS view_name",
-            "concat(CASE table_id % 3 WHEN 0 THEN 'CREATE VIEW ' WHEN 1 THEN "
+            "concat(CASE table_id % 4 WHEN 1 THEN '-- CREATE VIEW by hand\\n' WHEN 2 THEN '/* made \\nhere */ ' "
+            "ELSE '' END, CASE table_id % 3 WHEN 0 THEN 'CREATE VIEW ' WHEN 1 THEN "
             "'create or replace view ' ELSE 'CREATE VIEW IF NOT EXISTS ' END, "
             "CASE table_id % 2 WHEN 0 THEN concat(table_schema, '.', table_name) "
             "ELSE concat('`', table_schema, '`.`', table_name, '`') END, "
@@ -237,7 +246,7 @@ class Fixtures:
         placed = position_in_group(orders, ["o_custkey"], "o_orderkey")
         return placed.selectExpr(
             "o_custkey AS table_id",
-            "concat('c_', o_orderkey) AS name",
+            "concat('c_', o_orderkey, CASE WHEN o_orderkey % 23 = 0 THEN concat(chr(39), 's') ELSE '' END) AS name",
             "CAST(position - 1 AS INT) AS position",
             "CASE o_orderpriority WHEN '1-URGENT' THEN 'int' WHEN '2-HIGH' THEN 'string' "
             "WHEN '3-MEDIUM' THEN 'decimal(10,2)' WHEN '5-LOW' THEN 'array<string>' "
@@ -245,10 +254,13 @@ class Fixtures:
             "CASE WHEN o_orderkey % 11 = 0 THEN CAST(o_orderkey % 2 AS INT) END AS partition_index",
             "CASE WHEN o_orderkey % 7 = 0 THEN 'a + 1' END AS generation_expr",
             "CASE WHEN o_orderkey % 5 = 0 THEN 1L END AS identity_start",
+            "o_orderkey % 10 = 0 AS explicit_insert",
             "CASE WHEN o_orderkey % 3 = 0 THEN '0' END AS default_expr",
+            "o_orderkey % 2 = 0 AS mask_uses_columns",
             "CASE WHEN o_orderkey % 17 = 0 THEN 'c.s.mask_fn' END AS mask_function",
             "o_orderstatus <> 'O' AS nullable",
-            "CASE WHEN o_orderkey % 4 = 0 THEN 'note' END AS comment",
+            "CASE WHEN o_orderkey % 4 = 0 THEN concat('note', CASE WHEN o_orderkey % 8 = 0 THEN "
+            "concat(' on LOCATION ', chr(39), 'x', chr(39), ' --') ELSE '' END) END AS comment",
         )
 
     @cached_property
@@ -413,7 +425,7 @@ class Fixtures:
             "CASE WHEN p_partkey % 2 = 0 THEN concat('abfss://c@h/v/', p_partkey) END"
             " AS storage_location",
             "CASE WHEN p_partkey % 3 = 0 THEN p_name END AS comment",
-            "concat('{\\'host\\': \\'h', p_partkey, '\\', \\'port\\': \\'1\\'}') AS options",
+            f"{CONNECTION_OPTIONS} AS options",
             "CASE WHEN p_partkey % 4 = 0 THEN concat('id-', p_partkey) END AS sharing_id",
             "CASE p_partkey % 4 WHEN 0 THEN 'TABLE' WHEN 1 THEN 'VIEW' WHEN 2 THEN 'SCHEMA' "
             "ELSE 'MATERIALIZED VIEW' END AS shared_type",
@@ -523,6 +535,11 @@ class Fixtures:
             "concat('c.s.m_', l_partkey) AS full_name",
             "CAST(position AS STRING) AS version",
             "concat('run_', l_orderkey) AS run_id",
+            "CASE WHEN l_orderkey % 2 = 0 THEN concat('about ', l_orderkey) END AS description",
+            "concat('s3://models/', l_orderkey) AS source",
+            "CASE l_orderkey % 3 WHEN 0 THEN 'Production' WHEN 1 THEN 'Staging' END AS current_stage",
+            "CASE l_orderkey % 5 WHEN 0 THEN 'champion' WHEN 1 THEN 'a,b' END AS alias_list",
+            "CASE WHEN l_orderkey % 7 = 0 THEN concat('t', l_orderkey % 10) END AS tag",
         )
 
     @cached_property

@@ -48,6 +48,22 @@ def clause(condition: str, text: str) -> str:
     return f"CASE WHEN {condition} THEN {NL} || {text} ELSE '' END"
 
 
+
+
+def connection_ddl(name: str) -> str:
+    """One statement for each of the five kinds of option text; null for the one that cannot be read."""
+    n = f"CAST(substr({name}, 3) AS BIGINT) % 5"
+    line = f" || ',' || {NL} || {TAB} || "
+    more = (
+        f"CASE {n} WHEN 0 THEN 'port ''1''' WHEN 1 THEN 'port ''1'''{line}'ssl ''True'''{line}'user ''None'''"
+        " WHEN 2 THEN 'note ''it''''s, {x}''' WHEN 3 THEN 'list ''[1, {''''a'''': (2,)}]''' END"
+    )
+    return (
+        f"'CREATE OR REPLACE CONNECTION `' || {name} || '`' || {NL} || 'TYPE MYSQL' || {NL} || 'OPTIONS (' || {NL}"
+        f" || {TAB} || 'host ''h' || substr({name}, 3) || '''' {line} {more} || {NL} || ')' || {COMMENT}"
+    )
+
+
 COMMENT = clause("comment IS NOT NULL", f"'COMMENT ' || {literal('comment')}")
 
 IDENTITY = (
@@ -143,7 +159,16 @@ FUNCTION_DDL = f"""'CREATE OR REPLACE FUNCTION `c`.`s`.`f_' || p_partkey || '`(a
        || CASE WHEN p_partkey % 2 = 0 THEN 'RETURNS TABLE (x INT, y STRING)' ELSE 'RETURNS x INT' END || {NL}
        || 'LANGUAGE sql' || {NL} || 'RETURN a + ' || p_size"""
 
-MODEL_PAYLOADS = """(SELECT full_name AS n, string_agg('{"name":"' || full_name || '","run_id":"' || run_id || '","version":"' || version || '"}', ',' ORDER BY CAST(version AS BIGINT)) AS versions FROM fx_models GROUP BY full_name)"""
+_VERSION_JSON = """'{"name":"' || full_name || '"'
+    || CASE WHEN alias_list IS NOT NULL THEN ',"aliases":["' || replace(alias_list, ',', '","') || '"]' ELSE '' END
+    || CASE WHEN description IS NOT NULL THEN ',"description":"' || description || '"' ELSE '' END
+    || CASE WHEN tag IS NOT NULL THEN ',"tags":{"k":"' || tag || '"}' ELSE '' END
+    || CASE WHEN current_stage IS NOT NULL THEN ',"current_stage":"' || current_stage || '"' ELSE '' END
+    || ',"source":"' || source || '","run_id":"' || run_id || '","version":"' || version || '"}'"""
+MODEL_PAYLOADS = (
+    f"(SELECT full_name AS n, string_agg({_VERSION_JSON}, ',' ORDER BY CAST(version AS BIGINT)) AS versions"
+    " FROM fx_models GROUP BY full_name)"
+)
 
 # Object rows by declaration: the step own_<key>.
 OWN: dict[str, str] = {
@@ -224,8 +249,7 @@ OWN: dict[str, str] = {
     ),
     "connections": objects(
         "fx_connections", "connection_name", "CONNECTION", "'ms'", "METASTORE", "connection_owner",
-        ddl=f"'CREATE OR REPLACE CONNECTION `' || connection_name || '`' || {NL} || 'TYPE MYSQL' || {NL} || 'OPTIONS (' || {NL}"
-        f" || {TAB} || 'host ''h' || substr(connection_name, 3) || ''',' || {NL} || {TAB} || 'port ''1''' || {NL} || ')' || {COMMENT}",
+        ddl=connection_ddl("connection_name"),
     ),
     "registered_models": objects(
         f"fx_model_list LEFT JOIN {MODEL_PAYLOADS} AS v ON v.n = full_name", "full_name", "REGISTERED MODEL",
@@ -337,11 +361,12 @@ GROUP BY host"""
 COLUMN_TEXT = """SELECT table_id, position, partition_index, '`' || name || '`' AS ticked_name,
        '`' || name || '` ' || type_text
        || CASE WHEN generation_expr IS NOT NULL THEN ' GENERATED ALWAYS AS (' || generation_expr || ')'
-               WHEN identity_start IS NOT NULL THEN ' GENERATED ALWAYS AS IDENTITY (START WITH ' || identity_start || ' INCREMENT BY 1)'
+               WHEN identity_start IS NOT NULL THEN ' GENERATED ' || CASE WHEN explicit_insert THEN 'BY DEFAULT' ELSE 'ALWAYS' END || ' AS IDENTITY (START WITH ' || identity_start || ' INCREMENT BY 1)'
                WHEN default_expr IS NOT NULL THEN ' DEFAULT ' || default_expr
                WHEN mask_function IS NOT NULL THEN ' MASK ' || """ + quoted("mask_function") + """
+                    || CASE WHEN mask_uses_columns THEN ' USING COLUMNS (`a`, `b`)' ELSE '' END
                WHEN NOT nullable THEN ' NOT NULL' ELSE '' END
-       || CASE WHEN comment IS NOT NULL THEN ' COMMENT ''' || comment || '''' ELSE '' END AS column_text
+       || CASE WHEN comment IS NOT NULL THEN ' COMMENT ''' || replace(comment, '''', '''''') || '''' ELSE '' END AS column_text
 FROM fx_columns"""
 COLUMN_LISTS = f"""SELECT table_id, string_agg(column_text, ',' || {NL} ORDER BY position) AS columns_ddl,
        string_agg(ticked_name, ', ' ORDER BY partition_index, position) FILTER (WHERE partition_index IS NOT NULL) AS partition_columns
@@ -409,8 +434,7 @@ KIND_DDL = (
     + clause("type = 'EXTERNAL'", "'LOCATION ''' || storage_location || ''''") + f" || {COMMENT}"
     f" WHEN 'FUNCTION' THEN 'CREATE OR REPLACE FUNCTION `c`.`s`.`' || name || '`(a INT, b INT)' || {NL} || 'RETURNS INT' || {NL}"
     f" || 'LANGUAGE python' || {COMMENT} || {NL} || 'AS $$ ' || name || ' $$'"
-    f" WHEN 'CONNECTION' THEN 'CREATE OR REPLACE CONNECTION `' || name || '`' || {NL} || 'TYPE MYSQL' || {NL} || 'OPTIONS (' || {NL}"
-    f" || {TAB} || 'host ''h' || substr(name, 3) || ''',' || {NL} || {TAB} || 'port ''1''' || {NL} || ')' || {COMMENT}"
+    f" WHEN 'CONNECTION' THEN {connection_ddl('name')}"
     " WHEN 'RECIPIENT' THEN 'CREATE RECIPIENT `' || name || '`' || "
     + clause("sharing_id IS NOT NULL", "'USING ID ''' || sharing_id || ''''") + f" || {COMMENT}"
     f" WHEN 'SHARE' THEN 'CREATE SHARE `' || name || '`' || {COMMENT} ELSE "
@@ -434,7 +458,8 @@ ORACLE["function_statements"] = with_inputs(
     f"SELECT 'c.s.f_' || p_partkey AS function_name, {FUNCTION_DDL} AS restore_ddl FROM part"
 )
 ORACLE["model_versions_plan"] = with_inputs(
-    """SELECT full_name AS object_name, CAST(version AS BIGINT) AS version_number, run_id
+    """SELECT full_name AS object_name, CAST(version AS BIGINT) AS version_number, source, run_id, description, alias_list AS aliases,
+       tag AS tags, current_stage
 FROM fx_models WHERE full_name IN (SELECT full_name FROM fx_model_list)"""
 )
 
@@ -774,6 +799,12 @@ EVENTS = """SELECT coalesce(param_name, param_name_arg) AS catalog_name, action_
 NEWEST_EVENT = """SELECT catalog_name, action_name, event_time FROM (
     SELECT *, row_number() OVER (PARTITION BY catalog_name ORDER BY event_time DESC, action_name) AS place FROM named_events) AS ranked
 WHERE place = 1"""
+ORACLE["audit_latest_state_more"] = with_inputs(
+    "SELECT catalog_name, action_name, event_time FROM newest_events",
+    named_events="""SELECT CASE action_name WHEN 'updateCatalog' THEN 'moved_' || param_name_arg ELSE coalesce(param_name, param_name_arg) END AS catalog_name,
+       CASE action_name WHEN 'updateCatalog' THEN 'moveCatalog' ELSE action_name END AS action_name, event_time FROM fx_audit""",
+    newest_events=NEWEST_EVENT,
+)
 UNBOUND = """SELECT catalog_name FROM newest_events WHERE action_name <> 'deleteCatalog'
   AND catalog_name NOT IN ('system', 'default', 'hive_metastore', 'spark_catalog')
 EXCEPT SELECT catalog_name FROM fx_visible_catalogs"""
