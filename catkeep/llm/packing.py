@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import cache
 from typing import NamedTuple
@@ -31,11 +32,14 @@ from catkeep.llm.common import arrow_rows, text_or_empty, written
 WINDOW, OPEN_WINDOWS, SLACK, CLOSING_ID = 2048, 16, 16, 1
 #: Partitions whose open windows are merged together; one window of such a group may stay short.
 MERGED_PARTITIONS = 32
-#: Words a worker remembers with their ids; the memory is started anew beyond that.
-REMEMBERED = 300_000
+#: Words of a generation that a worker remembers with their ids.
+REMEMBERED = 250_000
 DOCS_AT_ONCE, WORDS_AT_ONCE, ROWS_AT_ONCE = 500, 200, 4000
-#: Punctuation that is a token by itself behind a word of letters.
-MARKS = (",", ".", ";", ":", "!", "?")
+#: Letters that neither compose with others nor gain a mark in lower case.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+#: Pieces of a text that the tokenizer never joins: it splits at blanks, and letters from what is none.
+#: The cut behind letters is in front of ASCII only, as letters beyond may go on or compose.
+SEGMENTS = re.compile(rf"[^ \n{LETTERS}]*+[{LETTERS}]++(?=[\x00-\x7f]|\Z)|[^ \n]+")
 WIDTH = 4
 
 PIECES = (
@@ -121,10 +125,9 @@ def tokenizer(path: str):
 
 
 @cache
-def literals(path: str) -> re.Pattern:
-    """What the tokenizer takes as one token wherever it stands in a text, in any case."""
-    added = [re.escape(t.content) for t in tokenizer(path).get_added_tokens_decoder().values()]
-    return re.compile("|".join(added) or r"(?!)", re.IGNORECASE)
+def literals(path: str) -> list[str]:
+    """What the tokenizer takes as one token wherever it stands in a text."""
+    return [t.content for t in tokenizer(path).get_added_tokens_decoder().values()]
 
 
 @cache
@@ -136,6 +139,11 @@ def word_ends(path: str) -> np.ndarray:
     return ends
 
 
+def only_letters(word: str) -> bool:
+    """Whether a word consists of letters, also as the tokenizer composes and lower-cases it."""
+    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+
+
 def encoded_words(path: str, words: list[str]) -> Iterator[tuple[str, bytes]]:
     """Every word with its ids.
 
@@ -143,59 +151,57 @@ def encoded_words(path: str, words: list[str]) -> Iterator[tuple[str, bytes]]:
     word; all others, and lines in which that does not come out even, go one by one.
     """
     encode = tokenizer(path).encode_batch_fast
-    letters = [w for w in words if w.isalpha()]
-    single = [w for w in words if not w.isalpha()]
+    letters, single = [], []
+    for word in words:
+        (letters if only_letters(word) else single).append(word)
     lines = [letters[a : a + WORDS_AT_ONCE] for a in range(0, len(letters), WORDS_AT_ONCE)]
     for line, found in zip(lines, encode([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
         ids = np.asarray(found.ids, "<u4")
-        ends = (np.flatnonzero(word_ends(path)[ids]) + 1) * WIDTH
+        ends = ((np.flatnonzero(word_ends(path)[ids]) + 1) * WIDTH).tolist()
         if len(ends) != len(line):
             single += line
             continue
-        blob, at = ids.tobytes(), 0
-        for word, end in zip(line, ends.tolist(), strict=True):
-            yield word, blob[at:end]
-            at = end
+        blob = ids.tobytes()
+        yield from zip(line, map(blob.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True)
     for word, found in zip(single, encode(single, add_special_tokens=False), strict=True):
         yield word, np.asarray(found.ids, "<u4").tobytes()
 
 
-def plain_form(word: str, literal: re.Pattern) -> tuple[str, str]:
-    """The form under which a word is tokenized, and punctuation behind it that is a token by itself.
-
-    The tokenizer splits letters from other characters and lower-cases; only ASCII is folded here, and
-    no word that would then hold one of the tokenizer's literals, which it knows in their own case only.
-    """
-    if literal.search(word):
-        return word, ""
-    mark = ""
-    if word[-1:] in MARKS and word[:-1].isalpha():
-        word, mark = word[:-1], word[-1]
-    return (word.lower() if word.isascii() else word), mark
-
-
 class WordIds(dict):
-    """Ids of white-space separated words as bytes.
+    """Ids of words as bytes, in two generations: what is asked for again stays.
 
-    The tokenizer never joins text across blanks, so a text has the ids of its words one after another,
-    and each word is tokenized once.
+    The tokenizer never joins text across the borders of words, so a text has the ids of its words one
+    after another. It lower-cases, so words in ASCII that differ in case are tokenized once. A text with
+    the literal of a special token is tokenized whole.
     """
 
     def __init__(self, path: str) -> None:
-        self.path, self.plain = path, {}
+        self.path, self.older = path, {}
+        self.literals = literals(path)
 
     def of(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        plain = [not any(x in t for x in self.literals) for t in texts]
+        split = [SEGMENTS.findall(t) if p else () for t, p in zip(texts, plain, strict=True)]
         if len(self) > REMEMBERED:
+            self.older = dict(self)
             self.clear()
-            self.plain.clear()
-        literal = literals(self.path)
-        forms = {w: plain_form(w, literal) for w in {w for words in split for w in words}.difference(self)}
-        new = sorted({x for form in forms.values() for x in form}.difference(self.plain))
-        self.plain.update(encoded_words(self.path, new))
-        for word, (base, mark) in forms.items():
-            self[word] = self.plain[base] + self.plain[mark]
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        self._learn(set().union(*split).difference(self))
+        found = [b"".join(map(self.__getitem__, words)) for words in split]
+        for i in [i for i, p in enumerate(plain) if not p]:
+            ids = tokenizer(self.path).encode(texts[i], add_special_tokens=False).ids
+            found[i] = np.asarray(ids, "<u4").tobytes()
+        return found
+
+    def _learn(self, words: set[str]) -> None:
+        older = self.older
+        self.update((w, older[w]) for w in words.intersection(older))
+        forms = {w: w.lower() if w.isascii() else w for w in words.difference(older)}
+        # No literal may come about by lower-casing.
+        forms = {w: w if any(x in form for x in self.literals) else form for w, form in forms.items()}
+        new = set(forms.values()).difference(self)
+        self.update((w, older[w]) for w in new.intersection(older))
+        self.update(encoded_words(self.path, sorted(new.difference(older))))
+        self.update((w, self[form]) for w, form in forms.items())
 
 
 def _rows(windows: Iterable[tuple[int, list[Piece]]]) -> Iterator[tuple]:

@@ -40,3 +40,11 @@ def no_documents(spark):
 
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def characters():
+    """Code points: all outside the large uniform blocks, and of those (ideographs, private use, unassigned
+    planes) every 61st."""
+    dense = [*range(0x3400), *range(0xA000, 0xAC00), *range(0xD7A0, 0xD800), *range(0xF900, 0x20000), *range(0xE0000, 0xE0200)]
+    sparse = [c for c in range(0, 0x110000, 61) if not 0xD800 <= c < 0xE000]
+    return sorted({*dense, *sparse})

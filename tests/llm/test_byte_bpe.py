@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from catkeep.llm import byte_bpe
-from tests.llm.helpers import documents, no_documents, odd_documents, table
+from tests.llm.helpers import characters, documents, no_documents, odd_documents, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -49,7 +49,18 @@ def test_each_word_goes_once_per_block(spark):
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=60))
 def test_split_agrees_with_the_library(text):
-    pieces = byte_bpe.splitter(PATTERN).findall(text)
+    pieces = byte_bpe.splitter(PATTERN)(text)
     assert "".join(pieces) == text
     ids = [i for p in pieces for i in WHOLE._core_bpe.encode_single_piece(p.encode())]
     assert ids == WHOLE.encode_ordinary(text)
+
+
+def test_every_character_is_split_as_by_the_library():
+    find = byte_bpe.splitter(PATTERN)
+    one = WHOLE._core_bpe.encode_single_piece
+    codes = characters()
+    for first in range(0, len(codes), 2048):
+        text = "".join(f"{chr(c)}'s a{chr(c)}1{chr(c)} {chr(c)}.{chr(c)}\n{chr(c)} {chr(c)}" for c in codes[first : first + 2048])
+        pieces = find(text)
+        assert "".join(pieces) == text
+        assert [i for p in pieces for i in one(p.encode())] == WHOLE.encode_ordinary(text), hex(codes[first])

@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 from catkeep.llm import packing
 from catkeep.llm.queries import op4_packing
-from tests.llm.helpers import documents, no_documents, odd_documents, table
+from tests.llm.helpers import characters, documents, no_documents, odd_documents, table
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 PLAIN = Tokenizer.from_file(PATH)
@@ -94,3 +94,24 @@ def test_packer_keeps_every_token_and_its_bounds(sizes, most_open, slack):
     windows += packer.poured()
     assert all(sum(p.length for p in w) <= 32 for w in windows)
     assert sum(p.length for w in windows for p in w) == sum(sizes)
+
+
+def test_every_character_has_the_librarys_ids():
+    """At the end of a word and in front of punctuation, between letters, and alone."""
+    words = packing.WordIds(PATH)
+    plain = Tokenizer.from_file(PATH)
+    codes = characters()
+    for first in range(0, len(codes), 8192):
+        texts = [f"AB{chr(c)}. x{chr(c)}y, {chr(c)}! ({chr(c)}e\n{chr(c)}'s Q{chr(c)}" for c in codes[first : first + 8192]]
+        wanted = plain.encode_batch(texts, add_special_tokens=False)
+        for text, ids, want in zip(texts, words.of(texts), wanted, strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == want.ids, ascii(text)
+
+
+def test_a_memory_that_runs_full(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    words, plain = packing.WordIds(PATH), Tokenizer.from_file(PATH)
+    for _ in range(3):
+        for text in ("The the THE cat, a (cat)", "other words don't come", "cat <|ENDOFTEXT|> <|endoftext|>x the"):
+            [ids] = words.of([text])
+            assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
