@@ -16,6 +16,7 @@ the table lacks, or null ids, is an error in decoding. Other input columns are n
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import cache
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catkeep.llm.common import arrow_rows, text_or_empty, written
+from catkeep.llm.common import arrow_rows, scratch, text_or_empty
 
 #: Characters of text in a block.
 BLOCK_CHARS = 12_000_000
@@ -43,17 +44,62 @@ BLOCK_TYPE = (
 )
 PIECE_TYPE = "block long, first int, counts binary, ids binary"
 
-#: White space as the rank files' own library counts it.
-SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: What a pattern tells characters apart by, and a character of each such class that libraries agree on.
+CLASSES = {r"\p{L}": "\u3042", r"\p{N}": "\u0660", r"\s": "\u3000"}
+OTHER = "\u2020"
+
+
+def as_the_library(kind: str) -> set[str]:
+    """Characters of a class in the tables of the rank files' own library, which splits by its own pattern."""
+    import tiktoken
+
+    one_byte = {bytes([i]): i for i in range(256)}
+    finder = tiktoken.Encoding("class", pat_str=kind, mergeable_ranks=one_byte, special_tokens={})
+    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+    return set(bytes(finder.encode_ordinary(every)).decode("utf-8"))
 
 
 @cache
-def splitter(pattern: str):
-    """The split pattern with white space spelt out, since libraries differ on it."""
+def stand_ins() -> dict[str, str]:
+    """Characters that the two libraries class differently, each with one that both class as the rank
+    files' library does."""
     import regex
 
-    spelt = pattern.replace("[^\\s", f"[^{SPACE}").replace("\\S", f"[^{SPACE}]").replace("\\s", f"[{SPACE}]")
-    return regex.compile(spelt)
+    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+    made: dict[str, str] = {}
+    for kind, like in CLASSES.items():
+        here, there = set(regex.findall(kind, every)), as_the_library(kind)
+        made.update(dict.fromkeys(there - here, like))
+        for char in here - there:
+            made.setdefault(char, OTHER)
+    return made
+
+
+class Splitter:
+    """Pieces of a text by a pattern, as the rank files' library cuts it."""
+
+    def __init__(self, pattern: str) -> None:
+        import regex
+
+        self.findall = regex.compile(pattern).findall
+        self.table = str.maketrans(stand_ins())
+        odd = "".join(f"\\U{ord(c):08x}" for c in stand_ins())
+        self.odd = re.compile(f"[{odd}]" if odd else r"(?!)").search
+
+    def __call__(self, text: str) -> list[str]:
+        if not self.odd(text):
+            return self.findall(text)
+        pieces, at = [], 0
+        for piece in self.findall(text.translate(self.table)):
+            pieces.append(text[at : at + len(piece)])
+            at += len(piece)
+        return pieces
+
+
+@cache
+def splitter(pattern: str) -> Splitter:
+    """The pattern must cover every character, as the library's patterns do."""
+    return Splitter(pattern)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -99,7 +145,7 @@ def unpacked(blob: bytes) -> np.ndarray:
 
 def _block_row(block: int, documents: list[tuple], pattern: str, buckets: int) -> dict:
     """Words are numbered by falling frequency, which packs best; a bucket holds its words in that order."""
-    words, find = _Words(), splitter(pattern).findall
+    words, find = _Words(), splitter(pattern)
     number, codes, counts = words.__getitem__, [], []
     for _, text in documents:
         codes.append(np.fromiter(map(number, found := find(text)), np.uint32, len(found)))
@@ -234,6 +280,22 @@ def _assemble(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = until
 
 
+def stored_by_block(blocks: DataFrame, buckets: int) -> DataFrame:
+    """Blocks as a table in the shared folder, bucketed by block.
+
+    Ids that come back are dealt like the table, so the positions in it, the bulk of the data, are read
+    where they lie and not shuffled. The table is known to the session's catalog by a name of its own.
+    """
+    spark = blocks.sparkSession
+    path = scratch(spark, "bpe-blocks")
+    name = f"bpe_blocks_{path[-32:]}"
+    (
+        blocks.write.format("parquet").option("compression", "zstd").option("path", path)
+        .bucketBy(buckets, "block").sortBy("block").saveAsTable(name)
+    )
+    return spark.table(name)
+
+
 def encode(
     documents: DataFrame, ranks_path: str, pattern: str, block_chars: int = BLOCK_CHARS, buckets: int | None = None
 ) -> DataFrame:
@@ -244,7 +306,7 @@ def encode(
     spark = documents.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    blocks = written(blocks_of(rows, pattern, buckets, block_chars), "bpe-blocks")
+    blocks = stored_by_block(blocks_of(rows, pattern, buckets, block_chars), buckets)
     parts = blocks.select("block", F.explode("parts").alias("part")).select(
         "block", "part.bucket", "part.first", "part.sizes", "part.words"
     )
