@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from catkeep.llm.common import arrow_rows, keep_but, written
+from catkeep.llm.common import arrow_rows, discard, keep_but, scratch_count, written
 from catkeep.llm.components import components
 
 RESULT = ("class_id", "class_size", "kept")
@@ -292,7 +292,8 @@ def _block_pairs(members: DataFrame, block_nodes: int, block_words: int) -> Data
         .select("hub", needed.alias("blocks"))
     )
     placed = members.join(mixed_hubs, "hub").withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
-    blocks = placed.groupBy("hub", "blocks", "block").agg(
+    # Dealt anew by block: else the layout by hub would be kept, with all nodes of a hub in one task.
+    blocks = placed.repartition("hub", "block").groupBy("hub", "blocks", "block").agg(
         F.collect_list(F.struct("node", "comp", "weight", "sig")).alias("nodes")
     )
     left = blocks.withColumn("other", F.explode(F.sequence("block", F.col("blocks") - 1)))
@@ -454,19 +455,27 @@ def near_duplicates(
     ).withColumns(
         {"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")}
     )
+    before = scratch_count()
     signed = written(sign(docs, bands * rows, shingle), "near-signed")
     linked = linked_nodes(signed, bands, threshold, least_estimate, shingle)
-    kept = signed.drop("_sig", "_weight")
+    # Rows go through the grouping by number and id; their other columns are read once more at the end.
+    kept = signed.select("doc_id", "_row", "_node")
     inside = kept.where("_node IS NOT NULL").join(
         linked.withColumnRenamed("node", "_node").withColumnRenamed("comp", "_comp"), "_node", "left"
     ).withColumn("_comp", F.coalesce("_comp", "_node"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("_row").alias("row"))
     classes = inside.groupBy("_comp").agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("class_size"))
-    found = inside.join(classes, "_comp").withColumns(
-        {"class_id": F.col("_first.doc_id"), "kept": F.col("_row") == F.col("_first.row")}
+    found = inside.join(classes, "_comp").select(
+        "_row",
+        F.col("_first.doc_id").alias("class_id"),
+        "class_size",
+        (F.col("_row") == F.col("_first.row")).alias("kept"),
     )
-    alone = kept.where("_node IS NULL").withColumns(
-        {"class_id": F.col("doc_id"), "class_size": F.lit(1).cast("long"), "kept": F.lit(True)}
+    alone = kept.where("_node IS NULL").select(
+        "_row", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept")
     )
+    judged = written(found.unionByName(alone), "near-classes")
+    # What is left to read are the signed rows and their classes.
+    discard(signed.sparkSession, before + 1, -1)
     shown = [*[F.col(h).alias(c) for c, h in zip(names, held, strict=True)], *RESULT]
-    return found.select(*shown).unionByName(alone.select(*shown))
+    return signed.drop("_sig", "_weight", "_node").join(judged, "_row").select(*shown)

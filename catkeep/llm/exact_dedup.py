@@ -19,9 +19,8 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catkeep.llm.common import keep_but, text_or_empty, written
+from catkeep.llm.common import keep_but, scratch, text_or_empty, written
 from catkeep.llm.url_filter import block_count, with_possible
-from catkeep.session import scratch_path
 
 RESULT = ("keep_id", "group_size", "kept", "text_sha256")
 #: Landed files that one trigger takes.
@@ -138,7 +137,7 @@ def dedup(
     """All rows and columns of ``documents`` (doc_id, text) with keep_id, group_size, kept, text_sha256."""
     spark = documents.sparkSession
     landed, states, checkpoint = (
-        scratch_path(spark, f"dedup-{x}") for x in ("landed", "states", "checkpoint")
+        scratch(spark, f"dedup-{x}") for x in ("landed", "states", "checkpoint")
     )
     documents = documents.withColumn("doc_id", F.col("doc_id").cast("long"))
     land(documents, landed, digest)
@@ -172,10 +171,9 @@ def _split_collisions(matched: DataFrame, rows: DataFrame, latest: DataFrame) ->
         "dedup-hits",
     )
     keepers = hits.where("_first").select("_digest", F.col("_norm").alias("_kept_norm"))
-    odd = written(
-        hits.where("NOT _first").join(keepers, "_digest").where("_norm <> _kept_norm").select("_digest").distinct(),
-        "dedup-collisions",
-    )
+    differing = hits.where("NOT _first").join(keepers, "_digest").where("_norm <> _kept_norm").select("_digest")
+    # Dealt anew: else the layout of the join would be kept, with all hits of a common digest in one task.
+    odd = written(differing.repartition(F.xxhash64("_digest")).distinct(), "dedup-collisions")
     if not odd.head(1):
         return matched
     apart = rows.join(odd, "_digest", "left_semi").withColumn("_norm", content)
