@@ -83,11 +83,12 @@ class Splitter:
 
         self.findall = regex.compile(pattern).findall
         self.table = str.maketrans(stand_ins())
-        odd = "".join(f"\\U{ord(c):08x}" for c in stand_ins())
-        self.odd = re.compile(f"[{odd}]" if odd else r"(?!)").search
+        self.odd = frozenset(stand_ins())
+        # Most texts lie below all of these characters, which one look at the text tells.
+        self.high = re.compile(f"[^\\x00-\\U{ord(min(self.odd, default=chr(0x10FFFF))) - 1:08x}]").search
 
     def __call__(self, text: str) -> list[str]:
-        if not self.odd(text):
+        if not self.high(text) or self.odd.isdisjoint(text):
             return self.findall(text)
         pieces, at = [], 0
         for piece in self.findall(text.translate(self.table)):
