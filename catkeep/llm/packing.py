@@ -33,7 +33,7 @@ WINDOW, OPEN_WINDOWS, SLACK, CLOSING_ID = 2048, 16, 16, 1
 #: Partitions whose open windows are merged together; one window of such a group may stay short.
 MERGED_PARTITIONS = 32
 #: Words of a generation that a worker remembers with their ids.
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 DOCS_AT_ONCE, WORDS_AT_ONCE, ROWS_AT_ONCE = 500, 200, 4000
 #: Letters that neither compose with others nor gain a mark in lower case.
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
@@ -204,6 +204,12 @@ class WordIds(dict):
         self.update((w, self[form]) for w, form in forms.items())
 
 
+@cache
+def word_ids(path: str) -> WordIds:
+    """One memory per worker, which its tasks share."""
+    return WordIds(path)
+
+
 def _rows(windows: Iterable[tuple[int, list[Piece]]]) -> Iterator[tuple]:
     for number, window in windows:
         offset = 0
@@ -220,7 +226,7 @@ def stage_windows(
     names = [f.split()[0] for f in STAGED.split(", ")]
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, words = TaskContext.get().partitionId(), WordIds(tokenizer_path)
+        part, words = TaskContext.get().partitionId(), word_ids(tokenizer_path)
         packer, number, rows = Packer(window, most_open, slack), part << 32, []
 
         def batch() -> pa.RecordBatch:
