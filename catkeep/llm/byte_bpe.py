@@ -32,11 +32,11 @@ from pyspark.sql import functions as F
 from catkeep.llm.common import arrow_rows, scratch, text_or_empty
 
 #: Characters of text in a block.
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 7_000_000
 #: Words a task remembers with their ids; the memory is started anew beyond that.
 REMEMBERED = 400_000
 #: Ids in one batch that goes back to Spark.
-BATCH_IDS = 2_000_000
+BATCH_IDS = 1_000_000
 
 BLOCK_TYPE = (
     "block long, doc_ids array<long>, counts array<int>, codes binary, buckets binary,"
