@@ -34,7 +34,7 @@ WINDOW, OPEN_WINDOWS, SLACK, CLOSING_ID = 2048, 16, 16, 1
 MERGED_PARTITIONS = 32
 #: Words of a generation that a worker remembers with their ids.
 REMEMBERED = 400_000
-DOCS_AT_ONCE, WORDS_AT_ONCE, ROWS_AT_ONCE = 500, 200, 4000
+DOCS_AT_ONCE, WORDS_AT_ONCE, ROWS_AT_ONCE = 1500, 200, 4000
 #: Letters that neither compose with others nor gain a mark in lower case.
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
 #: Pieces of a text that the tokenizer never joins: it splits at blanks, and letters from what is none.
