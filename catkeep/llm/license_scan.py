@@ -33,6 +33,8 @@ MARKS = (
 )
 CC = r"(?i)(?<![0-9A-Za-z\x{80}-\x{10FFFF}])cc(?![0-9A-Za-z\x{80}-\x{10FFFF}])"
 START = "\x01"
+#: Detections that are folded into one array at a time.
+AT_ONCE = 128
 
 
 def in_words(text: Column) -> Column:
@@ -87,16 +89,14 @@ def _detections(words: Column, usable: Column) -> Column:
     return F.array_sort(F.flatten(found))
 
 
-def unsuppressed(detections: Column, ranks: int = len(WEIGHT)) -> Column:
+def unsuppressed(detections: Column, ranks: int = len(WEIGHT), at_once: int = AT_ONCE) -> Column:
     """Detections not contained in one of the same or a better class.
 
     In order of start, longest first, a detection is contained in an earlier one exactly when the
-    greatest end so far, among classes up to its own, reaches its end.
+    greatest end so far, among classes up to its own, reaches its end. Appending copies an array, so
+    detections are folded in pieces: only a piece's own are copied for each detection.
     """
-    kind = "array<struct<start:int,minus_end:int,rank:int,number:int,label:string>>"
-    start = F.struct(
-        F.array().cast(kind).alias("kept"), F.array(*[F.lit(-1)] * ranks).alias("ends")
-    )
+    none = F.array().cast("array<struct<start:int,minus_end:int,rank:int,number:int,label:string>>")
 
     def step(state: Column, d: Column) -> Column:
         end = -d["minus_end"]
@@ -108,7 +108,22 @@ def unsuppressed(detections: Column, ranks: int = len(WEIGHT)) -> Column:
             ).alias("ends"),
         )
 
-    return F.aggregate(detections, start, step, lambda s: s["kept"])
+    def piece(state: Column, first: Column) -> Column:
+        here = F.slice(detections, first, at_once)
+        begin = F.struct(none.alias("kept"), state["last"]["ends"].alias("ends"))
+        return F.struct(
+            F.concat(state["done"], F.array(state["last"]["kept"])).alias("done"),
+            F.aggregate(here, begin, step).alias("last"),
+        )
+
+    start = F.struct(
+        F.array(none).alias("done"),
+        F.struct(none.alias("kept"), F.array(*[F.lit(-1)] * ranks).alias("ends")).alias("last"),
+    )
+    firsts = F.when(F.size(detections) > 0, F.sequence(F.lit(1), F.size(detections), F.lit(at_once)))
+    return F.aggregate(
+        firsts, start, piece, lambda s: F.flatten(F.concat(s["done"], F.array(s["last"]["kept"])))
+    )
 
 
 def _labelled(places: Column, label: str) -> Column:

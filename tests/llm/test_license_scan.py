@@ -170,3 +170,17 @@ def test_suppression(spark, text, labels):
 def test_native_plan(spark):
     plan = license_scan.scan(documents(spark, TEXTS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_very_many_detections_in_one_text(spark):
+    """Every place counts, and the fold's pieces carry the ends on to the next one."""
+    notice = "BSD 3-Clause License. All rights reserved. "
+    few, many = (
+        license_scan.scan(documents(spark, [notice * n])).collect()[0] for n in (3, 32_000)
+    )
+    each = len(few["detections"]) // 3
+    assert each and len(many["detections"]) == 32_000 * each
+    assert (many["labels"], many["score"], many["n_base"]) == (few["labels"], few["score"], 32_000)
+    width = few["n_words"] // 3
+    shifted = {(d["start"] % width, d["end"] - d["start"], d["rule"]) for d in many["detections"]}
+    assert shifted == {(d["start"] % width, d["end"] - d["start"], d["rule"]) for d in few["detections"]}
