@@ -4,6 +4,8 @@ Headers are grouped by payload digest; the record with the smallest id holds the
 refer to it. Archives are written by Spark's text sink: a record ends with the two line breaks that are
 the sink's separator, so files of any file system Spark knows are plain WARC. Reading goes by
 Content-Length, so payloads may hold anything. Revisit records are resolved by a join with the originals.
+Files are bounded in bytes: payloads of one class of sizes share files, the fewer the larger they are. They
+are read as a stream of records, so a task holds a compressed file and a bounded batch of payloads.
 
 Defined cases: null html is an empty payload, always a response; a null url leaves the target out; rows
 with a null page_id are written as responses of their own and never referred to; of rows with equal id and
@@ -15,7 +17,9 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 from collections.abc import Iterable, Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,8 +29,10 @@ from catkeep.llm.common import written
 
 #: Payloads below are never replaced by a reference.
 MIN_PAYLOAD = 100
-#: Records in one archive file.
-RECORDS_PER_FILE = 2000
+#: Bytes of payload in one archive file, but for a single larger payload, and records in it.
+FILE_BYTES, RECORDS_PER_FILE = 64 << 20, 2000
+#: Payload bytes and records that a reader puts into one batch.
+BATCH_BYTES, BATCH_RECORDS = 8 << 20, 500
 BREAK = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -121,28 +127,47 @@ def record(rows: DataFrame) -> Column:
     )
 
 
+def size_limits(file_bytes: int = FILE_BYTES, records: int = RECORDS_PER_FILE) -> list[int]:
+    """Largest payload of each class of sizes but the last, whose payloads have a file each."""
+    limits = [max(1, file_bytes // records)]
+    while limits[-1] * 16 < file_bytes:
+        limits.append(limits[-1] * 16)
+    return [*limits, file_bytes]
+
+
+def _size_class(limits: list[int]) -> Column:
+    """Number of the first limit that a payload does not exceed."""
+    steps = [F.when(F.col("payload_bytes") > limit, 1).otherwise(0) for limit in limits]
+    return sum(steps[1:], steps[0])
+
+
 def write_archives(rows: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
-    """Write marked rows as compressed archive files of at most so many records."""
+    """Add marked rows to compressed archive files of at most so many records."""
     (
         rows.select(record(rows).alias("value"))
-        .write.option("lineSep", BREAK * 2)
+        .write.mode("append")
+        .option("lineSep", BREAK * 2)
         .option("maxRecordsPerFile", records_per_file)
         .option("compression", "gzip")
         .text(path)
     )
 
 
-def _records(content: bytes) -> Iterator[tuple]:
-    at = 0
-    while at < len(content):
-        end = content.index(b"\r\n\r\n", at)
-        version, *lines = content[at:end].decode("utf-8", "surrogateescape").split(BREAK)
+def _records(archive: BinaryIO) -> Iterator[tuple]:
+    """The records of a plain archive, one at a time."""
+    while first := archive.readline():
+        version, lines = first.rstrip(b"\r\n").decode("utf-8", "surrogateescape"), []
         if not version.startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
+            raise ValueError(f"no record where {version[:40]!r} stands")
+        while (line := archive.readline()) != b"\r\n":
+            if not line:
+                raise ValueError("an archive ends inside a header")
+            lines.append(line[:-2].decode("utf-8", "surrogateescape"))
         fields = dict(line.split(": ", 1) for line in lines)
-        start = end + 4
-        stop = start + int(fields["Content-Length"])
-        block, at = content[start:stop], stop + 4
+        length = int(fields["Content-Length"])
+        block = archive.read(length)
+        if len(block) < length or archive.read(4) != b"\r\n\r\n":
+            raise ValueError(f"record {fields['WARC-Record-ID']} is cut off")
         payload = block[block.index(b"\r\n\r\n") + 4 :]
         revisit = fields["WARC-Type"] == "revisit"
         page = fields.get("X-Page-Id")
@@ -159,9 +184,23 @@ def _records(content: bytes) -> Iterator[tuple]:
         )
 
 
-def _plain(content: bytes) -> bytes:
-    """An archive's bytes, which may be compressed."""
-    return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+def _plain(content: bytes) -> BinaryIO:
+    """An archive's plain bytes as a stream; the archive may be compressed."""
+    raw = io.BytesIO(content)
+    return io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 16) if content[:2] == b"\x1f\x8b" else raw
+
+
+def _batches(records: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Records in lists of bounded number and, but for single large ones, bounded bytes."""
+    held, size = [], 0
+    for r in records:
+        held.append(r)
+        size += r[5] or 0
+        if len(held) >= BATCH_RECORDS or size >= BATCH_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -174,9 +213,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                held = list(_records(_plain(content.as_py())))
-                for a in range(0, len(held), 500):
-                    columns = zip(*held[a : a + 500], strict=True)
+                for held in _batches(_records(_plain(content.as_py()))):
+                    columns = zip(*held, strict=True)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
                     )
@@ -221,15 +259,34 @@ def resolve(records: DataFrame) -> DataFrame:
     )
 
 
-def archive(pages: DataFrame, path: str, min_payload: int = MIN_PAYLOAD) -> None:
-    """Write ``pages`` (page_id, url, html) as archives without repeated payloads."""
+def archive(
+    pages: DataFrame,
+    path: str,
+    min_payload: int = MIN_PAYLOAD,
+    file_bytes: int = FILE_BYTES,
+    records_per_file: int = RECORDS_PER_FILE,
+) -> None:
+    """Write ``pages`` (page_id, url, html) as archives without repeated payloads.
+
+    Each class of payload sizes that occurs is written on its own, with as many records to a file as
+    keep it within ``file_bytes``; mostly there is one class.
+    """
     rows = headers(pages)
     keys = F.concat_ws(":", F.coalesce("url", F.lit("")), F.col("payload_digest"))
     # Rows that agree in id, url and payload still need ids of their own: they are numbered.
     rows = rows.withColumn("_row", keys)
-    repeated = rows.groupBy("page_id", "_row").count().where("count > 1")
-    if repeated.head(1):
+    limits = size_limits(file_bytes, records_per_file)
+    counted = rows.groupBy("page_id", "_row").agg(
+        F.count(F.lit(1)).alias("n"), F.first(_size_class(limits)).alias("size")
+    )
+    [(most, classes)] = counted.agg(F.max("n"), F.collect_set("size")).collect()
+    if (most or 0) > 1:
         rows = written(
             rows.withColumn("_row", F.concat_ws("#", "_row", F.monotonically_increasing_id())), "warc-rows"
         )
-    write_archives(marked(rows, min_payload), path)
+    found = marked(rows, min_payload)
+    # An empty table still gives an archive, of one class without records.
+    for number in sorted(classes) or [0]:
+        here = found.where(_size_class(limits) == number) if len(classes) > 1 else found
+        within = max(1, file_bytes // limits[number]) if number < len(limits) else 1
+        write_archives(here, path, min(records_per_file, within))

@@ -56,3 +56,28 @@ def test_archives_are_plain_records(spark):
 def test_no_rows(spark):
     _, records = roundtrip(spark, spark.createDataFrame([], PAGES))
     assert warc.resolve(records).count() == 0
+
+
+def test_files_are_bounded_in_bytes(spark):
+    """Small, larger and very large payloads have files of their own, all within the bound but single ones."""
+    rows = [(i, f"u{i}", f"{i} " + "x" * size) for i, size in enumerate([10] * 40 + [900] * 12 + [5000] * 3 + [60_000] * 2)]
+    path = scratch_path(spark, "warc")
+    warc.archive(spark.createDataFrame(rows, PAGES).coalesce(1), path, file_bytes=8000, records_per_file=20)
+    assert warc.size_limits(8000, 20) == [400, 6400, 8000]
+    sizes = [
+        sum(len(block) for block in content.split("Content-Length")[1:])
+        for (content,) in spark.read.text(path, wholetext=True).collect()
+    ]
+    assert len(sizes) == 2 + 12 + 3 + 2 and max(sizes) < 62_000
+    assert sorted((tuple(r) for r in warc.resolve(warc.read_archives(spark, path)).collect()), key=str) == brute(rows)
+
+
+def test_cut_archives_are_refused():
+    import io
+
+    import pytest
+
+    whole = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: a\r\nContent-Length: 9\r\n\r\n"
+    for content in (whole + b"short", whole[:20], b"no record\r\n"):
+        with pytest.raises(ValueError):
+            list(warc._records(io.BytesIO(content)))
