@@ -12,7 +12,8 @@ Texts with the same shingles are one node. Bands of the signature put nodes into
 bucket that shares most buckets is its hub, and all others are compared with it. Whatever has a hub in
 common and is then in different components is compared block by block by signature, and pairs that may
 reach the threshold are verified by the exact overlap of their multisets, unless their components have
-been joined meanwhile. No pair is left out because a bucket is large.
+been joined meanwhile. No pair is left out because a bucket is large: a hub of too many blocks is first
+split by bands that lie across the others.
 
 Defined cases: words are runs of letters and digits in lower case; a text of one to four words is one
 shingle; a text without words (null, empty) is in a class of its own; equal rows and null ids are separate
@@ -30,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -40,12 +41,15 @@ from catkeep.llm.components import components
 
 RESULT = ("class_id", "class_size", "kept")
 SHINGLE, THRESHOLD = 5, 0.8
-#: A pair at the threshold shares no band with a probability below 3 in a million.
+#: A pair at the threshold shares no band with a probability below 3 in a million; in hubs that are split,
+#: where it has to share one of the other bands too, it is missed with a probability below 6 in a million.
 BANDS, ROWS = 42, 6
 SIZE = BANDS * ROWS
 #: Estimates lie more than five standard errors below the threshold before a pair is passed over.
 LEAST_ESTIMATE = 0.67
 BLOCK_NODES, BLOCK_WORDS = 256, 400_000
+#: A hub of more blocks is split by other bands of the signature.
+MOST_BLOCKS = 32
 DOCS_AT_ONCE, POINTS_AT_ONCE = 400, 1 << 18
 WORD = re.compile(r"[^\W_]+")
 SIGNED = "_row long, _node binary, _weight long, _sig binary"
@@ -188,15 +192,19 @@ def sign(documents: DataFrame, size: int = SIZE, shingle: int = SHINGLE) -> Data
     return documents.mapInArrow(run, schema)
 
 
-def _band_keys(sigs: np.ndarray, bands: int) -> np.ndarray:
-    parts = sigs.reshape(len(sigs), bands, -1).astype(_U)
+def _band_keys(sigs: np.ndarray, bands: int, across: bool = False) -> np.ndarray:
+    """A key per band; ``across`` forms bands of components that lie in different bands otherwise."""
+    if across:
+        parts = sigs.reshape(len(sigs), -1, bands).transpose(0, 2, 1).astype(_U)
+    else:
+        parts = sigs.reshape(len(sigs), bands, -1).astype(_U)
     keys = np.broadcast_to(np.arange(1, bands + 1, dtype=_U), parts.shape[:2])
     for i in range(parts.shape[2]):
         keys = mixed(keys * _U(0x9E3779B97F4A7C15) + parts[:, :, i])
     return keys
 
 
-def band_rows(nodes: DataFrame, bands: int = BANDS) -> DataFrame:
+def band_rows(nodes: DataFrame, bands: int = BANDS, across: bool = False) -> DataFrame:
     """One row per node and band: key, band, node."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +212,7 @@ def band_rows(nodes: DataFrame, bands: int = BANDS) -> DataFrame:
             for a in range(0, whole.num_rows, 2000):
                 batch = whole.slice(a, 2000)
                 sigs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16)
-                keys = _band_keys(sigs.reshape(batch.num_rows, -1), bands)
+                keys = _band_keys(sigs.reshape(batch.num_rows, -1), bands, across)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys.ravel().view(np.int64)),
@@ -275,22 +283,48 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float, shingle: int
     return pairs.select("u", "v", "u_text", "v_text").mapInArrow(run, "u binary, v binary")
 
 
+def _blocks_needed(block_nodes: int, block_words: int) -> Column:
+    return F.ceil(F.greatest(F.col("n") / block_nodes, F.col("words") / block_words)).cast("int")
+
+
+def _mixed_hubs(members: DataFrame, block_nodes: int, block_words: int) -> DataFrame:
+    """Hubs whose nodes are in different components, with the number of blocks for these."""
+    totals = members.groupBy("hub").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"),
+        F.count(F.lit(1)).alias("n"), F.sum("weight").alias("words"),
+    )
+    return totals.where("low <> high").select("hub", _blocks_needed(block_nodes, block_words).alias("blocks"))
+
+
+def split_hubs(
+    around: DataFrame, comp: DataFrame, bands: int, block_nodes: int, block_words: int, most_blocks: int
+) -> DataFrame:
+    """hub, node, comp, weight and sig of all members; hubs of too many blocks are split by other bands.
+
+    Pairs of blocks grow with the square of a hub's nodes. Two nodes at the threshold share a band across
+    the first ones as surely as one of these, so a large hub's nodes are dealt into the groups that share
+    one. Such a group is compared in pairs of blocks, whatever its size.
+    """
+    placed = around.join(comp, "node")
+    large = _mixed_hubs(placed, block_nodes, block_words).where(F.col("blocks") > most_blocks)
+    large = written(large.select("hub"), "near-large")
+    if not large.head(1):
+        return placed
+    inside = around.join(large, "hub", "left_semi")
+    nodes = comp.join(inside.select("node").distinct(), "node", "left_semi")
+    keys = band_rows(nodes, bands, across=True).select("node", "key")
+    group = F.unhex(F.md5(F.concat("hub", F.encode(F.col("key").cast("string"), "UTF-8")))).alias("hub")
+    dealt = written(inside.join(keys, "node").select(group, "node"), "near-dealt")
+    return placed.join(large, "hub", "left_anti").unionByName(dealt.join(comp, "node"))
+
+
 def _block_pairs(members: DataFrame, block_nodes: int, block_words: int) -> DataFrame:
     """Pairs of blocks of every hub's nodes, where these are still in different components.
 
     A block has a bounded number of nodes and, but for single long texts, of words, so a large group
     becomes many rows over many tasks.
     """
-    needed = F.ceil(F.greatest(F.col("n") / block_nodes, F.col("words") / block_words)).cast("int")
-    mixed_hubs = (
-        members.groupBy("hub")
-        .agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"),
-            F.count(F.lit(1)).alias("n"), F.sum("weight").alias("words"),
-        )
-        .where("low <> high")
-        .select("hub", needed.alias("blocks"))
-    )
+    mixed_hubs = _mixed_hubs(members, block_nodes, block_words)
     placed = members.join(mixed_hubs, "hub").withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
     # Dealt anew by block: else the layout by hub would be kept, with all nodes of a hub in one task.
     blocks = placed.repartition("hub", "block").groupBy("hub", "blocks", "block").agg(
@@ -389,7 +423,7 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def linked_nodes(
     signed: DataFrame,
     bands: int, threshold: float, least: float, shingle: int,
-    block_nodes: int = BLOCK_NODES, block_words: int = BLOCK_WORDS,
+    block_nodes: int = BLOCK_NODES, block_words: int = BLOCK_WORDS, most_blocks: int = MOST_BLOCKS,
 ) -> DataFrame:
     """node and comp of every node with a link; ``signed`` has _node, _weight, _sig and text."""
     nodes = written(
@@ -425,7 +459,7 @@ def linked_nodes(
     comp = partners.select("node", "weight", "sig").join(first, "node", "left").withColumn(
         "comp", F.coalesce("comp", "node")
     )
-    placed = around.join(comp, "node")
+    placed = split_hubs(around, comp, bands, block_nodes, block_words, most_blocks)
     tasks = written(_tasks(_block_pairs(placed, block_nodes, block_words), threshold, least), "near-tasks")
     more = written(_joined(tasks, texts, threshold, shingle), "near-links")
     if not more.head(1):

@@ -83,9 +83,45 @@ def test_large_buckets_are_split_without_losing_links(spark):
     whole = bag.linked_nodes(signed, bag.BANDS, 0.8, bag.LEAST_ESTIMATE, 5)
     key = lambda r: (bytes(r["node"]), bytes(r["comp"]))
     assert sorted(map(key, small.collect())) == sorted(map(key, whole.collect()))
+    dealt = bag.linked_nodes(signed, bag.BANDS, 0.8, bag.LEAST_ESTIMATE, 5, block_nodes=4, most_blocks=1)
+    assert sorted(map(key, dealt.collect())) == sorted(map(key, whole.collect()))
     check(frame)
 
 
+def test_hub_of_unlike_nodes_is_split(spark):
+    """Nodes that have one band in common, and little else, are not compared all with all."""
+    rng = np.random.default_rng(6)
+    nodes, size = 600, bag.SIZE
+    sigs = rng.integers(0, 1 << 16, (nodes, size)).astype(np.uint16)
+    sigs[:, : bag.ROWS] = 7
+    # Two pairs are near each other: nine components in ten agree.
+    for a, b in ((0, 1), (2, 599)):
+        sigs[b] = np.where(rng.random(size) < 0.9, sigs[a], sigs[b])
+    rows = [(b"h", b"%04d" % i, b"%04d" % i, 100, sigs[i].tobytes()) for i in range(nodes)]
+    all_of = spark.createDataFrame(
+        [tuple(bytearray(x) if isinstance(x, bytes) else x for x in r) for r in rows],
+        "hub binary, node binary, comp binary, weight long, sig binary",
+    )
+    around, comp = all_of.select("hub", "node"), all_of.drop("hub")
+    whole = bag.split_hubs(around, comp, bag.BANDS, 16, bag.BLOCK_WORDS, most_blocks=100)
+    dealt = bag.split_hubs(around, comp, bag.BANDS, 16, bag.BLOCK_WORDS, most_blocks=4)
+    assert whole.count() == nodes
+
+    def compared(members):
+        pairs = bag._block_pairs(members, 16, bag.BLOCK_WORDS).selectExpr("size(nodes) + size(others) AS n")
+        return pairs.groupBy().sum("n").first()[0] or 0
+
+    def likely(members):
+        tasks = bag._tasks(bag._block_pairs(members, 16, bag.BLOCK_WORDS), 0.8, bag.LEAST_ESTIMATE).collect()
+        return {
+            tuple(sorted((bytes(t["nodes"][u]), bytes(t["nodes"][v]))))
+            for t in tasks for u, v in zip(t["us"], t["vs"], strict=True)
+        }
+
+    assert compared(dealt) * 20 < compared(whole)
+    assert likely(dealt) == likely(whole) == {(b"0000", b"0001"), (b"0002", b"0599")}
+
+
 def test_odd_rows(spark):
     frame = odd_documents(spark, kept="clash", class_id="clash")
     found = bag.near_duplicates(frame).collect()
