@@ -38,6 +38,7 @@ from pyspark.sql.types import StructType
 
 from catkeep.llm.common import arrow_rows, discard, keep_but, scratch_count, written
 from catkeep.llm.components import components
+from catkeep.operators.outcomes import id_filter
 
 RESULT = ("class_id", "class_size", "kept")
 SHINGLE, THRESHOLD = 5, 0.8
@@ -50,6 +51,9 @@ LEAST_ESTIMATE = 0.67
 BLOCK_NODES, BLOCK_WORDS = 256, 400_000
 #: A hub of more blocks is split by other bands of the signature.
 MOST_BLOCKS = 32
+#: Bits of the filter in front of the texts' shuffle (1 MB): beyond a few million nodes with a partner it lets
+#: more and more texts through, and in the end all.
+TEXT_FILTER_BITS = 1 << 23
 DOCS_AT_ONCE, POINTS_AT_ONCE = 400, 1 << 18
 WORD = re.compile(r"[^\W_]+")
 SIGNED = "_row long, _node binary, _weight long, _sig binary"
@@ -432,14 +436,16 @@ def linked_nodes(
         .agg(F.first("_weight").alias("weight"), F.first("_sig").alias("sig")),
         "near-nodes",
     )
-    rows = band_rows(nodes, bands)
+    rows = band_rows(nodes, bands).select("key", "node")
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = written(rows.join(shared, "key"), "near-members")
     degree = members.groupBy("node").agg(F.sum("n").alias("degree"))
     partners = nodes.join(degree, "node")
     partners = written(partners, "near-partners")
+    # A filter of fixed size keeps most texts that no other is compared with out of the shuffle; the join decides.
     texts = written(
         signed.select(F.col("_node").alias("node"), "text")
+        .where(F.col("node").isNotNull() & id_filter(partners, "node", TEXT_FILTER_BITS))
         .join(partners.select("node"), "node", "left_semi")
         .groupBy("node")
         .agg(F.first("text").alias("text")),
