@@ -21,12 +21,16 @@ def running_marks(rows: DataFrame, key: str, marks: dict[str, Column], run: int
     The running maximum is taken inside runs of ``run`` lines and carried over from the
     maxima of earlier runs, so no description has to fit one task. Without ``run`` it is one
     window per description: a single shuffle, for what brings descriptions together anyway.
+
+    There may be as many carried maxima as descriptions, so they are merged, never broadcast: their size is
+    foreseen from the files, which says nothing about generated lines. First runs have none.
     """
     if run is None:
         lines = Window.partitionBy(key).orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
         held = {n: F.max(F.when(condition, F.col("ord"))).over(lines) for n, condition in marks.items()}
         return rows.withColumns(held)
-    marked = rows.withColumn("_run", F.floor(F.col("ord") / run)).withColumns(
+    numbered = rows.filter(F.col(key).isNotNull() & F.col("ord").isNotNull())
+    marked = numbered.withColumn("_run", F.floor(F.col("ord") / run)).withColumns(
         {f"_at_{name}": F.when(condition, F.col("ord")) for name, condition in marks.items()}
     )
     totals = marked.groupBy(key, "_run").agg(
@@ -37,7 +41,7 @@ def running_marks(rows: DataFrame, key: str, marks: dict[str, Column], run: int
         key,
         "_run",
         *[F.max(f"_sum_{name}").over(earlier).alias(f"_carry_{name}") for name in marks],
-    )
+    ).filter(F.coalesce(*[f"_carry_{name}" for name in marks]).isNotNull())
     so_far = (
         Window.partitionBy(key, "_run")
         .orderBy("ord")
@@ -46,7 +50,7 @@ def running_marks(rows: DataFrame, key: str, marks: dict[str, Column], run: int
     local = marked.withColumns({f"_in_{name}": F.max(f"_at_{name}").over(so_far) for name in marks})
     helpers = [f"_{kind}_{name}" for name in marks for kind in ("at", "in", "carry")]
     return (
-        local.join(carried, [key, "_run"])
+        local.join(carried.hint("merge"), [key, "_run"], "left")
         .withColumns({name: F.greatest(f"_in_{name}", f"_carry_{name}") for name in marks})
         .drop("_run", *helpers)
     )

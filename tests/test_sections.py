@@ -63,3 +63,18 @@ def test_statements_need_one_shuffle(spark):
     df = spark.createDataFrame([("f", 0, "Function: c.s.f"), ("f", 1, "Body: 1")], SCHEMA)
     plan = sections.function_statements(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_carried_lines_are_never_broadcast(spark):
+    """There can be one carried row per description; what is foreseen of their size is far too small."""
+    df = spark.range(10).selectExpr(
+        "concat('f', id) AS function_name", "explode(sequence(0, 8)) AS ord", "'Input: a' AS function_desc"
+    )
+    plan = sections.parse_sections(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
+
+
+def test_lines_without_a_function_or_number_are_left_out(spark):
+    df = spark.createDataFrame([(None, 0, "Input: a"), ("f", None, "Input: a"), ("f", 2500, "  b"), ("f", 0, "Input: a")], SCHEMA)
+    got = {tuple(row) for row in sections.parse_sections(df).collect()}
+    assert got == {("f", 0, "input", 0, "a"), ("f", 2500, "input", 0, "b")}
