@@ -701,7 +701,8 @@ class Fixtures:
         """Every order in each version from the first one committed after it.
 
         Versions are the years that have orders, so the versions an order is in are generated
-        from its date and then matched to the committed ones by number.
+        from its date and then matched to the committed ones by number. Those are a few numbers and are
+        sent to the rows: dealt out by version, all rows of one version would be one task's.
         """
         first = (
             "year(o_orderdate) - 1995 + "
@@ -715,7 +716,7 @@ class Fixtures:
             "version", F.explode(F.sequence("_first", "_newest"))
         )
         return (
-            spread.join(self.fx_history.select("version"), "version", "left_semi")
+            spread.join(F.broadcast(self.fx_history.select("version")), "version", "left_semi")
             .filter("o_orderkey % 11 <> version")
             .selectExpr(
                 "version",
