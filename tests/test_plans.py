@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from catkeep.operators import outcomes, selection, timeline
 from catkeep.plans import restore
+from catkeep.sources import entities
 from catkeep.sources.snapshots import SnapshotStore
 from queries.fixtures import Fixtures
 
@@ -146,3 +147,12 @@ def test_a_job_reads_its_own_part_of_the_log(spark, tmp_path):
     log = outcomes.read_checkpoints(spark, path)
     assert {r.jobid: r["count"] for r in log.groupBy("jobid").count().collect()} == {1: 80, 2: 40}
     assert "PartitionFilters: [isnotnull(jobid" in formatted(outcomes.of_job(log, 2))
+
+
+def test_function_statements_are_never_broadcast(spark):
+    """One text per function; joined with the functions, they would all go through the driver."""
+    described = spark.range(10).selectExpr(
+        "concat('c.s.f_', id) AS function_name", "explode(sequence(0, 8)) AS ord", "'Body: a' AS function_desc"
+    )
+    routines = spark.range(10).selectExpr("concat('c.s.f_', id) AS object_name")
+    assert "Broadcast" not in tree(entities._shape_functions(routines, {"function_descriptions": described}))
