@@ -38,6 +38,7 @@ from pyspark.sql.types import StructType
 
 from catkeep.llm.common import arrow_rows, discard, keep_but, scratch_count, written
 from catkeep.llm.components import components
+from catkeep.llm.url_filter import broadcast_blocks, with_possible
 from catkeep.operators.outcomes import id_filter
 
 RESULT = ("class_id", "class_size", "kept")
@@ -424,6 +425,11 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
 
 
+def _possible(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose key may be among ``keys``, a written table without repeats."""
+    return with_possible(rows, keys, key, broadcast_blocks(keys.count())).where("possible").drop("possible")
+
+
 def linked_nodes(
     signed: DataFrame,
     bands: int, threshold: float, least: float, shingle: int,
@@ -437,11 +443,11 @@ def linked_nodes(
         "near-nodes",
     )
     rows = band_rows(nodes, bands).select("key", "node")
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = written(rows.join(shared, "key"), "near-members")
-    degree = members.groupBy("node").agg(F.sum("n").alias("degree"))
-    partners = nodes.join(degree, "node")
-    partners = written(partners, "near-partners")
+    shared = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-shared")
+    # Rows of keys that surely no other node has, and then nodes without a partner, stay out of the shuffles.
+    members = written(_possible(rows, shared, "key").join(shared, "key"), "near-members")
+    degree = written(members.groupBy("node").agg(F.sum("n").alias("degree")), "near-degrees")
+    partners = written(_possible(nodes, degree, "node").join(degree, "node"), "near-partners")
     # A filter of fixed size keeps most texts that no other is compared with out of the shuffle; the join decides.
     texts = written(
         signed.select(F.col("_node").alias("node"), "text")
@@ -505,17 +511,21 @@ def near_duplicates(
     ).withColumn("_comp", F.coalesce("_comp", "_node"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("_row").alias("row"))
     classes = inside.groupBy("_comp").agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("class_size"))
-    found = inside.join(classes, "_comp").select(
+    found = inside.join(classes.where("class_size > 1"), "_comp").select(
         "_row",
         F.col("_first.doc_id").alias("class_id"),
         "class_size",
         (F.col("_row") == F.col("_first.row")).alias("kept"),
     )
-    alone = kept.where("_node IS NULL").select(
-        "_row", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept")
-    )
-    judged = written(found.unionByName(alone), "near-classes")
-    # What is left to read are the signed rows and their classes.
+    judged = written(found, "near-classes")
+    # What is left to read are the signed rows and the classes of several rows.
     discard(signed.sparkSession, before + 1, -1)
+    alone = {"class_id": F.col("doc_id"), "class_size": F.lit(1).cast("long"), "kept": F.lit(True)}
+    # Rows that are surely in none of these are not shuffled.
+    rows = with_possible(signed.drop("_sig", "_weight", "_node"), judged, "_row", broadcast_blocks(judged.count()))
+    several = rows.where("possible").join(judged, "_row", "left")
+    several = several.withColumns(
+        {c: F.when(F.col("class_size").isNull(), v).otherwise(F.col(c)) for c, v in alone.items()}
+    )
     shown = [*[F.col(h).alias(c) for c, h in zip(names, held, strict=True)], *RESULT]
-    return signed.drop("_sig", "_weight", "_node").join(judged, "_row").select(*shown)
+    return several.unionByName(rows.where("NOT possible").withColumns(alone)).select(*shown)

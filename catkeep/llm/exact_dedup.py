@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catkeep.llm.common import keep_but, scratch, text_or_empty, written
-from catkeep.llm.url_filter import block_count, with_possible
+from catkeep.llm.url_filter import broadcast_blocks, with_possible
 
 RESULT = ("keep_id", "group_size", "kept", "text_sha256")
 #: Landed files that one trigger takes.
@@ -146,46 +146,44 @@ def dedup(
     rows = _located(rows)
     like = keyed_state(rows).withColumn("trigger", F.lit(0)).schema
     latest = _latest(spark, states, like) if rows.head(1) else spark.createDataFrame([], like).drop("trigger")
-    matched = rows.join(latest, "_digest")
-    return _result(_split_collisions(matched, rows, latest))
-
-
-def _split_collisions(matched: DataFrame, rows: DataFrame, latest: DataFrame) -> DataFrame:
-    """Compare the full content of every hit with its keeper's; groups by content where they differ.
-
-    Content of rows without a partner is not shuffled: a Bloom filter of the shared digests keeps nearly
-    all of it back.
-    """
-    spark = matched.sparkSession
-    content = normalised(text_or_empty("_input.text"))
-    shared = written(latest.where("_size > 1").select("_digest", "_keeper"), "dedup-shared")
-    near = with_possible(
-        rows.select("_digest", "_file", "_row", F.col("_input.text").alias("text")), shared, "_digest", block_count(shared.count())
-    ).where("possible")
-    hits = written(
-        near.join(shared, "_digest").select(
-            "_digest",
-            normalised(text_or_empty()).alias("_norm"),
-            ((F.col("_file") == F.col("_keeper.file")) & (F.col("_row") == F.col("_keeper.row"))).alias("_first"),
-        ),
-        "dedup-hits",
+    shared = written(latest.where("_size > 1"), "dedup-shared")
+    # Content of rows without a partner is not shuffled: a Bloom filter of the shared digests keeps nearly
+    # all of it back.
+    marked = with_possible(rows, shared, "_digest", broadcast_blocks(shared.count()))
+    near = marked.where("possible").drop("possible").join(shared, "_digest", "left")
+    near, alone = written(near, "dedup-near"), marked.where("NOT possible").drop("possible")
+    odd = _collisions(near)
+    matched = near
+    if odd.head(1):
+        apart = near.join(odd, "_digest", "left_semi").withColumn("_norm", normalised(text_or_empty("_input.text")))
+        groups = apart.groupBy("_norm").agg(F.min(_rank()).alias("_keeper"), F.count(F.lit(1)).alias("_size"))
+        apart = apart.drop("_keeper", "_size").join(groups, "_norm").drop("_norm")
+        matched = near.join(odd, "_digest", "left_anti").unionByName(apart)
+    return _result(matched.unionByName(alone, allowMissingColumns=True))
+
+
+def _collisions(near: DataFrame) -> DataFrame:
+    """Digests of different contents: the full content of every hit is compared with its keeper's."""
+    hits = near.where("_size > 1").select(
+        "_digest", normalised(text_or_empty("_input.text")).alias("_norm"), _stays().alias("_first")
     )
     keepers = hits.where("_first").select("_digest", F.col("_norm").alias("_kept_norm"))
     differing = hits.where("NOT _first").join(keepers, "_digest").where("_norm <> _kept_norm").select("_digest")
     # Dealt anew: else the layout of the join would be kept, with all hits of a common digest in one task.
-    odd = written(differing.repartition(F.xxhash64("_digest")).distinct(), "dedup-collisions")
-    if not odd.head(1):
-        return matched
-    apart = rows.join(odd, "_digest", "left_semi").withColumn("_norm", content)
-    groups = apart.groupBy("_norm").agg(F.min(_rank()).alias("_keeper"), F.count(F.lit(1)).alias("_size"))
-    return matched.join(odd, "_digest", "left_anti").unionByName(apart.join(groups, "_norm").drop("_norm"))
+    return written(differing.repartition(F.xxhash64("_digest")).distinct(), "dedup-collisions")
+
+
+def _stays() -> Column:
+    return (F.col("_file") == F.col("_keeper.file")) & (F.col("_row") == F.col("_keeper.row"))
 
 
 def _result(matched: DataFrame) -> DataFrame:
+    """The input's columns and the results; rows without a state of their own are alone."""
+    alone = F.col("_size").isNull()
     return matched.select(
         "_input.*",
-        F.col("_keeper.doc_id").alias("keep_id"),
-        F.col("_size").alias("group_size"),
-        ((F.col("_file") == F.col("_keeper.file")) & (F.col("_row") == F.col("_keeper.row"))).alias("kept"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("_keeper.doc_id")).alias("keep_id"),
+        F.coalesce("_size", F.lit(1).cast("long")).alias("group_size"),
+        (alone | _stays()).alias("kept"),
         F.lower(F.hex("_sha")).alias("text_sha256"),
     )

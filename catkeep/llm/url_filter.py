@@ -105,6 +105,11 @@ def block_count(urls: int) -> int:
     return min(MAX_BLOCKS, 1 << (wanted - 1).bit_length())
 
 
+def broadcast_blocks(keys: int) -> int:
+    """Blocks of a filter that is broadcast whatever the number of keys; of too many, it lets more rows through."""
+    return min(block_count(keys), BROADCAST_BYTES // (8 * (WORDS + 1)))
+
+
 def bloom_blocks(keys: DataFrame, key: str, blocks: int) -> DataFrame:
     """The filter as a table: block number and its words; blocks nobody hashes to are left out."""
     marked = keys.select(

@@ -48,3 +48,25 @@ def characters():
     dense = [*range(0x3400), *range(0xA000, 0xAC00), *range(0xD7A0, 0xD800), *range(0xF900, 0x20000), *range(0xE0000, 0xE0200)]
     sparse = [c for c in range(0, 0x110000, 61) if not 0xD800 <= c < 0xE000]
     return sorted({*dense, *sparse})
+
+
+def read_without_shuffle(df, column):
+    """Whether some scan of the column has no shuffle above it in the plan of df."""
+    spark, above, free = df.sparkSession, [], False
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        lines = df.select("*")._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    for line in lines:
+        node = line.lstrip(" :+-")
+        depth = len(line) - len(node)
+        above = [(d, n) for d, n in above if d < depth]
+        if "FileScan" in node and f"{column}#" in node.split("]")[0]:
+            free = free or not any(n.startswith("Exchange") for _, n in above)
+        above.append((depth, node))
+    return free

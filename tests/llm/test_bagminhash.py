@@ -2,10 +2,12 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from catkeep.llm import bagminhash as bag
+from catkeep.llm import url_filter
 from catkeep.llm.components import components
-from tests.llm.helpers import documents, no_documents, odd_documents, table
+from tests.llm.helpers import documents, no_documents, odd_documents, read_without_shuffle, table
 
 
 def shingles(text):
@@ -173,3 +175,16 @@ def test_components(spark):
     got = {bytes(r["node"]): bytes(r["comp"]) for r in found.collect()}
     want = {x: b"a" for x in (b"a", b"b", b"c", b"d", b"e")} | {b"x": b"x", b"y": b"x"}
     assert got == want | {b"p%02d" % i: b"p00" for i in range(41)}
+
+
+def test_texts_without_a_partner_are_not_shuffled_at_the_end(spark, monkeypatch):
+    same = "one two three four five six seven eight nine ten eleven twelve"
+    frame = documents(spark, [same, *[f"text {i} of its own words {i * 7} and {i * 11}" for i in range(40)], same, None])
+    result = bag.near_duplicates(frame)
+    assert read_without_shuffle(result, "text")
+    rows = {r["doc_id"]: (r["class_id"], r["class_size"], r["kept"]) for r in result.collect()}
+    assert rows == {i: (i, 1, True) for i in range(43)} | {0: (0, 2, True), 41: (0, 2, False)}
+    # Filters that let nearly all through change nothing.
+    monkeypatch.setattr(bag, "broadcast_blocks", lambda keys: 1)
+    monkeypatch.setattr(url_filter, "_masks", lambda key: [F.lit(1).cast("long")] * url_filter.WORDS)
+    check(frame)

@@ -3,9 +3,9 @@ import re
 
 from pyspark.sql import functions as F
 
-from catkeep.llm import exact_dedup
+from catkeep.llm import exact_dedup, url_filter
 from catkeep.session import scratch_path
-from tests.llm.helpers import documents, no_documents, odd_documents
+from tests.llm.helpers import documents, no_documents, odd_documents, read_without_shuffle
 
 
 def brute(rows):
@@ -51,3 +51,14 @@ def test_state_survives_between_runs(spark):
 
 def test_no_rows(spark):
     assert exact_dedup.dedup(no_documents(spark)).count() == 0
+
+
+def test_content_without_a_partner_is_not_shuffled(spark, monkeypatch):
+    frame = documents(spark, [f"text number {i // 2 if i < 6 else i}" for i in range(60)]).repartition(3)
+    result = exact_dedup.dedup(frame)
+    assert got(result)[0] == brute(frame.collect())
+    assert read_without_shuffle(result, "_input")
+    # A filter that lets nearly all through changes nothing.
+    monkeypatch.setattr(exact_dedup, "broadcast_blocks", lambda keys: 1)
+    monkeypatch.setattr(url_filter, "_masks", lambda key: [F.lit(1).cast("long")] * url_filter.WORDS)
+    assert got(exact_dedup.dedup(frame))[0] == brute(frame.collect())
