@@ -144,16 +144,20 @@ def only_letters(word: str) -> bool:
     return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
 
 
-def encoded_words(path: str, words: list[str]) -> Iterator[tuple[str, bytes]]:
+def encoded_words(path: str, words: Iterable[str]) -> Iterator[tuple[str, bytes]]:
     """Every word with its ids.
 
-    Words of letters go to the tokenizer many at a time and are told apart by the ids that end a
+    Words of ASCII letters go to the tokenizer's model in lower case, as its earlier steps leave them. Other
+    words of letters go to the tokenizer many at a time and are told apart by the ids that end a
     word; all others, and lines in which that does not come out even, go one by one.
     """
-    encode = tokenizer(path).encode_batch_fast
+    encode, model = tokenizer(path).encode_batch_fast, tokenizer(path).model.tokenize
     letters, single = [], []
     for word in words:
-        (letters if only_letters(word) else single).append(word)
+        if word.isascii() and word.isalpha():
+            yield word, np.array([t.id for t in model(word.lower())], "<u4").tobytes()
+        else:
+            (letters if only_letters(word) else single).append(word)
     lines = [letters[a : a + WORDS_AT_ONCE] for a in range(0, len(letters), WORDS_AT_ONCE)]
     for line, found in zip(lines, encode([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
         ids = np.asarray(found.ids, "<u4")
@@ -185,23 +189,26 @@ class WordIds(dict):
         if len(self) > REMEMBERED:
             self.older = dict(self)
             self.clear()
-        self._learn(set().union(*split).difference(self))
+        # Loops over the words of these texts: set operations with a dict of words walk through all of it.
+        self._learn([w for w in set().union(*split) if w not in self])
         found = [b"".join(map(self.__getitem__, words)) for words in split]
         for i in [i for i, p in enumerate(plain) if not p]:
             ids = tokenizer(self.path).encode(texts[i], add_special_tokens=False).ids
             found[i] = np.asarray(ids, "<u4").tobytes()
         return found
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         older = self.older
-        self.update((w, older[w]) for w in words.intersection(older))
-        forms = {w: w.lower() if w.isascii() else w for w in words.difference(older)}
+        self.update({w: older[w] for w in words if w in older})
+        forms = {w: w.lower() if w.isascii() else w for w in words if w not in older}
         # No literal may come about by lower-casing.
-        forms = {w: w if any(x in form for x in self.literals) else form for w, form in forms.items()}
-        new = set(forms.values()).difference(self)
-        self.update((w, older[w]) for w in new.intersection(older))
-        self.update(encoded_words(self.path, sorted(new.difference(older))))
-        self.update((w, self[form]) for w, form in forms.items())
+        lines = "\n".join(forms.values())
+        if any(x in lines for x in self.literals):
+            forms = {w: w if any(x in form for x in self.literals) else form for w, form in forms.items()}
+        new = [form for form in set(forms.values()) if form not in self]
+        self.update({form: older[form] for form in new if form in older})
+        self.update(encoded_words(self.path, sorted(form for form in new if form not in older)))
+        self.update({w: self[form] for w, form in forms.items() if w != form})
 
 
 @cache

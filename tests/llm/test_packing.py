@@ -115,3 +115,26 @@ def test_a_memory_that_runs_full(monkeypatch):
         for text in ("The the THE cat, a (cat)", "other words don't come", "cat <|ENDOFTEXT|> <|endoftext|>x the"):
             [ids] = words.of([text])
             assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_new_words_do_not_walk_through_the_memory():
+    class Unwalked(dict):
+        def __iter__(self):
+            raise AssertionError("all remembered words were walked through")
+
+    words = packing.WordIds(PATH)
+    words.of(["some words that are known"])
+    words.older = Unwalked(words)
+    words.clear()
+    [ids] = words.of(["Some words, and others THAT are new"])
+    assert [*np.frombuffer(ids, "<u4").tolist(), 1] == whole_ids("Some words, and others THAT are new")
+
+
+def test_words_of_ascii_letters_have_the_librarys_ids():
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzEARSTI"))
+    made = {"".join(rng.choice(letters, n)) for n in rng.integers(1, 30, 3000)} | {"x" * 5000, "S", "ll", "RE"}
+    for word, ids in packing.encoded_words(PATH, sorted(made)):
+        assert [*np.frombuffer(ids, "<u4").tolist(), 1] == whole_ids(word)
+        made.remove(word)
+    assert not made
