@@ -2,9 +2,10 @@
 
 Candidates are packed into blocks where they are; a block holds its vectors and, for every dimension, the
 list of its rows sorted by that component. Query blocks meet candidate blocks by a join on a group
-number; a group is bounded in bytes. For each query the lists are read from the end that its component favours, to growing depths:
-rows seen for the first time are scored in full, and reading stops when the sum of what the lists show
-next cannot reach the kth score. Bounds carry over from block to block of a group.
+number; a group is bounded in bytes. The lists are read from the end that a query's component favours, to growing depths,
+by the queries of a block together: rows seen for the first time are scored in full, by one product of matrices, and a
+query stops when the sum of what the lists show it next cannot reach its kth score. Depths at which no query can stop
+are not halted at. Bounds carry over from block to block of a group.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part, nor do rows with
 a null id; shorter vectors count as filled up with zeros; a query gets fewer than k rows when there are
@@ -43,30 +44,57 @@ def quantised(vector: Column, scale: int = 64) -> Column:
     return F.when(vector.isNotNull() & ~F.coalesce(bad, F.lit(False)), whole)
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """The values in the smallest integers that hold them."""
+    low, high = (int(values.min()), int(values.max())) if values.size else (0, 0)
+    for kind in (np.int8, np.int16, np.int32):
+        if np.iinfo(kind).min <= low and high <= np.iinfo(kind).max:
+            return values.astype(kind)
+    return values
+
+
+def _integers(data: bytes, rows: int, columns: int) -> np.ndarray:
+    """Integers of any width, which their bytes and number tell."""
+    width = len(data) // (rows * columns) if rows * columns else 8
+    return np.frombuffer(data, f"i{width}").reshape(rows, columns)
+
+
 def pack_blocks(vectors: DataFrame, rows: int, with_lists: bool) -> DataFrame:
     """Rows of (vec_id, v) in blocks, without a shuffle."""
 
-    def block(number: int, held: list[tuple]) -> dict:
-        dims = max(len(v) for _, v in held)
-        made = np.zeros((len(held), dims), np.int64)
-        for i, (_, v) in enumerate(held):
-            made[i, : len(v)] = v
-        lists = np.argsort(-made, axis=0, kind="stable").astype(np.int32) if with_lists else made[:0]
-        ids = np.fromiter((i for i, _ in held), np.int64, len(held))
-        return {
-            "block": number, "dims": dims, "ids": ids.tobytes(), "vectors": made.tobytes(),
-            "lists": lists.T.tobytes(),
+    def block(number: int, ids: np.ndarray, lengths: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+        made = np.zeros((len(ids), int(lengths.max())), np.int64)
+        made[np.arange(made.shape[1]) < lengths[:, None]] = values
+        made = _narrow(made)
+        lists = b""
+        if with_lists:
+            # ~x falls as x rises, in any width.
+            order = np.argsort(np.ascontiguousarray(~made.T), axis=1, kind="stable")
+            lists = _narrow(order).tobytes()
+        row = {
+            "block": number, "dims": made.shape[1], "ids": ids.tobytes(), "vectors": made.tobytes(),
+            "lists": lists,
         }
+        return pa.RecordBatch.from_pylist([row], schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held = TaskContext.get().partitionId() << 32, []
-        for row in arrow_rows(batches, "vec_id", "v"):
-            held.append(row)
-            if len(held) == rows:
-                yield pa.RecordBatch.from_pylist([block(number, held)], schema)
-                number, held = number + 1, []
-        if held:
-            yield pa.RecordBatch.from_pylist([block(number, held)], schema)
+        number = TaskContext.get().partitionId() << 32
+        ids = lengths = values = np.empty(0, np.int64)
+        for batch in batches:
+            v = batch.column(batch.schema.get_field_index("v"))
+            more = (
+                batch.column(batch.schema.get_field_index("vec_id")), v.value_lengths(), v.flatten()
+            )
+            ids, lengths, values = (
+                np.concatenate([old, new.to_numpy(zero_copy_only=False).astype(np.int64)])
+                for old, new in zip((ids, lengths, values), more, strict=True)
+            )
+            while len(ids) >= rows:
+                end = int(lengths[:rows].sum())
+                yield block(number, ids[:rows], lengths[:rows], values[:end])
+                number, ids, lengths, values = number + 1, ids[rows:], lengths[rows:], values[end:]
+        if len(ids):
+            yield block(number, ids, lengths, values)
 
     kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
     schema = pa.schema(list(zip([f.split()[0] for f in BLOCK.split(", ")], kinds, strict=True)))
@@ -78,28 +106,28 @@ class Candidates:
 
     def __init__(self, dims: int, ids: bytes, vectors: bytes, lists: bytes) -> None:
         self.ids = np.frombuffer(ids, np.int64)
-        self.exact = np.frombuffer(vectors, np.int64).reshape(len(self.ids), dims)
-        self.vectors = self.exact.astype(np.float64)
-        self.lists = np.frombuffer(lists, np.int32).reshape(dims, len(self.ids))
+        self.exact = _integers(vectors, len(self.ids), dims)
+        self.lists = _integers(lists, dims, len(self.ids))
         self.depths, depth = [], FIRST_DEPTH
         while depth < len(self.ids):
             self.depths.append(depth)
             depth *= 4
-        columns = np.arange(dims)[:, None]
         at = np.asarray(self.depths, np.int64)
         # What the lists show next at each depth, from the top and from the bottom.
-        self.next_high = self.vectors[self.lists[:, at], columns] if len(at) else np.empty((dims, 0))
-        self.next_low = (
-            self.vectors[self.lists[:, len(self.ids) - 1 - at], columns] if len(at) else np.empty((dims, 0))
-        )
-        self.high = self.vectors.max(axis=0) if dims else np.empty(0)
-        self.low = self.vectors.min(axis=0) if dims else np.empty(0)
+        self.next_high, self.next_low = self.shown(at), self.shown(len(self.ids) - 1 - at)
+        self.high, self.low = self.shown(np.array([0]))[:, 0], self.shown(np.array([-1]))[:, 0]
+        whole = self.exact.astype(np.float64)
+        self.longest = float(np.sqrt(np.einsum("ij,ij->i", whole, whole).max(initial=0)))
+
+    def shown(self, at: np.ndarray) -> np.ndarray:
+        """Every list's values at some places."""
+        return self.exact[self.lists[:, at], np.arange(len(self.lists))[:, None]].astype(np.float64)
 
-    def seen(self, query: np.ndarray, start: int, depth: int) -> np.ndarray:
-        """Which rows some list shows from ``start`` to ``depth``, read from the end the query favours."""
+    def seen(self, queries: np.ndarray, start: int, depth: int) -> np.ndarray:
+        """Which rows some list shows from ``start`` to ``depth``, read from the ends the queries favour."""
         rows = np.zeros(len(self.ids), bool)
-        rows[self.lists[query > 0, start:depth]] = True
-        rows[self.lists[query < 0, len(self.ids) - depth : len(self.ids) - start]] = True
+        rows[self.lists[(queries > 0).any(axis=0), start:depth]] = True
+        rows[self.lists[(queries < 0).any(axis=0), len(self.ids) - depth : len(self.ids) - start]] = True
         return rows
 
 
@@ -109,27 +137,63 @@ class Best:
     def __init__(self, k: int) -> None:
         self.k, self.scores, self.ids = k, np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def bound(self) -> float:
-        return float(self.scores[-1]) if len(self.scores) == self.k else -np.inf
-
-    def add(self, ids: np.ndarray, scores: np.ndarray) -> None:
-        if len(self.scores) == self.k:
-            good = scores >= self.scores[-1]
-            ids, scores = ids[good], scores[good]
-        elif len(scores) > 4 * self.k:
-            good = scores >= np.partition(scores, -self.k)[-self.k]
-            ids, scores = ids[good], scores[good]
-        if not len(ids):
+
+class Board:
+    """The best of many queries side by side; NONE stands for places that are still free."""
+
+    NONE = np.iinfo(np.int64).min + 1
+
+    def __init__(self, best: list[Best]) -> None:
+        self.best, self.k = best, best[0].k
+        self.scores = np.full((len(best), self.k), self.NONE)
+        self.ids = np.zeros((len(best), self.k), np.int64)
+        for i, b in enumerate(best):
+            self.scores[i, : len(b.scores)], self.ids[i, : len(b.ids)] = b.scores, b.ids
+        self.changed = np.zeros(len(best), bool)
+
+    def bound(self) -> np.ndarray:
+        return self.scores[:, -1]
+
+    def add(self, asked: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """Scores of the queries numbered ``asked`` with rows of rising ids; those below NONE do not count."""
+        k = self.k
+        limit = self.bound()[asked].astype(scores.dtype)
+        hits = scores >= limit[:, None]
+        if scores.shape[1] > k and np.count_nonzero(hits) > 2 * k * len(asked):
+            kth = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k]
+            limit = np.maximum(limit, kth)
+            hits = scores >= limit[:, None]
+            if np.count_nonzero(hits) > 2 * k * len(asked):
+                ties = scores == limit[:, None]
+                hits &= ~ties | (np.cumsum(ties, axis=1, dtype=np.int32) <= k)  # the smallest ids
+        at, column = np.divmod(np.flatnonzero(hits), hits.shape[1])
+        if not len(at):
             return
-        ids, scores = np.concatenate([self.ids, ids]), np.concatenate([self.scores, scores])
-        order = np.lexsort((ids, -scores))[: self.k]
-        self.ids, self.scores = ids[order], scores[order]
+        counts = np.bincount(at, minlength=len(asked))
+        touched, counts = asked[counts > 0], k + counts[counts > 0]
+        owner = np.concatenate([np.repeat(touched, k), asked[at]])
+        found = np.concatenate([self.scores[touched].ravel(), scores[at, column].astype(np.int64)])
+        names = np.concatenate([self.ids[touched].ravel(), ids[column]])
+        order = np.lexsort((names, -found, owner))
+        # Every touched query has at least k entries, free places included.
+        first = np.cumsum(counts) - counts
+        kept = order[first[:, None] + np.arange(k)]
+        self.scores[touched], self.ids[touched] = found[kept], names[kept]
+        self.changed[touched] = True
+
+    def give_back(self) -> None:
+        taken = np.count_nonzero(self.scores > self.NONE, axis=1)
+        for i in np.flatnonzero(self.changed):
+            self.best[i].scores, self.best[i].ids = self.scores[i, : taken[i]], self.ids[i, : taken[i]]
 
 
 def threshold_search(
     query_ids: np.ndarray, queries: np.ndarray, block: Candidates, best: list[Best]
 ) -> int:
-    """Bring a block's candidates into the best of every query; returns how many were scored."""
+    """Bring a block's candidates into the best of every query; returns how many were scored.
+
+    Queries read the lists together: a row that the lists show to one of them is scored for all that still read.
+    """
     dims = max(queries.shape[1], block.exact.shape[1])
     if queries.shape[1] < dims or block.exact.shape[1] < dims:
         shared = min(queries.shape[1], block.exact.shape[1])
@@ -143,29 +207,44 @@ def threshold_search(
     up, down = np.maximum(whole, 0), np.minimum(whole, 0)
     most = up @ block.high + down @ block.low
     bounds = up @ block.next_high + down @ block.next_low
-    # Sums of products are exact in doubles up to 2**53.
-    exact = (np.abs(whole).max(initial=0) * np.abs(block.vectors).max(initial=0) * max(1, dims)) < 2**53
-    scored = 0
-    for i, query in enumerate(queries):
-        if most[i] < best[i].bound():
-            continue
-        done = np.zeros(len(block.ids), bool)
-        start = 0
-        for level in range(len(block.depths) + 1):
-            if level < len(block.depths):
-                new = np.flatnonzero(block.seen(query, start, block.depths[level]) & ~done)
-                start = block.depths[level]
-            else:
-                new = np.flatnonzero(~done)  # the lists are read to their end
-            done[new] = True
-            new = new[block.ids[new] != query_ids[i]]
-            scored += len(new)
-            scores = (
-                (block.vectors[new] @ whole[i]).astype(np.int64) if exact else block.exact[new] @ query
-            )
-            best[i].add(block.ids[new], scores)
-            if done.all() or (level < len(block.depths) and bounds[i, level] < best[i].bound()):
-                break
+    # Sums of products are exact in floats up to 2**24 and in doubles up to 2**53.
+    widest = max(np.abs(block.high).max(initial=0), np.abs(block.low).max(initial=0))
+    largest = np.abs(whole).max(initial=0) * widest * max(1, dims)
+    kind = np.float32 if largest < 2**24 else np.float64 if largest < 2**53 else np.int64
+    # No score is above the product of the lengths, so no query stops at a depth whose bound is.
+    reach = np.sqrt(np.einsum("ij,ij->i", whole, whole)) * block.longest * (1 + 1e-9)
+    most = np.minimum(most, reach)
+    if kind is np.int64:
+        most[:] = bounds[:] = reach[:] = np.inf  # rounded bounds prove nothing
+    own = np.iinfo(np.int64).min if kind is np.int64 else -np.inf
+    board = Board(best)
+    asked, vectors = queries.astype(kind), block.exact.astype(kind)
+    reading = np.flatnonzero(most >= board.bound())
+    done, start, scored = np.zeros(len(block.ids), bool), 0, 0
+    for level in range(len(block.depths) + 1):
+        if not len(reading):
+            break
+        if level < len(block.depths):
+            if not (bounds[reading, level] <= reach[reading]).any():
+                continue
+            new = np.flatnonzero(block.seen(queries[reading], start, block.depths[level]) & ~done)
+            start = block.depths[level]
+        else:
+            new = np.flatnonzero(~done)  # the lists are read to their end
+        done[new] = True
+        new = new[np.argsort(block.ids[new], kind="stable")]
+        ids = block.ids[new]
+        scores = asked[reading] @ vectors[new].T
+        mine = np.flatnonzero(np.isin(ids, query_ids[reading]))
+        at, column = np.nonzero(query_ids[reading][:, None] == ids[mine])
+        scores[at, mine[column]] = own
+        scored += scores.size - len(at)
+        board.add(reading, ids, scores)
+        if done.all():
+            break
+        if level < len(block.depths):
+            reading = reading[bounds[reading, level] >= board.bound()[reading]]
+    board.give_back()
     return scored
 
 
@@ -190,7 +269,7 @@ def _search(k: int):
                 if current is not None:
                     yield found()
                 current, ids = q_block, np.frombuffer(q_ids, np.int64)
-                queries = np.frombuffer(q_vectors, np.int64).reshape(len(ids), q_dims)
+                queries = _integers(q_vectors, len(ids), q_dims)
                 best = [Best(k) for _ in ids]
             threshold_search(ids, queries, Candidates(dims, c_ids, vectors, lists), best)
         if current is not None:
@@ -202,7 +281,7 @@ def _search(k: int):
 def in_groups(candidates: DataFrame, least: int, most_bytes: int) -> tuple[DataFrame, int]:
     """Blocks with the number of their group, neighbours together, and the number of groups.
 
-    Only the number of blocks of every partition and the size of its largest reach the driver.
+    Only the number of blocks of every partition and the size of its largest, in the widest integers, reach the driver.
     """
     size = F.octet_length("ids") * (F.lit(2) + 3 * F.col("dims").cast("long")) / 2
     parts = sorted(

@@ -93,3 +93,55 @@ def test_groups_are_bounded_in_bytes(spark):
     whole = topk.top_k(spark.createDataFrame(rows, VECTORS), F.col("vec_id") < 9, 5, block_rows=10)
     plan = whole._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "ShuffledHashJoin" not in plan
+
+
+def packed(spark, rows, size):
+    frame = spark.createDataFrame(rows, "vec_id long, v array<long>").coalesce(1)
+    return topk.pack_blocks(frame, size, True).orderBy("block").collect()
+
+
+def test_queries_of_a_block_read_the_lists_together(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, [int(x) for x in rng.integers(-64, 65, 64)]) for i in range(2500)]
+    reads, seen = [], topk.Candidates.seen
+    monkeypatch.setattr(topk.Candidates, "seen", lambda *a: reads.append(1) or seen(*a))
+    vectors = np.array([v for _, v in rows])
+    ids, asked, best = np.arange(0, 2500, 5), vectors[::5], [topk.Best(20) for _ in range(500)]
+    blocks = packed(spark, rows, 1000)
+    assert [len(b["ids"]) for b in blocks] == [8000, 8000, 4000]
+    for b in blocks:
+        assert len(b["vectors"]) == len(b["ids"]) * 8 and len(b["lists"]) == len(b["ids"]) * 16
+        topk.threshold_search(ids, asked, topk.Candidates(b["dims"], b["ids"], b["vectors"], b["lists"]), best)
+    assert len(reads) <= 15
+    for i, query, found in zip(ids, asked, best, strict=True):
+        scored = sorted((-s, n) for n, s in enumerate((vectors @ query).tolist()) if n != i)[:20]
+        assert list(zip((-found.scores).tolist(), found.ids.tolist(), strict=True)) == scored
+
+
+def test_queries_stop_one_by_one(spark):
+    # The queries of one half find their best in the first rows, the others read on.
+    rng = np.random.default_rng(6)
+    vectors = rng.integers(-9, 10, (3000, 3))
+    vectors[:40] += 200
+    blocks = packed(spark, list(enumerate(vectors.tolist())), 3000)
+    asked = np.concatenate([rng.integers(1, 9, (20, 3)), rng.integers(-9, 0, (20, 3))])
+    best = [topk.Best(20) for _ in asked]
+    scored = topk.threshold_search(-1 - np.arange(40), asked, topk.Candidates(*blocks[0][1:]), best)
+    assert scored < 40 * 3000
+    for query, found in zip(asked, best, strict=True):
+        expected = sorted((-s, n) for n, s in enumerate((vectors @ query).tolist()))[:20]
+        assert list(zip((-found.scores).tolist(), found.ids.tolist(), strict=True)) == expected
+
+
+def test_many_copies_and_wide_numbers(spark):
+    # One vector many times over; numbers beyond floats, and beyond what doubles add up exactly.
+    rng = np.random.default_rng(7)
+    for scale in (1, 300, 1 << 22, 1 << 25):
+        rows = [(i, [int(x) * scale + (i > 400) for x in rng.integers(-9, 10, 5)]) for i in range(500)]
+        rows = [(i, [3 * scale] * 5 if 50 < i < 350 else v) for i, v in rows] + [(21, [9 * scale] * 5)] * 30
+        check(spark, [(i, [x / 64 for x in v]) for i, v in rows], 20, 20, block_rows=128, query_rows=16, groups=2)
+
+
+def test_rows_without_components(spark):
+    check(spark, [(i, []) for i in range(9)] + [(i, [0.5]) for i in range(9, 12)], 4, block_rows=2)
+    check(spark, [(i, []) for i in range(9)], 4)
