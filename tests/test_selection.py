@@ -3,6 +3,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from catkeep import model
 from catkeep.operators import outcomes, selection
 from catkeep.plans import restore
 
@@ -142,6 +143,18 @@ def test_remaining_and_done_make_up_the_selection(inventory, log):
     assert left == set(range(len(ROWS))) - {9}
 
 
+def test_a_restart_shuffles_what_is_left(spark):
+    """Statements of objects that are done are left out before the shuffle that settles repeats."""
+    names = [f"concat('x', id) AS {name}" for name in model.IDENTITY_COLUMNS]
+    chosen = spark.range(1000).selectExpr("IF(id < 5, NULL, id) AS object_uid", *names)
+    log = spark.range(1000).selectExpr("1L AS jobid", "id AS rowid", "IF(id % 100 = 7, 'Failed', 'Succeeded') AS status")
+    whole, short = (selection.remaining_work(chosen, log, 1, mostly_done=m) for m in (False, True))
+    assert sorted(map(str, short.collect())) == sorted(map(str, whole.collect())) and short.count() == 15
+    nothing = selection.remaining_work(chosen, log.filter("false"), 1, mostly_done=True)
+    assert nothing.count() == 1000
+    assert "getbit" in short._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_remaining_keeps_rows_without_id_apart(spark, inventory, log):
     no_ids = inventory.withColumn("object_uid", F.lit(None).cast("long"))
     twice = inventory.unionByName(inventory).unionByName(no_ids).unionByName(no_ids)
