@@ -135,23 +135,25 @@ def column_lists(columns: DataFrame, key: str, piece: int = PIECE) -> DataFrame:
 def model_payloads(versions: DataFrame, version_fields: list[str], piece: int = PIECE) -> DataFrame:
     """All versions of a model as one JSON array text in version order.
 
-    Texts are joined per slice of ``piece`` version numbers, in as many tasks, before those of a model
-    meet; the array is one value of the model's payload.
+    Versions numbered below ``piece``, which is all that most models have, meet by model at once. Higher ones, and
+    those without a number, are first joined per slice of ``piece`` numbers, in as many tasks. A list is no smaller
+    than its rows, so rows are shuffled as they are: collected in front of the shuffle, all would be sorted there too.
     """
-    number = F.col("version").cast("long")
-    entry = F.struct(number.alias("number"), F.to_json(F.struct(*version_fields)).alias("json"))
-    slices = (
-        versions.withColumn("_slice", F.floor(number / piece))
-        .groupBy("full_name", "_slice")
-        .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-        .select("full_name", "_slice", F.array_join(F.col("_entries.json"), ",").alias("_text"))
-    )
-    joined = slices.groupBy("full_name").agg(
-        F.array_sort(F.collect_list(F.struct("_slice", "_text"))).alias("_texts")
+    number, is_early = F.col("_number"), F.coalesce(F.col("_number").between(0, piece - 1), F.lit(False))
+
+    def in_order(rows: DataFrame, keys: list[str]) -> DataFrame:
+        lists = rows.repartition(*keys).groupBy(*keys).agg(
+            F.min("_number").alias("_number"), F.array_sort(F.collect_list(F.struct("_number", "_json"))).alias("_entries")
+        )
+        return lists.select("full_name", "_number", F.array_join(F.col("_entries._json"), ",").alias("_json"))
+
+    entries = versions.select(
+        "full_name", F.col("version").cast("long").alias("_number"), F.to_json(F.struct(*version_fields)).alias("_json")
     )
-    return joined.select(
-        "full_name",
-        F.concat(F.lit("["), F.array_join(F.col("_texts._text"), ","), F.lit("]")).alias("versions_json"),
+    sliced = entries.filter(~is_early).withColumn("_slice", F.floor(number / piece))
+    pieces = in_order(sliced, ["full_name", "_slice"])
+    return in_order(entries.filter(is_early).unionByName(pieces), ["full_name"]).select(
+        "full_name", F.concat(F.lit("["), F.col("_json"), F.lit("]")).alias("versions_json")
     )
 
 

@@ -82,6 +82,27 @@ def test_model_versions_are_ordered_as_numbers_in_one_row(spark):
         assert row.versions_json == "[" + ",".join(f'{{"version":"{v}"}}' for v in range(1, 26)) + "]"
 
 
+def test_odd_version_numbers_keep_their_places(spark):
+    numbers = [None, "-11", "-1", "0", "3", "9", "9", "10", "25", "25", "1000000000000"]
+    rows = [("m", v, f"r{i}") for i, v in enumerate(numbers)] + [("late", "12", "a"), (None, "1", "b"), (None, "10", "c")]
+    df = spark.createDataFrame(rows[::-1], "full_name string, version string, run_id string")
+    found = rollup.model_payloads(df, ["run_id"], piece=10).collect()
+    got = {r.full_name: [v["run_id"] for v in json.loads(r.versions_json)] for r in found}
+    assert len(found) == 3 and got == {"m": [f"r{i}" for i in range(len(numbers))], "late": ["a"], None: ["b", "c"]}
+    assert rollup.model_payloads(df.limit(0), ["run_id"]).collect() == []
+
+
+def test_versions_are_shuffled_as_rows_and_low_numbers_once(spark):
+    df = spark.createDataFrame([("m", "1", "r")], "full_name string, version string, run_id string")
+    plan = rollup.model_payloads(df, ["run_id"])._jdf.queryExecution().executedPlan().toString().split("\n")
+    below = [plan[i + 1] for i, line in enumerate(plan) if "Exchange" in line]
+    # Lists that are made in front of a shuffle are as large as their rows, and making them sorts all of these.
+    assert not any("collect_list" in line for line in below)
+    # All pass one shuffle; what is numbered above a piece passes one more, before the rows are put together.
+    [union] = [i for i, line in enumerate(plan) if "Union" in line]
+    assert sum("Exchange" in line for line in plan[:union]) == 1 and len(below) == 2
+
+
 def test_descriptions_to_columns(spark):
     rows = [("c", "Catalog Type", "X"), ("c", "Comment", "n"), ("d", "Comment", None)]
     df = spark.createDataFrame(rows, "catalog_name string, info_name string, info_value string")
