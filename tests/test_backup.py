@@ -7,6 +7,7 @@ from catkeep import model
 from catkeep.operators import checks
 from catkeep.plans import backup, restore
 from catkeep.sources.snapshots import SnapshotStore
+from queries.registry import runnable
 
 DAY = dt.datetime(2024, 1, 1)
 RUN = dt.datetime(2024, 2, 1)
@@ -211,6 +212,11 @@ def test_models_through_payload(spark):
     assert sorted(plan) == [(9, "r9", None), (10, "r10", ["a"])]
 
 
+def test_contents_are_counted_by_digests_in_bytes(spark, sf_dir):
+    counted = runnable("backup_ids")(spark, sf_dir)._jdf.queryExecution().analyzed()
+    assert counted.child().schema().apply("content").dataType().simpleString() == "binary"
+
+
 def test_checks(spark, past):
     catalog = past.limit(1).withColumns(
         {"object_name": F.lit("shared"), "object_type": F.lit("CATALOG"), "restore_ddl": F.lit("CREATE CATALOG x USING SHARE y")}
